@@ -13,13 +13,12 @@ AFTERNOON_CLOSE = 15 * 3600
 
 EXCHANGE_ZONE = "Asia/Ho_Chi_Minh"
 
-_DAY = r"(\d{4}-\d{2}-\d{2})"
-_MARK = r"\(([12])\)"
+_DAY = r"\d{4}-\d{2}-\d{2}"
 
 
 def date_part_of(key: Column) -> Column:
     """First ``YYYY-MM-DD`` in the text as a DATE; NULL where there is none."""
-    return F.try_to_date(F.regexp_extract(key, _DAY, 1), "yyyy-MM-dd")
+    return F.regexp_extract(key, _DAY, 0).try_cast("date")
 
 
 def session_part_of(key: Column) -> Column:
@@ -31,20 +30,22 @@ def session_part_of(key: Column) -> Column:
     )
 
 
+def canonical_key(key: Column) -> Column:
+    """The date text rewritten as ``YYYY-MM-DD`` plus its marker, NULL without a date."""
+    mark = F.when(key.contains("(1)"), "(1)").when(key.contains("(2)"), "(2)").otherwise("")
+    return F.concat(date_part_of(key).cast("string"), mark)
+
+
 def session_key(trade_date: Column, session: Column) -> Column:
     """The text form ``YYYY-MM-DD`` plus ``(1)``/``(2)``; sorts as (date, session)."""
-    day = F.date_format(trade_date, "yyyy-MM-dd")
-    return F.when(session == 0, day).otherwise(
-        F.concat(day, F.lit("("), session.cast("string"), F.lit(")"))
-    )
+    mark = F.when(session == 1, "(1)").when(session == 2, "(2)").otherwise("")
+    return F.concat(trade_date.cast("string"), mark)
 
 
 def strip_marker(key: Column) -> Column:
     """Drop a trailing ``(n)`` and read what is left as a date or a timestamp."""
     text = F.regexp_replace(key, r"\(\d+\)$", "")
-    return F.coalesce(
-        F.try_to_date(text, "yyyy-MM-dd"), F.try_to_timestamp(text).cast("date")
-    )
+    return F.coalesce(text.try_cast("date"), text.try_cast("timestamp").cast("date"))
 
 
 def second_of_day(ts: Column) -> Column:

@@ -7,16 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
-from tidemark.schemas import PRICES, RAW_BARS
-
-_RAW = tuple(RAW_BARS.fieldNames())
+from tidemark.schemas import PRICES
 
 
 def canonical_dates(raw: DataFrame) -> DataFrame:
     """Rewrite ``date`` as ``YYYY-MM-DD`` plus marker; NULL where no date is found."""
-    key = F.col("date")
-    text = dates.session_key(dates.date_part_of(key), dates.session_part_of(key))
-    return raw.withColumn("date", text)
+    return raw.withColumn("date", dates.canonical_key(F.col("date")))
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
@@ -38,15 +34,15 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def one_per_session(raw: DataFrame) -> DataFrame:
-    """Keep one row per (ticker, date): the largest (close, volume, high, low, open).
+def one_per_session(bars: DataFrame) -> DataFrame:
+    """Keep one row per key: the largest (close, volume, high, low, open).
 
     Conflicting rows would leave the bar order undefined. The row limit runs on
     both sides of the shuffle, so a repeated key never gathers in one task.
     """
     order = [F.col(name).desc() for name in ("close", "volume", "high", "low", "open")]
-    w = W.partitionBy("ticker", "date").orderBy(*order)
-    return raw.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    w = W.partitionBy("ticker", "trade_date", "session").orderBy(*order)
+    return bars.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -62,13 +58,14 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Canonical dates, no nulls, one row per (ticker, date); typed bars out.
+    """Typed bars without nulls, one row per (ticker, date, session).
 
     The result is unique per (ticker, trade_date, session), so a ticker holds at
     most three bars per calendar day however often its rows were repeated.
     """
-    # One row per key makes a separate whole-row distinct redundant.
-    return typed(one_per_session(drop_nulls(canonical_dates(raw), _RAW)))
+    # The date text is parsed once, into the typed key; one row per key makes a
+    # separate whole-row distinct redundant.
+    return one_per_session(drop_nulls(typed(raw)))
 
 
 def collapse_sessions(bars: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ def normalize_history(vendor: DataFrame, ticker: str | None = None) -> DataFrame
     """Vendor bars (``time`` first) as raw bars with a ``YYYY-MM-DD`` text date."""
     name = F.lit(ticker) if ticker else F.col("ticker")
     return vendor.select(
-        F.date_format("time", "yyyy-MM-dd").alias("date"),
+        F.to_date("time").cast("string").alias("date"),
         name.alias("ticker"),
         *PRICES,
         "volume",

@@ -126,12 +126,23 @@ def align_by_position(df: DataFrame, count: int) -> DataFrame:
     return df.select(*names, *extra)
 
 
-def feature_importance(spark: SparkSession, model: Model, top: int = 3) -> DataFrame:
-    """The strongest features of a tree model with their share in percent."""
-    rows = [
-        (name, float(weight))
-        for name, weight in zip(FEATURES, model.featureImportances.toArray(), strict=True)
-    ]
+def _shares(model: Model | scoring.LinearScorer) -> list[float]:
+    """Share of each feature: split gains of trees, or sizes of linear weights."""
+    if isinstance(model, scoring.LinearScorer):
+        sizes = [abs(float(model.weights.get(name, 0.0))) for name in FEATURES]
+    elif isinstance(model, LogisticRegressionModel):
+        sizes = [abs(weight) for weight in model.coefficients.toArray().tolist()]
+    else:
+        sizes = model.featureImportances.toArray().tolist()
+    total = sum(sizes) or 1.0
+    return [size / total for size in sizes]
+
+
+def feature_importance(
+    spark: SparkSession, model: Model | scoring.LinearScorer, top: int = 3
+) -> DataFrame:
+    """The strongest features of a model with their share in percent."""
+    rows = list(zip(FEATURES, _shares(model), strict=True))
     order = W.partitionBy(F.lit(1)).orderBy(F.desc("importance"), "feature")
     return (
         spark.createDataFrame(rows, "feature string, importance double")

@@ -892,14 +892,12 @@ def data_freshness(spark, sf_dir):
 @query("report_bundle")
 def report_bundle(spark, sf_dir):
     """Row counts of every report table, with a scorer in the model's place."""
-    wide = _wide(spark, sf_dir)
-    weights = [(name, abs(weight)) for name, weight in sample.BLEND.weights.items()]
     tables = report.report_bundle(
         published.read(spark, sf_dir, "raw"),
         published.read(spark, sf_dir, "features"),
-        wide,
+        _wide(spark, sf_dir),
         _model_runs(spark, sf_dir),
-        spark.createDataFrame(weights, "feature string, importance double"),
+        models.feature_importance(spark, sample.BLEND),
         AS_OF,
     )
     counts = None

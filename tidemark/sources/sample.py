@@ -101,7 +101,7 @@ def raw_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars with text dates: plain, ``(1)`` or ``(2)`` by supplier number."""
     daily = bars(spark, sf_dir, "day")
     session = F.substring("ticker", 2, 20).cast("bigint") % 3
-    day = F.date_format("trade_date", "yyyy-MM-dd")
+    day = F.col("trade_date").cast("string")
     mark = F.when(session == 1, "(1)").when(session == 2, "(2)").otherwise("")
     return daily.select(
         F.concat(day, mark).alias("date"), "ticker", "open", "high", "low", "close", "volume"
@@ -115,7 +115,7 @@ def raw_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     may carry a time, some have no date at all and some no volume.
     """
     rows = trades(spark, sf_dir)
-    day = F.date_format("trade_date", "yyyy-MM-dd")
+    day = F.col("trade_date").cast("string")
     kind = F.col("l_orderkey") % 10
     text = (
         F.when(kind == 0, "n/a")
