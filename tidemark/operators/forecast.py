@@ -124,8 +124,13 @@ def forecast(
 
 
 def to_long(entries: DataFrame) -> DataFrame:
+    """One row per forecast day; every ticker has entries.
+
+    The outer form keeps the optimizer from testing the array for emptiness first,
+    which would roll the forecast a second time.
+    """
     return entries.select(
-        "ticker", "latest_data_date", F.explode("entries").alias("e")
+        "ticker", "latest_data_date", F.explode_outer("entries").alias("e")
     ).select("ticker", "latest_data_date", "e.*").select(*FORECAST_LONG.fieldNames())
 
 

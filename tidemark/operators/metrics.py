@@ -157,6 +157,11 @@ def champion_gate(runs: DataFrame) -> DataFrame:
     )
 
 
+def champion(gate: DataFrame) -> DataFrame:
+    """The run promoted last, as one row."""
+    return gate.filter("promoted").orderBy(F.desc("run_no")).limit(1)
+
+
 def leaderboard(runs: DataFrame, digits: int = 4) -> DataFrame:
     """Models by AUC with the best one marked."""
     best = runs.agg(F.max_by("model", F.struct("auc", "model"))).scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -83,6 +83,19 @@ def linear_scorer(model: LogisticRegressionModel, name: str = "logistic") -> sco
     return scoring.LinearScorer(name, float(model.intercept), weights)
 
 
+def save_model(model: Model, path: str) -> None:
+    PipelineModel([model]).write().overwrite().save(path)
+
+
+def load_model(path: str) -> Model:
+    return PipelineModel.load(path).stages[0]
+
+
+def compiled(model: Model) -> Model | scoring.LinearScorer:
+    """The model as a column expression where it can be one."""
+    return linear_scorer(model) if isinstance(model, LogisticRegressionModel) else model
+
+
 def score(model: Model | scoring.LinearScorer, df: DataFrame) -> DataFrame:
     """Add ``probability`` and ``prediction``."""
     if isinstance(model, scoring.LinearScorer):

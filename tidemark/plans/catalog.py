@@ -403,7 +403,7 @@ def zscore_train(spark, sf_dir):
     target = store.new_path(spark, "scaler")
     scale.scaler_stats(train).write.parquet(target)
     fitted = scale.scaler_row_of(
-        spark.read.schema("feature string, mean double, std double").parquet(target)
+        spark.read.schema(schemas.SCALER).parquet(target)
     )
     scaled = scale.zscore(rows, fitted, DIGITS)
     return scaled.select("ticker", "trade_date", *schemas.SCALED)
@@ -652,14 +652,10 @@ def align_by_position(spark, sf_dir):
 @query("daily_job")
 def daily_job(spark, sf_dir):
     """Train, record, forecast and publish; the published table is read back."""
-    root = store.new_path(spark, "daily")
-    paths = jobs.Paths(
+    paths = jobs.Paths.under(
+        store.new_path(spark, "daily"),
         published.path(spark, sf_dir, "raw"),
-        published.path(spark, sf_dir, "features"),
-        published.path(spark, sf_dir, "info"),
-        f"{root}/forecast",
-        f"{root}/runs",
-        f"{root}/state",
+        features=published.path(spark, sf_dir, "features"),
     )
     result = jobs.daily_job(spark, paths, AS_OF, models.fit_logistic, "logistic")
     return result["wide"]

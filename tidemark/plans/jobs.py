@@ -6,12 +6,13 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import dates, scoring
+from tidemark.functions import dates
 from tidemark.operators import (
     clean,
     features,
@@ -28,7 +29,7 @@ from tidemark.sources import files
 
 log = logging.getLogger(__name__)
 
-Trainer = Callable[[DataFrame], Model | scoring.LinearScorer]
+Trainer = Callable[[DataFrame], Model]
 
 
 @dataclass(frozen=True)
@@ -38,34 +39,49 @@ class Paths:
     raw: str
     features: str
     info: str
-    forecast: str
+    scaler: str
+    models: str
     runs: str
+    forecast: str
     state: str
 
     @classmethod
-    def under(cls, root: str, raw: str) -> Paths:
-        names = ("features", "info", "forecast", "runs", "state")
-        return cls(raw, *(f"{root}/{name}" for name in names))
+    def under(cls, root: str, raw: str, **given: str) -> Paths:
+        names = ("features", "info", "scaler", "models", "runs", "forecast", "state")
+        return cls(raw, **{name: given.get(name, f"{root}/{name}") for name in names})
 
 
 def preprocess(
     spark: SparkSession,
     paths: Paths,
     recent_days: int | None = None,
+    collapse: bool = False,
+    train_share: float | None = None,
     digits: int | None = None,
 ) -> dict[str, int]:
     """Raw bars to the scaled feature table and the latest price table.
 
-    One lazy plan and one write per table.
+    One lazy plan and one write per table. ``collapse`` merges the session bars of
+    a day. By default all rows fit the scaler; with ``train_share`` only the oldest
+    share does, and the statistics are stored before they are used.
     """
     raw = files.scan_raw(spark, paths.raw)
     bars = clean.clean(raw)
+    if collapse:
+        bars = clean.collapse_sessions(bars)
     if recent_days is not None:
         bars = ingest.recent_days(bars, recent_days)
     if segments.any_long(raw):
         bars = segments.split_long(bars)
-    table = scale.feature_table(features.feature_rows(bars), digits=digits)
-    files.save_features(table, paths.features)
+    rows = features.feature_rows(bars)
+    scaler = None
+    if train_share is not None:
+        folds = metrics.time_split(rows, F.col("trade_date"), train_share)
+        fitted = scale.scaler_stats(folds.filter("fold = 'train'"))
+        fitted.write.mode("overwrite").parquet(paths.scaler)
+        stored = spark.read.schema(schemas.SCALER).parquet(paths.scaler)
+        scaler = scale.scaler_row_of(stored)
+    files.save_features(scale.feature_table(rows, scaler, digits), paths.features)
     # The newest row needs no cleaned table: ties go to the larger close and volume.
     newest = latest.newest_per_ticker(clean.canonical_dates(raw), ["date", "close", "volume"])
     newest.select(*schemas.STOCK_INFO.fieldNames()).write.mode("overwrite").parquet(paths.info)
@@ -80,7 +96,7 @@ def split_folds(table: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def train(
     table: DataFrame, trainer: Trainer, run_id: str, name: str, as_of: str
-) -> tuple[Model | scoring.LinearScorer, DataFrame]:
+) -> tuple[Model, DataFrame]:
     """Fit on the older rows; the run's row of metrics comes from the newer ones."""
     older, newer = split_folds(table)
     model = trainer(older)
@@ -103,19 +119,25 @@ def daily_job(
     name: str = "gbt",
     days: int = schemas.HORIZON,
 ) -> dict:
-    """Train, record the run, forecast, publish, and build the report tables.
+    """Train, record the run, forecast with the champion, publish, report.
 
-    A failed forecast is reported and does not undo the training.
+    Every run keeps its own model folder, so the previous champion stays as it
+    was. A failed forecast is reported and does not undo the training.
     """
     table = files.scan_features(spark, paths.features)
-    model, run = train(table, trainer, f"{name}-{as_of}", name, as_of)
+    run_id = f"{name}-{as_of}"
+    model, run = train(table, trainer, run_id, name, as_of)
+    models.save_model(model, f"{paths.models}/{run_id}")
     files.save_metrics(run, paths.runs)
     runs = files.scan_metrics(spark, paths.runs)
     gate = metrics.champion_gate(runs)
-    result: dict = {"status": "success", "runs": runs, "gate": gate, "model": model}
+    best = metrics.champion(gate).first()["run_id"]
+    result: dict = {"status": "success", "runs": runs, "gate": gate, "champion": best}
     try:
+        if best != run_id:
+            model = models.load_model(f"{paths.models}/{best}")
         newest = latest.latest_features(table)
-        entries = forecast.forecast(model, newest, as_of, days)
+        entries = forecast.forecast(models.compiled(model), newest, as_of, days)
         forecast.to_wide(entries, days).write.mode("overwrite").parquet(paths.forecast)
     except Exception as error:  # noqa: BLE001 - the run itself stays valid
         log.warning("forecast failed: %s", error)
@@ -141,7 +163,7 @@ def gated_job(
     state_schema = "latest_date string, last_processed_at string"
     try:
         state = spark.read.schema(state_schema).parquet(paths.state)
-    except Exception:  # noqa: BLE001 - no state yet
+    except AnalysisException:
         state = spark.createDataFrame([], state_schema)
     gate = ingest.freshness_gate(raw, state, as_of, force=force).first()
     if not gate["success"]:

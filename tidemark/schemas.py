@@ -73,6 +73,12 @@ FEATURE_TABLE = _struct(
     ("close", T.DoubleType()),
 )
 
+SCALER = _struct(
+    ("feature", T.StringType()),
+    ("mean", T.DoubleType()),
+    ("std", T.DoubleType()),
+)
+
 STOCK_INFO = _struct(
     ("ticker", T.StringType()),
     ("close", T.DoubleType()),
