@@ -14,6 +14,12 @@ SMALL = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parent.parent
 
 
+@pytest.fixture(autouse=True)
+def whole_metadata(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "500")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
