@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import to_digits
 from tidemark.schemas import FEATURES
 
 PROBABILITY_DIGITS = 9
@@ -27,7 +28,7 @@ class LinearScorer:
         for name in FEATURES:
             if name in self.weights:
                 total = total + F.lit(float(self.weights[name])) * value(name)
-        return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-total)), PROBABILITY_DIGITS)
+        return to_digits(F.lit(1.0) / (F.lit(1.0) + F.exp(-total)), PROBABILITY_DIGITS)
 
     def on_scaled(self) -> Column:
         return self.probability(lambda name: F.col(f"{name}_scaled"))

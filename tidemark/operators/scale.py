@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
+from tidemark.functions.numbers import to_digits
 from tidemark.schemas import FEATURE_TABLE, FEATURES
 
 
@@ -52,7 +53,7 @@ def zscore(
     def scaled(name: str) -> Column:
         mean, std = F.col(f"_fit.{name}_mean"), F.col(f"_fit.{name}_std")
         value = F.when(std > 0, (F.col(name) - mean) / std).otherwise(0.0)
-        return value if digits is None else F.round(value, digits)
+        return value if digits is None else to_digits(value, digits)
 
     return held.withColumns({f"{name}_scaled": scaled(name) for name in FEATURES}).drop("_fit")
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import dates, scoring, tiers
+from tidemark.functions import dates, tiers
+from tidemark.functions.numbers import to_digits
 from tidemark.operators import (
     clean,
     features,
@@ -48,7 +49,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = RATIO_DIGITS) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in columns})
+    return df.withColumns({name: to_digits(F.col(name), digits) for name in columns})
 
 
 # Sources and sinks
@@ -470,7 +471,7 @@ def _model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select(
         F.concat_ws("-", "model", "year").alias("run_id"),
         "model",
-        *(F.round(name, RATIO_DIGITS).alias(name) for name in ("accuracy", "f1", "auc")),
+        *(to_digits(F.col(name), RATIO_DIGITS).alias(name) for name in ("accuracy", "f1", "auc")),
         F.to_date(F.concat("year", F.lit("-12-31"))).alias("saved_at"),
     )
 
