@@ -452,6 +452,27 @@ def statements() -> dict[str, str]:
         WHEN days_old <= 2 THEN 'RECENT' ELSE 'STALE' END AS freshness
       FROM (SELECT count(*) AS total_rows, max(trade_date) AS latest_date,
         CAST({_TODAY} - max(trade_date) AS INTEGER) AS days_old FROM bars)"""
+    sql["report_bundle"] = b.with_(
+        *b.WIDE_CHAIN, b.ALL_SCORES, b.RUNS, recursive=True
+    ) + """
+      SELECT 'day1_breadth' AS name, CAST(1 AS BIGINT) AS rows
+      UNION ALL SELECT 'day1_top', least(5, count(*) FILTER (day_1_prediction = 1))
+        + least(5, count(*) FILTER (day_1_prediction = 0)) FROM wide
+      UNION ALL SELECT 'week_breadth', count(DISTINCT day) FROM long WHERE day <= 5
+      UNION ALL SELECT 'recent_tail', CAST(sum(least(n, 30)) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM scaled GROUP BY ticker)
+      UNION ALL SELECT 'data_freshness', 1
+      UNION ALL SELECT 'feature_importance', 3
+      UNION ALL SELECT 'metrics', count(*) FROM runs
+      UNION ALL SELECT 'forecast_csv', count(*) FROM wide"""
+
+    # Jobs
+    sql["gated_job"] = b.with_(b.bars()) + f"""
+      SELECT CAST(run AS INTEGER) AS run,
+        CASE run WHEN 1 THEN 'success' ELSE 'skipped' END AS status,
+        strftime(newest, '%Y-%m-%d') AS latest_date,
+        CAST({_TODAY} - newest AS INTEGER) AS days_old, run = 1 AS has_new_data
+      FROM (SELECT max(trade_date) AS newest FROM bars), (VALUES (1), (2)) AS r(run)"""
 
     # Streaming: append mode holds a day back until the watermark passes its end.
     sql["stream_session_bar"] = b.with_(b.TICKS, b.SESSION_BARS) + f"""

@@ -78,7 +78,8 @@ def merge_raw(spark: SparkSession, path: str, new: DataFrame) -> None:
     """
     columns = schemas.RAW_BARS.fieldNames()
     new = new.select(*columns)
-    months = _with_month(new).select(_MONTH).distinct()
+    # One row per calendar month: copied to all tasks, it prunes the folders read.
+    months = F.broadcast(_with_month(new).select(_MONTH).distinct())
     stored = scan_raw_months(spark, path).join(months, _MONTH, "left_semi").select(*columns)
     save_raw(ingest.upsert_keep_last(stored, new), path)
 
