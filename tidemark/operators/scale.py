@@ -45,15 +45,22 @@ def zscore(
     ``scaler`` is a one-row frame from ``scaler_row`` (training rows only, or a
     stored run); by default all given rows are used. It enters as one scalar
     subquery, so the exchange below the features is read twice, not built twice.
+    The case of a constant feature is settled in that one row: division by
+    infinity gives 0, and the code generated for each row stays short.
     """
     fitted = scaler_row(features) if scaler is None else scaler
-    row = fitted.select(F.struct(*fitted.columns)).scalar()
+    parts: list[Column] = []
+    for name in FEATURES:
+        std = F.col(f"{name}_std")
+        parts.append(F.col(f"{name}_mean"))
+        parts.append(F.when(std > 0, std).otherwise(float("inf")).alias(f"{name}_std"))
+    row = fitted.select(F.struct(*parts)).scalar()
     held = features.withColumn("_fit", row)
 
     def scaled(name: str) -> Column:
-        mean, std = F.col(f"_fit.{name}_mean"), F.col(f"_fit.{name}_std")
-        value = F.when(std > 0, (F.col(name) - mean) / std).otherwise(0.0)
-        return value if digits is None else to_digits(value, digits)
+        value = (F.col(name) - F.col(f"_fit.{name}_mean")) / F.col(f"_fit.{name}_std")
+        # The sum with zero turns -0.0 into 0.0.
+        return value + F.lit(0.0) if digits is None else to_digits(value, digits)
 
     return held.withColumns({f"{name}_scaled": scaled(name) for name in FEATURES}).drop("_fit")
 

@@ -11,6 +11,8 @@ def local_session(cpus: str | int = 8, memory: str = "16g") -> SparkSession:
         .appName("tidemark")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot does not compile methods above this size; smaller pieces run faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
