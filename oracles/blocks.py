@@ -8,8 +8,14 @@ from tidemark.sources.sample import SCORERS
 
 
 def rounded(value: str, digits: int) -> str:
-    """Round without a negative zero."""
-    return f"(round({value}, {digits}) + CAST(0 AS DOUBLE))"
+    """Round without a negative zero.
+
+    Values shown with a few digits round halves up. Values stored with six digits
+    and more round as the library does it, in double arithmetic with halves to even.
+    """
+    if digits < 6:
+        return f"(round({value}, {digits}) + CAST(0 AS DOUBLE))"
+    return f"(round_even(({value}) * 1e{digits}, 0) / 1e{digits} + CAST(0 AS DOUBLE))"
 
 
 def dbl(value: float) -> str:

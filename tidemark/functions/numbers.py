@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def to_digits(value: Column, digits: int) -> Column:
-    """Nearest multiple of ``10**-digits``, in plain double arithmetic.
+    """Nearest multiple of ``10**-digits`` (halves to even), in double arithmetic.
 
     ``round`` goes through decimal text and takes as long as the features
     themselves on wide tables. The sum with zero turns -0.0 into 0.0.
