@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {_KEY} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
