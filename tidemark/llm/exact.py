@@ -32,6 +32,8 @@ from tidemark.llm import common
 # Rows per bucket: a filter over as many keys takes about 1.2 bytes a key.
 BUCKET_ROWS = 200_000
 ATTEMPTS = 100
+# Digests whose filters are sent to every executor: 20 MB.
+BROADCAST_DIGESTS = 16_000_000
 _MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -115,29 +117,54 @@ class FuseFilter:
         return self._prints(h) == self.slots[a] ^ self.slots[b] ^ self.slots[c]
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
+def _keys(digests) -> np.ndarray:
     """64 bits of each digest; short digests are padded."""
     return np.array([int.from_bytes(d[:8].ljust(8, b"\0"), "little") for d in digests], np.uint64)
 
 
-def digested(docs: DataFrame, key: str, text: str, digest_bytes: int, keep_text: bool) -> DataFrame:
-    """``key``, ``sha`` (SHA-256 of the normalised text), ``digest`` (its first bytes), ``body``."""
+def _may_hold(filters: dict[int, FuseFilter], buckets: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Asks the filter of each key's bucket; a bucket without filter holds nothing."""
+    out = np.zeros(len(keys), bool)
+    for bucket in np.unique(buckets).tolist():
+        if bucket in filters:
+            rows = np.flatnonzero(buckets == bucket)
+            out[rows] = filters[bucket].may_hold(keys[rows])
+    return out
+
+
+def digested(
+    docs: DataFrame, key: str, text: str, n_buckets: int, digest_bytes: int, filters=None
+) -> DataFrame:
+    """``doc_id``, ``sha`` (SHA-256 of the normalised text), ``digest`` (its first bytes), ``bucket``.
+
+    With ``filters``, a broadcast of filters by bucket, also ``body``, the normalised
+    text, and only rows that the filters let through; an empty broadcast lets all through.
+    """
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    schema = f"doc_id {dict(source.dtypes)['doc_id']}, sha binary, digest binary"
+    schema = f"doc_id {dict(source.dtypes)['doc_id']}, sha binary, digest binary, bucket int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.steps(batches, 1):
             bodies = [(b or b"").lower() for b in batch.column(1).cast(pa.binary()).to_pylist()]
             shas = [hashlib.sha256(b).digest() for b in bodies]
-            columns = [batch.column(0), pa.array(shas, pa.binary())]
-            columns.append(pa.array([s[:digest_bytes] for s in shas], pa.binary()))
-            names = ["doc_id", "sha", "digest"]
-            if keep_text:
+            keys = _keys(s[:digest_bytes] for s in shas)
+            buckets = (keys % np.uint64(n_buckets)).astype(np.int32)
+            columns = [
+                batch.column(0),
+                pa.array(shas, pa.binary()),
+                pa.array([s[:digest_bytes] for s in shas], pa.binary()),
+                pa.array(buckets, pa.int32()),
+            ]
+            names = ["doc_id", "sha", "digest", "bucket"]
+            if filters is not None:
                 columns.append(pa.array(bodies, pa.binary()).cast(pa.string()))
                 names.append("body")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            out = pa.RecordBatch.from_arrays(columns, names)
+            if filters is not None and filters.value:
+                out = out.filter(pa.array(_may_hold(filters.value, buckets, keys)))
+            yield out
 
-    return source.mapInArrow(run, schema + (", body string" if keep_text else ""))
+    return source.mapInArrow(run, schema + (", body string" if filters is not None else ""))
 
 
 def build_filters(snapshot: DataFrame) -> DataFrame:
@@ -152,32 +179,34 @@ def build_filters(snapshot: DataFrame) -> DataFrame:
     return snapshot.select("bucket", "digest").groupBy("bucket").applyInPandas(build, schema)
 
 
+def _loaded(rows) -> dict[int, FuseFilter]:
+    return {
+        r.bucket: FuseFilter(r.seed, r.segment, r.segments, np.frombuffer(r.slots, np.uint8)) for r in rows
+    }
+
+
 def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
     """``bucket``, ``digest`` and ``maybe``: whether the snapshot may hold the digest."""
 
     def check(pdf: pd.DataFrame, filter_rows: pd.DataFrame) -> pd.DataFrame:
-        out = pdf[["bucket", "digest"]].assign(maybe=False)
-        for row in filter_rows.itertuples():
-            slots = np.frombuffer(row.slots, np.uint8)
-            own = FuseFilter(row.seed, row.segment, row.segments, slots)
-            out["maybe"] = own.may_hold(_keys(pdf["digest"]))
-        return out
+        own = _loaded(filter_rows.itertuples())
+        maybe = _may_hold(own, pdf["bucket"].to_numpy(), _keys(pdf["digest"]))
+        return pdf[["bucket", "digest"]].assign(maybe=maybe)
 
     left = incoming.select("bucket", "digest").groupBy("bucket")
     schema = "bucket int, digest binary, maybe boolean"
     return left.cogroup(filters.groupBy("bucket")).applyInPandas(check, schema)
 
 
-def suspects(rows: DataFrame, n_buckets: int) -> DataFrame:
-    """Digests on more than one row; ``rows`` has ``digest`` and ``fresh`` (new batch or snapshot)."""
-    counted = rows.groupBy("fresh", "digest").agg(F.count("*").alias("n"))
-    counted = counted.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n_buckets)).cast("int"))
+def suspects(rows: DataFrame) -> DataFrame:
+    """Digests on more than one row; ``rows`` has ``bucket``, ``digest`` and ``fresh`` (new batch or snapshot)."""
+    counted = rows.groupBy("fresh", "bucket", "digest").agg(F.count("*").alias("n"))
     counted = common.written(counted, "digests")
     snapshot, incoming = counted.filter("not fresh"), counted.filter("fresh")
     screened = screen(incoming, common.written(build_filters(snapshot), "filters"))
-    positive = screened.filter("maybe").select("digest")
-    seen = positive.join(snapshot.select("digest"), "digest", "left_semi")
-    return counted.filter("n > 1").select("digest").union(seen).distinct()
+    positive = screened.filter("maybe").select("bucket", "digest")
+    seen = positive.join(snapshot.select("digest"), "digest", "left_semi").select("bucket", "digest")
+    return counted.filter("n > 1").select("bucket", "digest").union(seen).distinct()
 
 
 def dedup(
@@ -196,13 +225,10 @@ def dedup(
     """
     if fresh is None:
         fresh = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
-    rows = digested(docs, key, text, digest_bytes, keep_text=False).withColumn(
-        "fresh", F.coalesce(fresh, F.lit(True))
-    )
-    rows = common.written(rows, "rows")
-    several = common.written(
-        suspects(rows, 1 + rows.count() // BUCKET_ROWS), "suspects"
-    )
+    n_buckets = 1 + docs.count() // BUCKET_ROWS
+    rows = digested(docs, key, text, n_buckets, digest_bytes)
+    rows = common.written(rows.withColumn("fresh", F.coalesce(fresh, F.lit(True))), "rows")
+    several = common.written(suspects(rows), "suspects")
     single = rows.join(several, "digest", "left_anti").select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -210,12 +236,24 @@ def dedup(
         F.lit(True).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
-    return single.unionByName(_grouped(digested(docs, key, text, digest_bytes, keep_text=True), several))
+    texts = digested(docs, key, text, n_buckets, digest_bytes, _suspect_filters(several))
+    texts = common.written(texts.join(several.select("digest"), "digest", "left_semi"), "texts")
+    return single.unionByName(_grouped(texts))
+
+
+def _suspect_filters(several: DataFrame):
+    """Filters over the suspects for all executors, so that other texts need not be moved.
+
+    About 1.2 bytes a digest; beyond ``BROADCAST_DIGESTS`` none are sent and the join
+    that follows, which decides in either case, gets all texts.
+    """
+    small = several.count() <= BROADCAST_DIGESTS
+    rows = build_filters(several).collect() if small else []
+    return several.sparkSession.sparkContext.broadcast(_loaded(rows))
 
 
-def _grouped(texts: DataFrame, several: DataFrame) -> DataFrame:
+def _grouped(texts: DataFrame) -> DataFrame:
     """Rows of suspect digests, grouped by their bytes."""
-    texts = texts.join(several, "digest", "left_semi")
     groups = texts.groupBy("digest", "body").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
     )
