@@ -74,6 +74,32 @@ class _Memory(dict):
         return packed
 
 
+class Pieces:
+    """Cuts text into pieces and packs the ids that ``encode_piece`` gives for each.
+
+    The strings of special tokens get their own ids wherever they stand.
+    """
+
+    def __init__(self, encode_piece, special: dict[str, int]):
+        self.special = special
+        self.known = _Memory(encode_piece)
+        longest_first = sorted(special, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+
+    def _plain(self, text: str) -> bytes:
+        pieces = (_ANY_TEXT if _BEYOND_LATIN.search(text) else _LATIN).findall(text)
+        return b"".join(map(self.known.__getitem__, pieces))
+
+    def packed(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        if not any(word in text for word in self.special):
+            return self._plain(text)
+        return b"".join(
+            np.array([self.special[part]], "<u4").tobytes() if part in self.special else self._plain(part)
+            for part in self._cut.split(text)
+        )
+
+
 class Codec:
     """A vocabulary file of byte-level merges, ready to encode and decode."""
 
@@ -82,12 +108,12 @@ class Codec:
             spec = json.load(file)
         symbols = _byte_of_symbol()
         vocab = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*vocab.values(), *self.special.values()])
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        size = 1 + max([*vocab.values(), *special.values()])
         self.bytes = [b""] * size
         for word, token in vocab.items():
             self.bytes[token] = bytes(symbols[c] for c in word)
-        for word, token in self.special.items():
+        for word, token in special.items():
             self.bytes[token] = word.encode()
         self._load_merges(spec["model"]["merges"], vocab, size)
         self._load_prefixes(vocab)
@@ -95,12 +121,7 @@ class Codec:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.length = self.lengths.tolist()
-        self._cut = (
-            re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-            if self.special
-            else None
-        )
-        self._known = _Memory(self.encode_piece)
+        self.pieces = Pieces(self.encode_piece, special)
         self._fits: dict[tuple[int, int], bool] = {}
 
     def _load_merges(self, merges, vocab: dict[str, int], size: int) -> None:
@@ -186,23 +207,9 @@ class Codec:
                 token = out.pop()
                 at -= length[token]
 
-    def _encode_plain(self, text: str) -> bytes:
-        pieces = (_ANY_TEXT if _BEYOND_LATIN.search(text) else _LATIN).findall(text)
-        return b"".join(map(self._known.__getitem__, pieces))
-
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers.
-
-        The strings of special tokens get their own ids wherever they stand.
-        """
-        if self._cut is None or not any(word in text for word in self.special):
-            return self._encode_plain(text)
-        return b"".join(
-            np.array([self.special[part]], "<u4").tobytes()
-            if part in self.special
-            else self._encode_plain(part)
-            for part in self._cut.split(text)
-        )
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        return self.pieces.packed(text)
 
     def decode_bytes(self, packed: bytes) -> bytes:
         ids = np.frombuffer(packed, "<u4").astype(np.int64)

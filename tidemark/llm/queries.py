@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact
+from tidemark.llm import bpe, exact, packing, pii
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,20 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(encoded, path))
 
 
+@query("op4_pii")
+def op4_pii(spark, sf_dir):
+    """Spans of personal data in every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digests(pii.find(docs))
+
+
 @query("op5_exact_dedup")
 def op5_exact_dedup(spark, sf_dir):
     return exact.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def op7_packing(spark, sf_dir):
+    """All documents in sequences of 2048 tokens."""
+    path = public_tokenizers.path(VOCABULARY)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
