@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact, packing, pii
+from tidemark.llm import bpe, exact, jaccard, packing, pii
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,9 @@ def op7_packing(spark, sf_dir):
     """All documents in sequences of 2048 tokens."""
     path = public_tokenizers.path(VOCABULARY)
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark, sf_dir):
+    """Components of documents whose 3-word shingle sets are 90 % alike."""
+    return jaccard.components(table(spark, sf_dir, "documents"))
