@@ -7,11 +7,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources import store
 
 # Bytes of text that one step inside a task works on at a time.
 STEP_BYTES = 2 << 20
+# Most rows of ids that are sent to all executors; more are joined by shuffling.
+BROADCAST_IDS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,3 +54,8 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
         for c, f in zip(columns, schema, strict=True)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """Rows of ids to be broadcast if there are few enough; shuffled otherwise."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

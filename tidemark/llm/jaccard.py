@@ -40,8 +40,6 @@ BAND_RATIO = 1.5
 BLOCK_WORDS = 2
 # Words of the fixed sketch that pairs are screened with.
 SCREEN_WORDS = 16
-# Most class ids that are sent to all executors; more are joined by shuffling.
-BROADCAST_IDS = 2_000_000
 # Members outside the largest component that a round compares with all of a block.
 PIVOTS = (8, 64, 512, 1 << 62)
 
@@ -338,19 +336,14 @@ def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Thr
 def _candidates(members: DataFrame, sketched: DataFrame, source: DataFrame, size: int) -> DataFrame:
     """The sets of the classes in any shared block, each from one of its documents."""
     ids = common.written(members.select("sid").distinct(), "ids")
-    docs = sketched.join(_bounded(ids), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    docs = sketched.join(common.bounded(ids), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     docs = common.written(docs.select(F.col("doc_id").alias("id")).distinct(), "candidates")
-    chosen = source.join(_bounded(docs), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    chosen = source.join(common.bounded(docs), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     # Keys may repeat: what else they bring in is taken out again.
-    sets = whole_sets(chosen, size).join(_bounded(ids), "sid", "left_semi")
+    sets = whole_sets(chosen, size).join(common.bounded(ids), "sid", "left_semi")
     return common.written(sets.dropDuplicates(["sid"]), "sets")
 
 
-def _bounded(ids: DataFrame) -> DataFrame:
-    """Ids to be broadcast if there are few enough; shuffled otherwise."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90
 ) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, jaccard, packing, pii
+from tidemark.llm import bpe, curves, exact, jaccard, language, packing, pii, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +56,28 @@ def op7_packing(spark, sf_dir):
 def op8_jaccard(spark, sf_dir):
     """Components of documents whose 3-word shingle sets are 90 % alike."""
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query("op9_curves")
+def op9_curves(spark, sf_dir):
+    """The 20 nearest vectors of every twentieth."""
+    return curves.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    """Scores of all texts by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    known = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    model = toxicity.learn(docs, known)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op6_language")
+def op6_language(spark, sf_dir):
+    """Languages of all texts by a network trained on rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    network = language.learn(docs.filter(~language.held_out()))
+    predicted = language.predict(docs, network)
+    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
