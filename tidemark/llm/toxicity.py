@@ -40,11 +40,11 @@ from tidemark.llm import common
 FIT_ROWS = 20_000
 # A feature stands in at least this share of the toxic texts, and in so many.
 SUPPORT_SHARE = 0.01
-SUPPORT = 3
+SUPPORT = 4
 # Most features that are weighed; a text of a thousand features cannot reach it at the share above.
 FEATURES = 200_000
-# Least log odds of an insult.
-LEAST_WEIGHT = 1.5
+# Least log odds of an insult: twenty times as frequent in toxic texts.
+LEAST_WEIGHT = 3.0
 PREFIXES = (4, 5, 6)
 THREAT_WEIGHT = 1.0
 CLAUSE_CAP = 10.0
