@@ -243,7 +243,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
             ids = [own.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], [key, "ids"])
 
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -259,7 +259,7 @@ def decode(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str =
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], [key, "ids", "text"]
             )
 
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:

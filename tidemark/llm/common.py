@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -13,6 +13,8 @@ from tidemark.sources import store
 
 # Bytes of text that one step inside a task works on at a time.
 STEP_BYTES = 2 << 20
+# Rows that go to Python at a time: texts are long, and buffers lie outside the heap.
+BATCH_ROWS = 500
 # Most rows of ids that are sent to all executors; more are joined by shuffling.
 BROADCAST_IDS = 2_000_000
 
@@ -32,6 +34,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def steps(
     batches: Iterator[pa.RecordBatch], column: int, size: int = STEP_BYTES
 ) -> Iterator[pa.RecordBatch]:

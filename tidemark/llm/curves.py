@@ -151,7 +151,7 @@ def _placed(found: DataFrame, longest: float, dimension: int, asked: Column) ->
                         ["curve", "at", "role", "cid", "nth"],
                     )
 
-    return source.mapInArrow(run, "curve int, at long, role int, cid long, nth int")
+    return common.mapped(source, run, "curve int, at long, role int, cid long, nth int")
 
 
 def _positions(placed: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def _positions(placed: DataFrame) -> DataFrame:
                 n += int(seen[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], [*batch.schema.names, "before"])
 
-    lined = lined.mapInArrow(count, "curve int, at long, role int, cid long, nth int, before long")
+    lined = common.mapped(lined, count, "curve int, at long, role int, cid long, nth int, before long")
     lined = common.written(lined.withColumn("part", F.spark_partition_id()), "curve-order")
     held = lined.groupBy("curve", "part").agg(F.sum(1 - F.col("role")).alias("n"))
     base = held.select("curve", "part", F.expr("sum(n) over (partition by curve order by part) - n").alias("base"))

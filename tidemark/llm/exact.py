@@ -164,7 +164,7 @@ def digested(
                 out = out.filter(pa.array(_may_hold(filters.value, buckets, keys)))
             yield out
 
-    return source.mapInArrow(run, schema + (", body string" if filters is not None else ""))
+    return common.mapped(source, run, schema + (", body string" if filters is not None else ""))
 
 
 def build_filters(snapshot: DataFrame) -> DataFrame:

@@ -199,7 +199,7 @@ def sketches(source: DataFrame, size: int, threshold: Threshold) -> DataFrame:
             )
 
     kind = dict(source.dtypes)["doc_id"]
-    return source.mapInArrow(run, f"doc_id {kind}, n_shingles long, sid long, keys array<long>")
+    return common.mapped(source, run, f"doc_id {kind}, n_shingles long, sid long, keys array<long>")
 
 
 def whole_sets(source: DataFrame, size: int) -> DataFrame:
@@ -217,7 +217,7 @@ def whole_sets(source: DataFrame, size: int) -> DataFrame:
                 ["sid", "tokens", "screen"],
             )
 
-    return source.mapInArrow(run, "sid long, tokens array<long>, screen array<long>")
+    return common.mapped(source, run, "sid long, tokens array<long>, screen array<long>")
 
 
 def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:

@@ -260,7 +260,7 @@ def sample_windows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame
                 [pa.array(langs, pa.string()), pa.array(cuts, pa.binary())], ["lang", "bytes"]
             )
 
-    return sample.select("lang", "text").mapInArrow(run, "lang string, bytes binary")
+    return common.mapped(sample.select("lang", "text"), run, "lang string, bytes binary")
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
@@ -302,7 +302,7 @@ def predict(docs: DataFrame, network: Network | None, key: str = "doc_id", text:
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], [key, "lang_pred", "score"]
             )
 
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 def held_out(key: str = "doc_id") -> Column:

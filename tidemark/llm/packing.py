@@ -93,7 +93,7 @@ def pieces(
             )
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 @dataclass
@@ -251,7 +251,7 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, salt_rows:
 
     kinds = dict(source.dtypes)
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", sequence_id long, offset long"
-    return source.mapInArrow(place, schema)
+    return common.mapped(source, place, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
