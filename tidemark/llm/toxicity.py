@@ -259,7 +259,7 @@ def _counted(texts: DataFrame, only: frozenset[str] | None) -> DataFrame:
                 counts = Counter()
         yield _counts(counts)
 
-    return texts.mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return common.mapped(texts, run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _counts(counts: Counter[str]) -> pa.RecordBatch:
@@ -313,7 +313,7 @@ def measured(docs: DataFrame, model: Model, key: str, text: str = "text") -> Dat
             columns = [pa.array(c) for c in (*values.T, model.probability(values))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "best", "total", "clauses", "score"])
 
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -323,6 +323,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     )
 
 
+def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose text scores below one half, with all their columns."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = model.scanner()
+        for batch in common.steps(batches, place):
+            values = [model.measure(t or "", scanner) for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array(model.probability(np.array(values, float).reshape(-1, 3)) < 0.5))
+
+    return common.mapped(docs, run, docs.schema)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
