@@ -33,6 +33,7 @@ HEADLINE = (
     "model_runs",
     "train_lr",
     "train_gbt",
+    "daily_job",
     "market_summary",
     "top_buy",
     "recommendations",

@@ -140,7 +140,7 @@ feats AS (
     stddev_samp(return_1d) OVER {_frame(10)} AS volatility_10,
     {return_lags}
   FROM first_pass WINDOW w AS ({_WINDOW})),
-kept AS (SELECT * FROM feats WHERE {present})"""
+kept AS MATERIALIZED (SELECT * FROM feats WHERE {present})"""
 
 
 def scaled(fit: str = "kept") -> str:

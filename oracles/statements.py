@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles import blocks as b
-from tidemark.plans.catalog import INGEST_DAY
+from tidemark.plans.catalog import INGEST_DAY, STORED_UNTIL
 from tidemark.plans.published import AS_OF
 from tidemark.schemas import FEATURES, HORIZON
 
@@ -163,14 +163,14 @@ def statements() -> dict[str, str]:
           SELECT CAST(max(l_shipdate) AS DATE) AS last_date FROM lineitem))"""
     sql["recent_days"] = b.with_(b.bars("day")) + """
       SELECT * FROM bars WHERE trade_date >= (SELECT max(trade_date) - 30 FROM bars)"""
-    sql["freshness_gate"] = b.with_(b.bars("day"), b.RAW_MARKED) + f"""
+    sql["freshness_gate"] = b.with_(b.RAW_MESSY, b.CANONICAL) + f"""
       , seen AS (SELECT strftime(max(date_trunc('month', l_shipdate)), '%Y-%m-%d') AS d
         FROM lineitem WHERE l_linestatus = 'O')
       SELECT max(date) AS latest_date, count(*) AS total_rows, max(seen.d) AS cached_date,
         CAST({_TODAY} - CAST(substr(max(date), 1, 10) AS DATE) AS INTEGER) AS days_old,
         max(date) > max(seen.d) AS has_new_data, max(date) > max(seen.d) AS should_run,
         count(*) > 0 AS success, max(seen.d) AS last_processed_at
-      FROM raw_marked, seen"""
+      FROM canonical, seen"""
     sql["ingest_summary"] = b.with_(*_OLD_NEW, b.TICKS, b.SESSION_BARS) + f"""
       SELECT CAST(count(*) FILTER (src = 1) AS BIGINT) AS history_rows,
         count(*) FILTER (src = 2) AS intraday_rows, count(*) FILTER (src > 0) AS new_rows,
@@ -189,7 +189,7 @@ def statements() -> dict[str, str]:
     sql["drop_nulls"] = (
         messy + "SELECT * FROM canonical WHERE date IS NOT NULL AND volume IS NOT NULL"
     )
-    sql["dedup_rows"] = messy + "SELECT DISTINCT date, ticker, volume FROM canonical"
+    sql["dedup_rows"] = messy + "SELECT DISTINCT * FROM canonical"
     sql["dedup_keys"] = b.with_(b.RAW_MESSY, b.CANONICAL, b.CLEAN) + "SELECT * FROM cleaned"
     sql["collapse_sessions"] = b.with_(b.RAW_MESSY, b.CANONICAL, b.CLEAN) + """
       SELECT ticker, trade_date, CAST(0 AS INTEGER) AS session,
@@ -271,7 +271,7 @@ def statements() -> dict[str, str]:
         {b.rounded('auc - old_auc', 9)} AS auc_change,
         {b.rounded('accuracy - old_accuracy', 9)} AS accuracy_change,
         {b.rounded('f1 - old_f1', 9)} AS f1_change,
-        coalesce(auc > old_auc, true) AS promoted FROM met"""
+        auc IS NOT NULL AND coalesce(auc > old_auc, true) AS promoted FROM met"""
     sql["model_leaderboard"] = b.with_(*b.CHAIN, b.ALL_SCORES, b.auc("model")) + f"""
       , board AS (SELECT model, {b.rounded('accuracy', 9)} AS accuracy,
           {b.rounded('f1', 9)} AS f1, {b.rounded('auc', 9)} AS auc FROM (
@@ -328,9 +328,9 @@ def statements() -> dict[str, str]:
 
     # Predictions of the next session
     sql["pred_latest"] = _history(_PREDS.format("newest"))
-    sql["pred_for_ticker"] = _history(_PREDS.format("history") + " WHERE ticker = 'S7'")
-    sql["pred_by_signal"] = _history(_PREDS.format("history") + " WHERE prediction = 1")
-    sql["pred_high_conf"] = _history(_PREDS.format("history") + " WHERE confidence = 'HIGH'")
+    sql["pred_for_ticker"] = _history(_PREDS.format("newest") + " WHERE ticker = 'S5'")
+    sql["pred_by_signal"] = _history(_PREDS.format("newest") + " WHERE prediction = 1")
+    sql["pred_high_conf"] = _history(_PREDS.format("newest") + " WHERE confidence = 'HIGH'")
     since = " WHERE prediction_date >= DATE '2001-09-15' - 365"
     sql["pred_history"] = _history(_PREDS.format("history") + since)
     sql["pred_history_ticker"] = _history(
@@ -345,13 +345,13 @@ def statements() -> dict[str, str]:
           count(*) FILTER (confidence = 'HIGH') AS high,
           count(*) FILTER (confidence = 'MEDIUM') AS medium,
           count(*) FILTER (confidence = 'LOW') AS low FROM newest)""")
-    sql["pred_top_up"] = _history("""SELECT ticker, probability, confidence FROM history
+    sql["pred_top_up"] = _history("""SELECT ticker, probability, confidence FROM newest
       WHERE prediction = 1 ORDER BY probability DESC, ticker LIMIT 10""")
     sql["pred_top_up_high"] = _history("""SELECT ticker, probability, confidence FROM newest
       WHERE prediction = 1 AND confidence = 'HIGH' ORDER BY probability DESC, ticker LIMIT 10""")
     sql["pred_top_down"] = _history(f"""
       SELECT ticker, {b.rounded('CAST(1.0 AS DOUBLE) - probability', 9)} AS probability, confidence
-      FROM (SELECT * FROM history WHERE prediction = 0 ORDER BY probability, ticker LIMIT 10)""")
+      FROM (SELECT * FROM newest WHERE prediction = 0 ORDER BY probability, ticker LIMIT 10)""")
 
     # Serving
     sql["stock_list"] = _info("SELECT * FROM info ORDER BY ticker LIMIT 50")
@@ -467,15 +467,29 @@ def statements() -> dict[str, str]:
       UNION ALL SELECT 'forecast_csv', count(*) FROM wide"""
 
     # Jobs
-    sql["gated_job"] = b.with_(b.bars()) + f"""
+    sql["gated_job"] = b.with_(b.RAW_MESSY, b.CANONICAL, b.CLEAN, b.features("cleaned")) + f"""
+      , newest AS (SELECT max(date) AS date FROM canonical),
+      made AS (SELECT count(*) AS n, count(DISTINCT ticker) AS tickers FROM kept)
       SELECT CAST(run AS INTEGER) AS run,
-        CASE run WHEN 1 THEN 'success' ELSE 'skipped' END AS status,
-        strftime(newest, '%Y-%m-%d') AS latest_date,
-        CAST({_TODAY} - newest AS INTEGER) AS days_old, run = 1 AS has_new_data
-      FROM (SELECT max(trade_date) AS newest FROM bars), (VALUES (1), (2)) AS r(run)"""
-
-    # Streaming: append mode holds a day back until the watermark passes its end.
-    sql["stream_session_bar"] = b.with_(b.TICKS, b.SESSION_BARS) + f"""
-      SELECT * FROM session_bars WHERE trade_date + INTERVAL 1 DAY <= (
-        SELECT max(ts) - INTERVAL 2 HOUR FROM events WHERE {b.IN_SESSION})"""
+        CASE run WHEN 1 THEN 'success' ELSE 'skipped' END AS status, date AS latest_date,
+        CAST({_TODAY} - CAST(substr(date, 1, 10) AS DATE) AS INTEGER) AS days_old,
+        run = 1 AS has_new_data, made.n AS feature_rows, made.tickers AS forecast_rows
+      FROM newest, made, (VALUES (1), (2)) AS r(run)"""
+    sql["next_session_job"] = sql["score_next"]
+    sql["ingest_job"] = b.with_(b.bars("day"), b.TICKS, b.SESSION_BARS) + f"""
+      , stored AS (SELECT * FROM bars WHERE trade_date < DATE '{STORED_UNTIL}'),
+      newest AS (SELECT ticker, max(trade_date) AS last FROM stored GROUP BY 1),
+      plan AS (SELECT 'S' || s_suppkey AS ticker, last FROM supplier
+        LEFT JOIN newest ON newest.ticker = 'S' || s_suppkey WHERE s_acctbal > 5000),
+      wanted AS (SELECT bars.* FROM bars JOIN plan USING (ticker)
+        WHERE trade_date < DATE '{INGEST_DAY}' AND CASE WHEN last IS NULL
+            THEN trade_date >= DATE '{INGEST_DAY}' - 5 * 365
+          ELSE last < DATE '{INGEST_DAY}' - 1 AND trade_date > last END)
+      {_to_raw("(SELECT ticker, trade_date, session, open, high, low, close, volume FROM stored")}
+        UNION ALL SELECT ticker, trade_date, session, open, high, low, close, volume FROM wanted
+        UNION ALL SELECT ticker, trade_date, session, open, high, low, close, volume
+          FROM session_bars)"""
+
+    # Streaming
+    sql["stream_session_bar"] = b.with_(b.TICKS, b.SESSION_BARS) + "SELECT * FROM session_bars"
     return sql

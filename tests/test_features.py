@@ -148,9 +148,7 @@ def test_split_tickers_give_the_same_rows(make_bars, part_rows, closes):
 
 def test_only_long_tickers_are_split(make_bars):
     bars = _random_bars(make_bars, {"HOT": list(range(1, 91)), "COLD": list(range(1, 31))})
-    assert segments.any_long(bars, 50) and not segments.any_long(bars, 90)
-    assert segments.split_long(bars, 90) is bars
-    split = segments.split_long(bars, 50)
+    split = segments.split(bars, 50)
     parts = {r.ticker: r.n for r in split.groupBy("ticker").agg(F.count_distinct("part").alias("n")).collect()}
     assert parts["COLD"] == 1 and parts["HOT"] >= 2
     assert split.filter("own").count() == bars.count()

@@ -23,13 +23,13 @@ def test_drift_union_skips_unreadable_files(spark, path):
         [(datetime(2026, 1, 6), "B", 2.5, "x")], "date timestamp_ntz, ticker string, n double, extra string"
     ).write.parquet(stamped)
     spark.createDataFrame([("not parquet",)], "value string").write.text(broken)
-    got = files.scan_drift_union(spark, [text, broken, stamped, path("absent")]).orderBy("ticker")
+    got = files.scan_drift_union(spark, [text, broken, stamped]).orderBy("ticker")
     assert [tuple(r) for r in got.collect()] == [
         ("2026-01-05(1)", "A", 1.0, None),
         ("2026-01-06 00:00:00", "B", 2.5, "x"),
     ]
     with pytest.raises(FileNotFoundError):
-        files.scan_drift_union(spark, [path("absent")])
+        files.scan_drift_union(spark, [broken])
 
 
 def test_merge_rewrites_only_touched_months(spark, path):
@@ -75,7 +75,7 @@ def test_indented_metrics_document(spark, path):
     target = path("metrics")
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(target)
     got = files.scan_metrics(spark, target, multi_line=True).first()
-    assert (got.run_id, got.auc, str(got.saved_at)) == ("r1", 0.625, "2026-06-02")
+    assert (got.run_id, got.auc, str(got.saved_at)) == ("r1", 0.625, "2026-06-02 16:44:42.519965")
 
 
 def test_snapshot_copies_on_change_only(spark, path):
@@ -89,6 +89,14 @@ def test_snapshot_copies_on_change_only(spark, path):
     assert act() == "empty_source" and spark.read.parquet(target).count() == 5
 
 
+def test_snapshot_of_nothing_copies_nothing(spark, path):
+    empty = path("empty")
+    spark.createDataFrame([("x",)], "value string").write.text(empty)
+    for source in (path("missing"), empty):
+        got = files.snapshot_sync(spark, source, path("copy"), path("state")).first()
+        assert got.action == "empty_source"
+
+
 def test_saved_table(spark, path):
     files.save_table(spark.range(2), "tidemark_test_table", path("table"))
     files.save_table(spark.range(4), "tidemark_test_table", path("table"))
@@ -122,5 +130,65 @@ def test_gated_job_runs_once_then_skips(spark, path):
     assert jobs.gated_job(spark, paths, "2024-02-01", fit, "logistic")["status"] == "skipped"
     forced = jobs.gated_job(spark, paths, "2024-02-02", fit, "logistic", force=True)
     # The same data gives the same AUC, which is no strict gain: the champion stays.
-    assert forced["champion"] == first["champion"] == "logistic-2024-01-31"
+    assert forced["champion"] == first["champion"] == first["run_id"] != forced["run_id"]
     assert [g.promoted for g in forced["gate"].orderBy("run_no").collect()] == [True, False]
+
+
+def test_repeated_day_keeps_the_better_champion(spark, path):
+    """A worse second run of one day changes neither champion nor forecast."""
+    table = path("features")
+    files.save_features(published.read(spark, SMALL, "features"), table)
+    paths = jobs.Paths.under(path("daily"), published.path(spark, SMALL, "raw"), features=table)
+    better = lambda rows: models.fit_logistic(rows, 50)
+    worse = lambda rows: models.fit_logistic(rows.withColumn("target", 1 - F.col("target")), 50)
+    first = jobs.daily_job(spark, paths, "2024-01-31", better, "logistic")
+    wide = sorted(map(str, first["wide"].collect()))
+    second = jobs.daily_job(spark, paths, "2024-01-31", worse, "logistic")
+    assert second["champion"] == first["champion"] == first["run_id"]
+    assert sorted(map(str, second["wide"].collect())) == wide
+    rows = {r.run_id: r for r in second["runs"].collect()}
+    assert rows[second["run_id"]].auc < rows[first["run_id"]].auc
+    assert all(r.train_seconds > 0 and "maxIter" in r.params for r in rows.values())
+
+
+def test_first_merge_creates_and_unreadable_dates_stay(spark, path):
+    target = path("raw")
+    assert not files.raw_state(spark, target).first()["exists"]
+    files.merge_raw(spark, target, raw(spark, [(None, "A", 1.0), ("2026-01-05", "A", 2.0)]))
+    files.merge_raw(spark, target, raw(spark, [("n/a", "B", 3.0), (None, "B", 4.0)]))
+    got = {(r.date, r.ticker) for r in files.scan_raw(spark, target).collect()}
+    assert got == {(None, "A"), ("2026-01-05", "A"), ("n/a", "B"), (None, "B")}
+    state = files.raw_state(spark, target).first()
+    assert state["exists"] and state["has_rows"] and str(state["last_date"]) == "2026-01-05"
+
+
+def test_last_arrival_stays(spark, path):
+    target = path("raw")
+    rows = raw(spark, [("2026-01-05", "A", 9.0)]).withColumn("arrived", F.lit(1)).union(
+        raw(spark, [("2026-01-05", "A", 2.0)]).withColumn("arrived", F.lit(2))
+    )
+    files.merge_raw(spark, target, rows, arrival=("arrived",))
+    assert files.scan_raw(spark, target).first().close == 2.0
+    files.merge_raw(spark, target, raw(spark, [("2026-01-05", "A", 1.0)]))
+    assert files.scan_raw(spark, target).first().close == 1.0
+
+
+def test_drift_union_says_what_it_leaves_out(spark, path):
+    good, text = path("good"), path("text")
+    spark.range(2).write.parquet(good)
+    spark.createDataFrame([("x",)], "value string").write.text(text)
+    skipped = []
+    assert files.scan_drift_union(spark, [good, text, good], skipped).count() == 4
+    assert skipped == [text]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.scan_drift_union(spark, [good, path("missing")])
+
+
+def test_recent_days_prune_months(spark, path):
+    target = path("raw")
+    files.save_raw(ingest.to_raw(sample.bars(spark, SMALL, "day")), target)
+    recent = files.recent_raw(spark, target, 40)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    months = {r.m for r in recent.select(F.substring("date", 1, 7).alias("m")).distinct().collect()}
+    assert len(months) in (2, 3)

@@ -31,6 +31,13 @@ def test_auc_equals_pair_counting(spark, seed):
         assert metrics.auc(data, buckets=buckets).first().auc == pytest.approx(brute_auc(rows))
 
 
+def test_auc_of_scores_close_together(spark):
+    rng = random.Random(9)
+    rows = [(int(rng.random() < 0.5), 1, 0.5 + rng.random() * 1e-4) for _ in range(400)] + [(0, 0, 0.0), (1, 1, 1.0)]
+    for buckets in (3, 10_000):
+        assert metrics.auc(scored(spark, rows), buckets=buckets).first().auc == pytest.approx(brute_auc(rows))
+
+
 def test_auc_by_key_and_undefined(spark):
     data = spark.createDataFrame(
         [("a", 1, 1, 0.9), ("a", 0, 0, 0.1), ("b", 1, 1, 0.9), ("b", 1, 1, 0.8)],
@@ -82,6 +89,15 @@ def test_champion_gate_promotes_only_strict_gains(spark):
     assert gate[2].auc_change == pytest.approx(0.05)
 
 
+def test_run_without_auc_is_never_promoted(spark):
+    rows = [("r0", "a", None, "2026-01-01"), ("r1", "a", 0.7, "2026-01-02"), ("r2", "a", None, "2026-01-03"), ("r3", "a", 0.65, "2026-01-04")]
+    gate = metrics.champion_gate(runs(spark, rows))
+    got = gate.orderBy("run_no").collect()
+    assert [g.promoted for g in got] == [False, True, False, False]
+    assert [g.previous_champion for g in got] == [None, None, "r1", "r1"]
+    assert metrics.champion(gate).first().run_id == "r1"
+
+
 def test_champion_is_the_last_promoted(spark):
     gate = metrics.champion_gate(runs(spark, [("r1", "a", 0.7, "2026-01-01"), ("r2", "a", 0.6, "2026-01-02")]))
     assert metrics.champion(gate).first().run_id == "r1"

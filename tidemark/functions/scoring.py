@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import to_digits
 from tidemark.schemas import FEATURES
 
-PROBABILITY_DIGITS = 9
-
 
 @dataclass(frozen=True)
 class LinearScorer:
-    """Logistic model ``1 / (1 + exp(-(intercept + sum(weight * feature))))``."""
+    """Logistic model ``1 / (1 + exp(-(intercept + sum(weight * feature))))``.
+
+    Probabilities are rounded only if ``digits`` is given.
+    """
 
     name: str
     intercept: float
     weights: Mapping[str, float]
+    digits: int | None = None
 
     def probability(self, value: Callable[[str], Column]) -> Column:
         """Probability of class 1; ``value(name)`` gives the scaled feature."""
@@ -28,7 +30,8 @@ class LinearScorer:
         for name in FEATURES:
             if name in self.weights:
                 total = total + F.lit(float(self.weights[name])) * value(name)
-        return to_digits(F.lit(1.0) / (F.lit(1.0) + F.exp(-total)), PROBABILITY_DIGITS)
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        return p if self.digits is None else to_digits(p, self.digits)
 
     def on_scaled(self) -> Column:
         return self.probability(lambda name: F.col(f"{name}_scaled"))

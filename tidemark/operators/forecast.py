@@ -65,14 +65,17 @@ def _linear_entries(
     )
 
     def step(state: Column, day: Column) -> Column:
-        p = scorer.probability(lambda name: state[name])
-        prediction = scoring.hard_class(p)
-        entry = _day_entry(day, p, prediction, floor)
-        following = next_state(lambda name: state[name], prediction)
-        return F.struct(
-            *(following[name].alias(name) for name in FEATURES),
-            F.concat(state["entries"], F.array(entry)).cast(_ENTRIES).alias("entries"),
-        )
+        def after(p: Column) -> Column:
+            prediction = scoring.hard_class(p)
+            entry = _day_entry(day, p, prediction, floor)
+            following = next_state(lambda name: state[name], prediction)
+            return F.struct(
+                *(following[name].alias(name) for name in FEATURES),
+                F.concat(state["entries"], F.array(entry)).cast(_ENTRIES).alias("entries"),
+            )
+
+        # A bound variable, so that the scorer runs once a day.
+        return F.transform(F.array(scorer.probability(lambda name: state[name])), after)[0]
 
     folded = F.aggregate(F.sequence(F.lit(1), F.lit(days)), start, step)
     return latest.select("ticker", "latest_data_date", folded["entries"].alias("entries"))

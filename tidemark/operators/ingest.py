@@ -176,15 +176,20 @@ def freshness_gate(
     """One row: newest key, its age, whether it is news, and whether to run.
 
     ``state`` has at most one row (``latest_date`` text, ``last_processed_at``).
+    Keys are compared in canonical form; rows without a readable date count as rows
+    but never as the newest.
     """
     seen = state.agg(
-        F.max("latest_date").alias("latest_date"),
+        F.max(dates.canonical_key(F.col("latest_date"))).alias("latest_date"),
         F.max("last_processed_at").alias("last_processed_at"),
     )
-    newest = raw.agg(F.max("date").alias("latest_date"), F.count("*").alias("total_rows"))
+    newest = raw.agg(
+        F.max(dates.canonical_key(F.col("date"))).alias("latest_date"),
+        F.count("*").alias("total_rows"),
+    )
     cached = seen.select("latest_date").scalar()
     fresh = F.col("cached_date").isNull() | (F.col("latest_date") > F.col("cached_date"))
-    day = dates.date_part_of(F.substring_index("latest_date", "(", 1))
+    day = dates.date_part_of(F.col("latest_date"))
     return (
         newest.withColumn("cached_date", cached)
         .withColumn("days_old", F.coalesce(F.datediff(F.lit(as_of).cast("date"), day), F.lit(0)))

@@ -67,51 +67,59 @@ def f1(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return confusion(scored, keys).select(*keys, _f1().alias("f1"))
 
 
+def _spread(scores: DataFrame, keys: Sequence[str], buckets: int, name: str) -> DataFrame:
+    """Adds ``name``: the scores of each key cut into equal steps between their ends."""
+    ends = scores.groupBy(*keys).agg(
+        F.min("probability").alias("_low"), F.max("probability").alias("_high")
+    )
+    share = (F.col("probability") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    step = F.when(F.col("_high") > F.col("_low"), F.floor(share * buckets)).otherwise(0)
+    return scores.join(ends, keys).withColumn(name, step.cast("int")).drop("_low", "_high")
+
+
+def _earlier(partition: Sequence[str], order: str) -> Column:
+    """Falling rows before this one."""
+    w = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("down").over(w), F.lit(0))
+
+
 def auc(
     scored: DataFrame, keys: Sequence[str] = (), buckets: int = SCORE_BUCKETS
 ) -> DataFrame:
     """Area under the ROC curve with ties counted half; NULL with one class only.
 
-    Rows first combine to one row per distinct score. Scores are rounded to nine
-    digits, so a bucket of width 1/``buckets`` holds at most 1e9/``buckets``
-    distinct scores however many rows share one of them. The number of falling
-    rows below a score is the total of the lower buckets plus a running total
-    inside its own, so no window orders more than one bucket.
+    Rows first combine to one row per distinct score. The scores of a key are cut
+    into equal steps between their lowest and highest, and those of a step once more,
+    so scores that lie close together are spread over many steps as well. The number
+    of falling rows below a score is the total of the lower steps, that of the lower
+    parts of its step, and a running total inside its part.
     """
-    keys = list(keys)
+    keys = [*keys, "_all"]
     per_score = (
-        scored.groupBy(*keys, "probability")
+        scored.withColumn("_all", F.lit(0)).groupBy(*keys, "probability")
         .agg(
             F.count(F.when(F.col("target") == 1, 1)).alias("up"),
             F.count(F.when(F.col("target") == 0, 1)).alias("down"),
         )
-        .withColumn("bucket", F.floor(F.col("probability") * buckets).cast("int"))
     )
-    inside = W.partitionBy(*keys, "bucket").orderBy("probability")
-    earlier = inside.rowsBetween(W.unboundedPreceding, -1)
-    areas = (
-        per_score.withColumn(
-            "below", F.coalesce(F.sum("down").over(earlier), F.lit(0))
-        )
-        .groupBy(*keys, "bucket")
-        .agg(
-            F.sum("up").alias("up"),
-            F.sum("down").alias("down"),
-            F.sum(F.col("up") * (F.col("below") + F.col("down") / 2.0)).alias("area"),
+    steps = _spread(per_score, keys, buckets, "step")
+    parts = _spread(steps, [*keys, "step"], buckets, "part")
+    below = _earlier([*keys, "step", "part"], "probability")
+    area = F.sum("area") + F.sum(F.col("up") * F.col("below"))
+    areas = parts.withColumn("below", below).withColumn("area", F.col("up") * F.col("down") / 2.0)
+    for level in ("part", "step"):
+        above = [*keys, "step", "part"] if level == "part" else [*keys, "step"]
+        areas = areas.groupBy(*above).agg(
+            area.alias("area"), F.sum("up").alias("up"), F.sum("down").alias("down")
         )
-    )
-    # One row per bucket from here on.
-    order = W.partitionBy(*(keys or [F.lit(1)])).orderBy("bucket")
-    lower = F.coalesce(
-        F.sum("down").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-    )
-    total = areas.withColumn("lower", lower).groupBy(*keys).agg(
-        F.sum(F.col("area") + F.col("up") * F.col("lower")).alias("area"),
+        areas = areas.withColumn("below", _earlier(above[:-1], level))
+    total = areas.groupBy(*keys).agg(
+        area.alias("area"),
         F.sum("up").cast("double").alias("ups"),
         F.sum("down").cast("double").alias("downs"),
     )
     pairs = F.col("ups") * F.col("downs")
-    return total.select(*keys, F.when(pairs > 0, F.col("area") / pairs).alias("auc"))
+    return total.select(*keys[:-1], F.when(pairs > 0, F.col("area") / pairs).alias("auc"))
 
 
 def evaluate(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -131,15 +139,16 @@ def evaluate(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def champion_gate(runs: DataFrame) -> DataFrame:
     """Replay the promotion rule over the runs in order of ``saved_at``, ``run_id``.
 
-    A run is promoted when there is no champion yet or its AUC is strictly
-    greater. Each row shows the champion it met and the three differences.
-    The run table has one row per training run.
+    A run is promoted when it has an AUC and there is no champion yet or the AUC is
+    strictly greater. A run without one (test rows of one class) never is. Each row
+    shows the champion it met and the three differences. The run table has one row
+    per training run, with an id of its own.
     """
     order = W.partitionBy(F.lit(1)).orderBy("saved_at", "run_id")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     numbered = runs.withColumn("run_no", F.row_number().over(order))
     # The first run that reached the best AUC so far is the champion.
-    rank = F.struct(F.col("auc"), -F.col("run_no"))
+    rank = F.when(F.col("auc").isNotNull(), F.struct(F.col("auc"), -F.col("run_no")))
     run = F.struct("run_id", "accuracy", "f1", "auc")
     champion = numbered.withColumn("_best", F.max_by(run, rank).over(before))
     old = F.col("_best.auc")
@@ -153,7 +162,7 @@ def champion_gate(runs: DataFrame) -> DataFrame:
         (F.col("auc") - old).alias("auc_change"),
         (F.col("accuracy") - F.col("_best.accuracy")).alias("accuracy_change"),
         (F.col("f1") - F.col("_best.f1")).alias("f1_change"),
-        F.coalesce(F.col("auc") > old, F.lit(True)).alias("promoted"),
+        (F.col("auc").isNotNull() & F.coalesce(F.col("auc") > old, F.lit(True))).alias("promoted"),
     )
 
 
@@ -163,10 +172,11 @@ def champion(gate: DataFrame) -> DataFrame:
 
 
 def leaderboard(runs: DataFrame, digits: int = 4) -> DataFrame:
-    """Models by AUC with the best one marked."""
+    """Models by AUC with the best one marked; shows ``train_seconds`` if it is there."""
     best = runs.agg(F.max_by("model", F.struct("auc", "model"))).scalar()
+    shown = [n for n in ("accuracy", "f1", "auc", "train_seconds") if n in runs.columns]
     return runs.select(
         "model",
-        *(F.round(name, digits).alias(name) for name in ("accuracy", "f1", "auc")),
+        *(F.round(name, digits).alias(name) for name in shown),
         (F.col("model") == best).alias("is_best"),
     )

@@ -18,7 +18,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, scoring, tiers
-from tidemark.functions.numbers import to_digits
 from tidemark.schemas import FEATURES, NEXT_SESSION, SCALED
 
 _VECTOR = "_vector"
@@ -102,7 +101,7 @@ def score(model: Model | scoring.LinearScorer, df: DataFrame) -> DataFrame:
     if isinstance(model, scoring.LinearScorer):
         with_p = df.withColumn("probability", model.on_scaled())
     else:
-        p = to_digits(vector_to_array("_probability")[1], scoring.PROBABILITY_DIGITS)
+        p = vector_to_array("_probability")[1]
         with_p = model.transform(assemble(df)).withColumn("probability", p).drop(*_SCORES)
     return with_p.withColumn("prediction", scoring.hard_class(F.col("probability")))
 

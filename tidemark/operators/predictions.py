@@ -31,9 +31,14 @@ def high_confidence(preds: DataFrame) -> DataFrame:
 def history(
     preds: DataFrame, as_of: str, days: int = 30, ticker: str | None = None
 ) -> DataFrame:
-    """Predictions made in the last ``days`` days, newest first."""
+    """Predictions made in the last ``days`` days, newest first.
+
+    A prediction is always for a later day than the one it was made on, so the filter
+    on the target date loses no row and prunes the folders.
+    """
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    kept = preds.filter(F.col("prediction_date") >= since)
+    target = F.col("predicted_for_date")
+    kept = preds.filter((F.col("prediction_date") >= since) & ((target >= since) | target.isNull()))
     if ticker is not None:
         kept = kept.filter(F.col("ticker") == ticker)
     return kept.orderBy(F.desc("prediction_date"), "ticker")

@@ -1,10 +1,10 @@
 """Cut the history of very long tickers into pieces that window on their own.
 
 Cleaned bars are unique per (ticker, trade_date, session), so a ticker grows by
-at most three rows a day. Where the key is finer than that, or the history very
-long, one ticker could still outgrow a task; ``split_long`` then gives each row
-a ``part`` and copies the few rows of context that a window needs across a cut.
-Windows over (ticker, part) give the same values as windows over the ticker.
+at most three rows a day and the jobs need no cuts. Where a caller's key is finer
+than that, one ticker could outgrow a task; ``split`` gives each row a ``part`` and
+copies the few rows of context that a window needs across a cut. Windows over
+(ticker, part) give the same values as windows over the ticker.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.schemas import LOOKAHEAD, LOOKBACK
 
 PART_ROWS = 2_000_000
-# A day map this small is copied to every executor (about 30 bytes a row).
-BROADCAST_DAYS = 1_000_000
 
 
 def split(
@@ -25,17 +23,13 @@ def split(
     part_rows: int = PART_ROWS,
     lookback: int = LOOKBACK,
     lookahead: int = LOOKAHEAD,
-    only: DataFrame | None = None,
-    broadcast_days: bool = False,
 ) -> DataFrame:
     """Add ``part`` and ``own``; rows with ``own`` false are copies for context.
 
     The cuts come from row counts per (ticker, day), so the ordered pass below
-    sees one row per calendar day and not the bars. ``only`` limits the cutting
-    to the given tickers; all others stay whole in part 0.
+    sees one row per calendar day and not the bars.
     """
-    counted = bars if only is None else bars.join(only, "ticker", "left_semi")
-    daily = counted.groupBy("ticker", "trade_date").agg(F.count("*").alias("n"))
+    daily = bars.groupBy("ticker", "trade_date").agg(F.count("*").alias("n"))
     w = W.partitionBy("ticker").orderBy("trade_date")
     before = F.coalesce(
         F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -44,8 +38,6 @@ def split(
     # Each day holds a row at least, so this many days hold enough context rows.
     around = F.collect_set("home").over(w.rowsBetween(-lookahead, lookback))
     days = cut.select("ticker", "trade_date", "home", around.alias("parts"))
-    if broadcast_days:
-        days = F.broadcast(days)
     zero = F.lit(0)
     return (
         bars.join(days, ["ticker", "trade_date"], "left")
@@ -56,32 +48,6 @@ def split(
     )
 
 
-def any_long(rows: DataFrame, part_rows: int = PART_ROWS) -> bool:
-    """Does any ticker have more than ``part_rows`` rows? Reads one column."""
-    counts = rows.groupBy("ticker").agg(F.count("*").alias("n"))
-    return not counts.filter(F.col("n") > part_rows).isEmpty()
-
-
-def split_long(bars: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """``split`` only the tickers with more than ``part_rows`` bars, if any.
-
-    Runs one counting job over ``bars``; ask ``any_long`` of the raw table first.
-    """
-    counts = bars.groupBy("ticker").agg(
-        F.count("*").alias("n"), F.count_distinct("trade_date").alias("days")
-    )
-    long = counts.filter(F.col("n") > part_rows)
-    size = long.agg(F.count("*").alias("tickers"), F.sum("days").alias("days")).first()
-    if size["tickers"] == 0:
-        return bars
-    return split(
-        bars,
-        part_rows,
-        only=long.select("ticker"),
-        broadcast_days=size["days"] <= BROADCAST_DAYS,
-    )
-
-
 def own_rows(df: DataFrame) -> DataFrame:
     """Drop the context copies again."""
     if "own" not in df.columns:

@@ -34,10 +34,10 @@ QUERIES: dict[str, Query] = {}
 
 # The day ingest decisions are taken on: within the last days of the trades.
 INGEST_DAY = "2001-10-28"
+# Bars before this day are stored already when the ingest job starts.
+STORED_UNTIL = "2001-06-01"
 # Ratios are compared to this many digits; sums may be added in another order.
 RATIO_DIGITS = 9
-# Trees in the registered tree fits.
-TREES = 10
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -169,7 +169,9 @@ def csv_scan_signals(spark, sf_dir):
 def metrics_io(spark, sf_dir):
     target = store.new_path(spark, "metrics_io")
     files.save_metrics(_model_runs(spark, sf_dir), target)
-    return files.scan_metrics(spark, target)
+    return files.scan_metrics(spark, target).select(
+        "run_id", "model", "accuracy", "f1", "auc", F.to_date("saved_at").alias("saved_at")
+    )
 
 
 @query("snapshot_sync")
@@ -259,11 +261,11 @@ def recent_days(spark, sf_dir):
 
 @query("freshness_gate")
 def freshness_gate(spark, sf_dir):
-    """The state is what a run over the first part of the lines would have left."""
+    """Messy raw rows; the state is what a run over the first part of the lines would have left."""
     seen = ingest.to_raw(sample.bars(spark, sf_dir, status="O")).agg(
         F.max("date").alias("latest_date"), F.max("date").alias("last_processed_at")
     )
-    return ingest.freshness_gate(sample.raw_marked(spark, sf_dir), seen, AS_OF)
+    return ingest.freshness_gate(sample.raw_messy(spark, sf_dir), seen, AS_OF)
 
 
 @query("ingest_summary")
@@ -303,8 +305,10 @@ def drop_nulls(spark, sf_dir):
 
 @query("dedup_rows")
 def dedup_rows(spark, sf_dir):
-    raw = clean.canonical_dates(sample.raw_messy(spark, sf_dir))
-    return clean.dedup_rows(raw.select("date", "ticker", "volume"))
+    """Whole rows; a third of them is there twice."""
+    raw = sample.raw_messy(spark, sf_dir)
+    again = raw.filter(F.substring("ticker", 2, 20).cast("bigint") % 3 == 0)
+    return clean.dedup_rows(clean.canonical_dates(raw.unionByName(again)))
 
 
 @query("dedup_keys")
@@ -490,14 +494,23 @@ def _fitted_scores(spark: SparkSession, sf_dir: str, fit: jobs.Trainer) -> DataF
     )
 
 
-def _gbt(train: DataFrame):
-    return models.fit_gbt(train, trees=TREES)
+_models: dict[tuple[str, str], str] = {}
+
+
+def _gbt(spark: SparkSession, sf_dir: str):
+    """The boosted model of the older rows, fitted and stored once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        store.ensure_checkpoint_dir(spark)
+        target = store.new_path(spark, "gbt")
+        models.save_model(models.fit_gbt(_folds(spark, sf_dir)[0]), target)
+        _models[key] = target
+    return models.load_model(_models[key])
 
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
-    store.ensure_checkpoint_dir(spark)
-    return _fitted_scores(spark, sf_dir, _gbt)
+    return _fitted_scores(spark, sf_dir, lambda rows: _gbt(spark, sf_dir))
 
 
 @query("train_lr")
@@ -507,7 +520,7 @@ def train_lr(spark, sf_dir):
 
 @query("train_rf")
 def train_rf(spark, sf_dir):
-    return _fitted_scores(spark, sf_dir, lambda rows: models.fit_forest(rows, trees=TREES))
+    return _fitted_scores(spark, sf_dir, models.fit_forest)
 
 
 @query("eval_accuracy")
@@ -568,9 +581,8 @@ def score_next(spark, sf_dir):
 
 @query("score_next_gbt")
 def score_next_gbt(spark, sf_dir):
-    store.ensure_checkpoint_dir(spark)
     newest = latest.latest_features(published.read(spark, sf_dir, "features"))
-    return models.score_next(_gbt(_folds(spark, sf_dir)[0]), newest, AS_OF)
+    return models.score_next(_gbt(spark, sf_dir), newest, AS_OF)
 
 
 @query("rollforward_step")
@@ -596,11 +608,8 @@ def forecast_15d_floor(spark, sf_dir):
 
 @query("forecast_15d_gbt")
 def forecast_15d_gbt(spark, sf_dir):
-    store.ensure_checkpoint_dir(spark)
     newest = latest.latest_features(published.read(spark, sf_dir, "features"))
-    return forecast.to_long(
-        forecast.forecast(_gbt(_folds(spark, sf_dir)[0]), newest, AS_OF)
-    )
+    return forecast.to_long(forecast.forecast(_gbt(spark, sf_dir), newest, AS_OF))
 
 
 @query("forecast_15d_lr")
@@ -630,8 +639,7 @@ def forecast_long(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    store.ensure_checkpoint_dir(spark)
-    return models.feature_importance(spark, _gbt(_folds(spark, sf_dir)[0]))
+    return models.feature_importance(spark, _gbt(spark, sf_dir))
 
 
 @query("align_features")
@@ -658,30 +666,53 @@ def daily_job(spark, sf_dir):
         published.path(spark, sf_dir, "raw"),
         features=published.path(spark, sf_dir, "features"),
     )
-    result = jobs.daily_job(spark, paths, AS_OF, models.fit_logistic, "logistic")
-    return result["wide"]
+    store.ensure_checkpoint_dir(spark)
+    return jobs.daily_job(spark, paths, AS_OF)["wide"]
 
 
 @query("gated_job")
 def gated_job(spark, sf_dir):
-    """Run on new data, skip the second time; both outcomes as rows."""
-    paths = jobs.Paths.under(
-        store.new_path(spark, "gated"), published.path(spark, sf_dir, "raw")
-    )
-    outcomes = [
-        jobs.gated_job(spark, paths, AS_OF, models.fit_logistic, "logistic")
-        for _ in range(2)
-    ]
+    """Run on messy new data, skip the second time; outcomes and what was made as rows."""
+    store.ensure_checkpoint_dir(spark)
+    raw = store.new_path(spark, "gated_raw")
+    files.save_raw(sample.raw_messy(spark, sf_dir), raw)
+    paths = jobs.Paths.under(store.new_path(spark, "gated"), raw)
+    outcomes = [jobs.gated_job(spark, paths, AS_OF) for _ in range(2)]
+    made = files.scan_features(spark, paths.features).count()
+    forecasts = outcomes[0]["wide"].count()
     rows = [
-        (i, o["status"], o["latest_date"], o["days_old"], o["has_new_data"])
+        (i, o["status"], o["latest_date"], o["days_old"], o["has_new_data"], made, forecasts)
         for i, o in enumerate(outcomes, start=1)
     ]
     return spark.createDataFrame(
         rows,
-        "run int, status string, latest_date string, days_old int, has_new_data boolean",
+        "run int, status string, latest_date string, days_old int, has_new_data boolean,"
+        " feature_rows long, forecast_rows long",
     )
 
 
+@query("ingest_job")
+def ingest_job(spark, sf_dir):
+    """A stored dataset brought up to date from vendor bars and ticks, read back."""
+    paths = jobs.Paths.under(store.new_path(spark, "ingest"), store.new_path(spark, "ingest_raw"))
+    daily = sample.bars(spark, sf_dir, "day")
+    old = daily.filter(F.col("trade_date") < F.lit(STORED_UNTIL).cast("date"))
+    files.save_raw(ingest.to_raw(old), paths.raw)
+    vendor = daily.withColumnRenamed("trade_date", "time")
+    listed = sample.universe(spark, sf_dir)
+    jobs.ingest_job(spark, paths, INGEST_DAY, listed, vendor, sample.ticks(spark, sf_dir))
+    return files.scan_raw(spark, paths.raw)
+
+
+@query("next_session_job")
+def next_session_job(spark, sf_dir):
+    """The newest bars scored and stored by target date, as the questions find them."""
+    paths = jobs.Paths.under(
+        store.new_path(spark, "next"), "", features=published.path(spark, sf_dir, "features")
+    )
+    return predictions.latest(jobs.next_session_job(spark, paths, AS_OF, sample.BLEND))
+
+
 # Predictions of the next session
 
 
@@ -696,17 +727,17 @@ def pred_latest(spark, sf_dir):
 
 @query("pred_for_ticker")
 def pred_for_ticker(spark, sf_dir):
-    return predictions.for_ticker(published.read(spark, sf_dir, "history"), "S7")
+    return predictions.for_ticker(_preds(spark, sf_dir), "S5")
 
 
 @query("pred_by_signal")
 def pred_by_signal(spark, sf_dir):
-    return predictions.by_signal(published.read(spark, sf_dir, "history"), 1)
+    return predictions.by_signal(_preds(spark, sf_dir), 1)
 
 
 @query("pred_high_conf")
 def pred_high_conf(spark, sf_dir):
-    return predictions.high_confidence(published.read(spark, sf_dir, "history"))
+    return predictions.high_confidence(_preds(spark, sf_dir))
 
 
 @query("pred_history")
@@ -728,7 +759,7 @@ def pred_summary(spark, sf_dir):
 
 @query("pred_top_up")
 def pred_top_up(spark, sf_dir):
-    return predictions.top_up(published.read(spark, sf_dir, "history"))
+    return predictions.top_up(_preds(spark, sf_dir))
 
 
 @query("pred_top_up_high")
@@ -738,9 +769,7 @@ def pred_top_up_high(spark, sf_dir):
 
 @query("pred_top_down")
 def pred_top_down(spark, sf_dir):
-    return _rounded(
-        predictions.top_down(published.read(spark, sf_dir, "history")), "probability"
-    )
+    return _rounded(predictions.top_down(_preds(spark, sf_dir)), "probability")
 
 
 # Serving
@@ -909,8 +938,8 @@ def report_bundle(spark, sf_dir):
 
 @query("stream_session_bar")
 def stream_session_bar(spark, sf_dir):
-    """Run the stream over the event files to the end and read what it appended."""
+    """Run the stream over the event files to the end and read the newest bars."""
     target = store.new_path(spark, "stream")
     bars = stream.session_bars(stream.read_ticks(spark, sf_dir))
     stream.run_available(bars, target, store.new_path(spark, "stream_state"))
-    return spark.read.schema(bars.schema).parquet(target)
+    return stream.stored_bars(spark, target)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+import time
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model
@@ -23,7 +26,6 @@ from tidemark.operators import (
     models,
     report,
     scale,
-    segments,
 )
 from tidemark.sources import files
 
@@ -44,10 +46,13 @@ class Paths:
     runs: str
     forecast: str
     state: str
+    predictions: str
 
     @classmethod
     def under(cls, root: str, raw: str, **given: str) -> Paths:
-        names = ("features", "info", "scaler", "models", "runs", "forecast", "state")
+        names = (
+            "features", "info", "scaler", "models", "runs", "forecast", "state", "predictions"
+        )
         return cls(raw, **{name: given.get(name, f"{root}/{name}") for name in names})
 
 
@@ -63,16 +68,16 @@ def preprocess(
 
     One lazy plan and one write per table. ``collapse`` merges the session bars of
     a day. By default all rows fit the scaler; with ``train_share`` only the oldest
-    share does, and the statistics are stored before they are used.
+    share does, and the statistics are stored before they are used. With
+    ``recent_days`` only the months that reach so far back are read.
     """
     raw = files.scan_raw(spark, paths.raw)
-    bars = clean.clean(raw)
+    recent = raw if recent_days is None else files.recent_raw(spark, paths.raw, recent_days)
+    bars = clean.clean(recent)
     if collapse:
         bars = clean.collapse_sessions(bars)
     if recent_days is not None:
         bars = ingest.recent_days(bars, recent_days)
-    if segments.any_long(raw):
-        bars = segments.split_long(bars)
     rows = features.feature_rows(bars)
     scaler = None
     if train_share is not None:
@@ -94,23 +99,43 @@ def split_folds(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return folds.filter("fold = 'train'"), folds.filter("fold = 'test'")
 
 
+def _params(model: Model) -> dict[str, str]:
+    return {param.name: str(value) for param, value in model.extractParamMap().items()}
+
+
 def train(
     table: DataFrame, trainer: Trainer, run_id: str, name: str, as_of: str
 ) -> tuple[Model, DataFrame]:
     """Fit on the older rows; the run's row of metrics comes from the newer ones."""
     older, newer = split_folds(table)
+    started = time.perf_counter()
     model = trainer(older)
+    seconds = time.perf_counter() - started
+    params = [F.lit(text) for item in _params(model).items() for text in item]
+    # The day is the one the job runs for, the time is the clock's.
+    saved_at = f"{as_of} {datetime.now(timezone.utc):%H:%M:%S.%f}"
     run = metrics.evaluate(models.score(model, newer)).select(
         F.lit(run_id).alias("run_id"),
         F.lit(name).alias("model"),
         "accuracy",
         "f1",
         "auc",
-        F.lit(as_of).cast("date").alias("saved_at"),
+        F.lit(saved_at).cast("timestamp_ntz").alias("saved_at"),
+        F.create_map(*params).alias("params"),
+        F.lit(seconds).alias("train_seconds"),
     )
     return model, run
 
 
+def champion_model(spark: SparkSession, paths: Paths) -> tuple[str, Model]:
+    """Id and model of the run that the gate names."""
+    gate = metrics.champion_gate(files.scan_metrics(spark, paths.runs))
+    best = metrics.champion(gate).first()
+    if best is None:
+        raise ValueError("no run was ever promoted")
+    return best["run_id"], models.load_model(f"{paths.models}/{best['run_id']}")
+
+
 def daily_job(
     spark: SparkSession,
     paths: Paths,
@@ -121,32 +146,86 @@ def daily_job(
 ) -> dict:
     """Train, record the run, forecast with the champion, publish, report.
 
-    Every run keeps its own model folder, so the previous champion stays as it
-    was. A failed forecast is reported and does not undo the training.
+    Every run has an id and a model folder of its own, so a repeated day never touches
+    the champion; the model that forecasts is always the one the gate names. A failed
+    forecast is reported and does not undo the training; what was published before
+    stays.
     """
     table = files.scan_features(spark, paths.features)
-    run_id = f"{name}-{as_of}"
+    run_id = f"{name}-{as_of}-{uuid.uuid4().hex[:8]}"
     model, run = train(table, trainer, run_id, name, as_of)
     models.save_model(model, f"{paths.models}/{run_id}")
     files.save_metrics(run, paths.runs)
     runs = files.scan_metrics(spark, paths.runs)
-    gate = metrics.champion_gate(runs)
-    best = metrics.champion(gate).first()["run_id"]
-    result: dict = {"status": "success", "runs": runs, "gate": gate, "champion": best}
+    result: dict = {"status": "success", "run_id": run_id, "runs": runs, "gate": metrics.champion_gate(runs)}
     try:
-        if best != run_id:
-            model = models.load_model(f"{paths.models}/{best}")
+        best, model = champion_model(spark, paths)
         newest = latest.latest_features(table)
         entries = forecast.forecast(models.compiled(model), newest, as_of, days)
-        forecast.to_wide(entries, days).write.mode("overwrite").parquet(paths.forecast)
+        files.publish(forecast.to_wide(entries, days), paths.forecast)
     except Exception as error:  # noqa: BLE001 - the run itself stays valid
         log.warning("forecast failed: %s", error)
         return result | {"forecast": "failed", "error": str(error)}
-    wide = spark.read.schema(schemas.forecast_wide(days)).parquet(paths.forecast)
+    wide = files.published(spark, paths.forecast, schemas.forecast_wide(days))
     importance = models.feature_importance(spark, model)
     raw = files.scan_raw(spark, paths.raw)
     tables = report.report_bundle(raw, table, wide, runs, importance, as_of)
-    return result | {"forecast": "published", "wide": wide, "report": tables}
+    return result | {"champion": best, "forecast": "published", "wide": wide, "report": tables}
+
+
+def ingest_job(
+    spark: SparkSession,
+    paths: Paths,
+    as_of: str,
+    universe: DataFrame,
+    history: DataFrame,
+    ticks: DataFrame,
+    arrival: Sequence[str] = (),
+    years: int = 5,
+) -> dict[str, DataFrame]:
+    """Bring the raw dataset up to date from what the vendor sent.
+
+    ``history`` has vendor bars (``time`` first), of which only what the plan asks for
+    is taken; ``ticks`` become session bars. Returns the state found, the plan per
+    ticker, and the counts of the merge. The first run creates the dataset.
+    """
+    found = files.raw_state(spark, paths.raw)
+    there = files.exists(spark, paths.raw)
+    stored = files.scan_raw(spark, paths.raw) if there else spark.createDataFrame([], schemas.RAW_BARS)
+    dated = stored.select("ticker", dates.date_part_of(F.col("date")).alias("trade_date"))
+    plan = ingest.fetch_plan(dated, universe, as_of, years)
+    # The merge replaces what the plan and the counts are made from: write them first.
+    plan.write.mode("overwrite").parquet(f"{paths.state}/ingest_plan")
+    plan = spark.read.schema(plan.schema).parquet(f"{paths.state}/ingest_plan")
+    wanted = plan.filter("fetch_history").select("ticker", "history_start", "history_end")
+    day = F.to_date("time")
+    bars = history.join(wanted, "ticker").filter(
+        (day >= F.col("history_start")) & (day <= F.col("history_end"))
+    )
+    bars = ingest.normalize_history(bars)
+    intraday = ingest.to_raw(ingest.session_bars(ticks))
+    intraday = intraday.withColumn("volume", F.col("volume").cast("double"))
+    new = ingest.union_new(bars, intraday)
+    counts = ingest.ingest_summary(stored, bars, intraday)
+    counts.write.mode("overwrite").parquet(f"{paths.state}/ingest_summary")
+    files.merge_raw(spark, paths.raw, new, arrival)
+    counts = spark.read.schema(counts.schema).parquet(f"{paths.state}/ingest_summary")
+    return {"found": found, "plan": plan, "summary": counts}
+
+
+def next_session_job(
+    spark: SparkSession, paths: Paths, as_of: str, model: Model | None = None
+) -> DataFrame:
+    """Score the newest bars for the next session and keep the result by target date.
+
+    Uses the champion unless a model is given. The newest day of the stored history
+    is the table that the questions about predictions read.
+    """
+    if model is None:
+        _, model = champion_model(spark, paths)
+    newest = latest.latest_features(files.scan_features(spark, paths.features))
+    files.save_predictions(models.score_next(models.compiled(model), newest, as_of), paths.predictions)
+    return files.scan_predictions(spark, paths.predictions)
 
 
 def gated_job(
@@ -158,12 +237,18 @@ def gated_job(
     force: bool = False,
     recent_days: int | None = None,
 ) -> dict:
-    """Preprocess and train only when the raw data is newer than the last run."""
+    """Preprocess and train only when the raw data is newer than the last run.
+
+    The state is stored once the forecast is published, so a day whose forecast
+    failed is run again.
+    """
     raw = files.scan_raw(spark, paths.raw)
     state_schema = "latest_date string, last_processed_at string"
     try:
-        state = spark.read.schema(state_schema).parquet(paths.state)
-    except AnalysisException:
+        state = spark.read.schema(state_schema).parquet(f"{paths.state}/gate")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         state = spark.createDataFrame([], state_schema)
     gate = ingest.freshness_gate(raw, state, as_of, force=force).first()
     if not gate["success"]:
@@ -173,7 +258,8 @@ def gated_job(
         return {"status": "skipped", "reason": "no_new_data", **facts}
     counted = preprocess(spark, paths, recent_days)
     result = daily_job(spark, paths, as_of, trainer, name)
-    spark.createDataFrame([(gate["latest_date"], as_of)], state_schema).write.mode(
-        "overwrite"
-    ).parquet(paths.state)
+    if result["forecast"] == "published":
+        spark.createDataFrame([(gate["latest_date"], as_of)], state_schema).write.mode(
+            "overwrite"
+        ).parquet(f"{paths.state}/gate")
     return {**result, **facts, **counted}

@@ -136,7 +136,9 @@ MODEL_RUNS = _struct(
     ("accuracy", T.DoubleType()),
     ("f1", T.DoubleType()),
     ("auc", T.DoubleType()),
-    ("saved_at", T.DateType()),
+    ("saved_at", T.TimestampNTZType()),
+    ("params", T.MapType(T.StringType(), T.StringType())),
+    ("train_seconds", T.DoubleType()),
 )
 
 # One run per JSON document, as the training job writes it.
@@ -157,6 +159,7 @@ METRICS_JSON = T.StructType(
                     T.StructField("run_id", T.StringType()),
                     T.StructField("experiment_id", T.StringType()),
                     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+                    T.StructField("train_seconds", T.DoubleType()),
                 ]
             ),
         ),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import dates
 from tidemark.operators import ingest
 
+log = logging.getLogger(__name__)
+
 _MONTH = "month"
+# The folder of rows without a readable date.
+_NO_MONTH = "unreadable"
 
 
 def scan_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -23,18 +31,32 @@ def scan_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FEATURE_TABLE).parquet(path)
 
 
-def scan_drift_union(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def scan_drift_union(
+    spark: SparkSession, paths: Sequence[str], skipped: list[str] | None = None
+) -> DataFrame:
     """Union datasets whose schemas have drifted apart.
 
-    One read per path (a folder of files with one schema). ``date`` becomes text,
-    missing columns become NULL, number types widen, unreadable files are skipped.
+    A path is a folder of files with one schema; paths of equal schemas are read
+    together, so the plan has a branch per schema. ``date`` becomes text, missing
+    columns become NULL, number types widen. A path that does not exist raises. Paths
+    whose files have no readable schema are left out, logged and put into ``skipped``;
+    unreadable files beside readable ones raise when they are read.
     """
-    merged: DataFrame | None = None
+    alike: dict[str, list[str]] = {}
     for path in paths:
         try:
-            part = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
-        except AnalysisException:
-            continue
+            alike.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                raise
+            _leave_out(path, error, skipped)
+        except Exception as error:  # noqa: BLE001 - a broken footer is no analysis error
+            if "FAILED_READ_FILE" not in str(error) and "CANNOT_READ_FILE_FOOTER" not in str(error):
+                raise
+            _leave_out(path, error, skipped)
+    merged: DataFrame | None = None
+    for schema, group in alike.items():
+        part = spark.read.schema(schemas.T.StructType.fromJson(json.loads(schema))).parquet(*group)
         if "date" in part.columns:
             part = part.withColumn("date", F.col("date").cast("string"))
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
@@ -43,13 +65,20 @@ def scan_drift_union(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return merged
 
 
+def _leave_out(path: str, error: Exception, skipped: list[str] | None) -> None:
+    log.warning("left out %s: %s", path, str(error).splitlines()[0])
+    if skipped is not None:
+        skipped.append(path)
+
+
 def save_features(table: DataFrame, path: str) -> None:
     """Replace the feature dataset. Tickers are too many to be folders."""
     table.select(*schemas.FEATURE_TABLE.fieldNames()).write.mode("overwrite").parquet(path)
 
 
 def _with_month(raw: DataFrame) -> DataFrame:
-    return raw.withColumn(_MONTH, F.substring("date", 1, 7))
+    month = F.substring(dates.date_part_of(F.col("date")).cast("string"), 1, 7)
+    return raw.withColumn(_MONTH, F.coalesce(month, F.lit(_NO_MONTH)))
 
 
 def save_raw(raw: DataFrame, path: str) -> None:
@@ -70,18 +99,61 @@ def save_raw(raw: DataFrame, path: str) -> None:
     )
 
 
-def merge_raw(spark: SparkSession, path: str, new: DataFrame) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset lies there."""
+    try:
+        spark.read.schema(schemas.RAW_BARS).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def raw_state(spark: SparkSession, path: str) -> DataFrame:
+    """One row: does the dataset exist, has it rows, and its newest date."""
+    there = exists(spark, path)
+    raw = scan_raw(spark, path) if there else spark.createDataFrame([], schemas.RAW_BARS)
+    return ingest.last_date(raw).select(F.lit(there).alias("exists"), "has_rows", "last_date")
+
+
+def merge_raw(
+    spark: SparkSession, path: str, new: DataFrame, arrival: Sequence[str] = ()
+) -> None:
     """Upsert new bars into the raw dataset; untouched months are not read.
 
-    Dynamic partition overwrite writes beside the old files and swaps the touched
-    months at commit, so the job may read the dataset it replaces.
+    The first merge creates the dataset. ``arrival`` names columns of the new bars in
+    whose order rows of one key arrived; the last one stays. Rows without a readable
+    date have a folder of their own. Dynamic partition overwrite writes beside the old
+    files and swaps the touched months at commit, so the job may read the dataset it
+    replaces.
     """
     columns = schemas.RAW_BARS.fieldNames()
-    new = new.select(*columns)
-    # One row per calendar month: copied to all tasks, it prunes the folders read.
-    months = F.broadcast(_with_month(new).select(_MONTH).distinct())
-    stored = scan_raw_months(spark, path).join(months, _MONTH, "left_semi").select(*columns)
-    save_raw(ingest.upsert_keep_last(stored, new), path)
+    new = new.select(*columns, *arrival)
+    if exists(spark, path):
+        # One row per calendar month and one for the rest: it prunes the folders read.
+        months = F.broadcast(_with_month(new).select(_MONTH).distinct())
+        stored = scan_raw_months(spark, path).join(months, _MONTH, "left_semi").select(*columns)
+    else:
+        stored = spark.createDataFrame([], schemas.RAW_BARS)
+    stored = stored.select(*columns, *(F.lit(None).alias(name) for name in arrival))
+    save_raw(ingest.upsert_keep_last(stored, new, arrival=arrival), path)
+
+
+def recent_raw(spark: SparkSession, path: str, days: int) -> DataFrame:
+    """Raw bars of the months that reach ``days`` back from the newest month on.
+
+    Only those folders are read; rows without a readable date are left out. A dataset
+    without monthly folders is read whole.
+    """
+    stored = scan_raw_months(spark, path)
+    columns = schemas.RAW_BARS.fieldNames()
+    # Folder names alone answer this; no file is opened for a column.
+    newest = stored.filter(F.col(_MONTH) != _NO_MONTH).agg(F.max(_MONTH)).first()[0]
+    if newest is None:
+        return stored.select(*columns)
+    oldest = F.substring(F.date_sub(F.lit(f"{newest}-01").cast("date"), days).cast("string"), 1, 7)
+    return stored.filter((F.col(_MONTH) >= oldest) & (F.col(_MONTH) != _NO_MONTH)).select(*columns)
 
 
 def scan_raw_months(spark: SparkSession, path: str) -> DataFrame:
@@ -128,7 +200,11 @@ def scan_signal_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_metrics(runs: DataFrame, path: str) -> None:
-    """Append runs as JSON documents."""
+    """Append runs as JSON documents; ``params`` (a map) and ``train_seconds`` if they are there."""
+    params = F.create_map(F.lit("model"), F.col("model"))
+    if "params" in runs.columns:
+        params = F.map_concat(F.coalesce("params", F.create_map().cast("map<string,string>")), params)
+    seconds = F.col("train_seconds") if "train_seconds" in runs.columns else F.lit(None)
     runs.select(
         F.struct(
             "accuracy", F.col("f1").alias("f1_score"), F.col("auc").alias("auc_roc")
@@ -136,7 +212,8 @@ def save_metrics(runs: DataFrame, path: str) -> None:
         F.struct(
             "run_id",
             F.col("model").alias("experiment_id"),
-            F.create_map(F.lit("model"), F.col("model")).alias("params"),
+            params.alias("params"),
+            seconds.cast("double").alias("train_seconds"),
         ).alias("model_info"),
         F.col("saved_at").cast("string").alias("saved_at"),
     ).write.mode("append").json(path)
@@ -151,10 +228,32 @@ def scan_metrics(spark: SparkSession, path: str, multi_line: bool = False) -> Da
         F.col("metrics.accuracy").alias("accuracy"),
         F.col("metrics.f1_score").alias("f1"),
         F.col("metrics.auc_roc").alias("auc"),
-        F.to_date("saved_at").alias("saved_at"),
+        F.col("saved_at").try_cast("timestamp_ntz").alias("saved_at"),
+        F.col("model_info.params").alias("params"),
+        F.col("model_info.train_seconds").alias("train_seconds"),
     )
 
 
+def publish(df: DataFrame, path: str) -> str:
+    """Write a version of a table beside the others, then point to it.
+
+    Readers of ``published`` see the old version until the pointer is there.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex[:12]
+    df.write.parquet(f"{path}/versions/{version}")
+    pointer = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("since"))
+    pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+    return version
+
+
+def published(spark: SparkSession, path: str, schema: schemas.T.StructType) -> DataFrame:
+    """The newest version that ``publish`` wrote."""
+    pointer = spark.read.schema("version string, since timestamp").parquet(f"{path}/pointer")
+    newest = pointer.agg(F.max_by("version", F.struct("since", "version"))).first()[0]
+    return spark.read.schema(schema).parquet(f"{path}/versions/{newest}")
+
+
 def table_version(spark: SparkSession, path: str) -> str | None:
     """A token that changes when files of the dataset change; None if unreadable.
 
@@ -179,16 +278,17 @@ def snapshot_sync(
 ) -> DataFrame:
     """Copy ``source`` to ``target`` if its version changed; report what was done.
 
-    An unknown version always copies, an empty source never does. ``state`` holds
-    the version of the last copy.
+    An unknown version always copies; an empty or missing source never does, and the
+    target stays as it was. ``state`` holds the version of the last copy.
     """
     version = table_version(spark, source)
-    try:
+    last = None
+    if exists(spark, state):
         stored = spark.read.schema("version string").parquet(state).first()
         last = stored["version"] if stored else None
-    except AnalysisException:
-        last = None
-    if version is not None and version == last:
+    if version is None:
+        action = "empty_source"
+    elif version == last:
         action = "up_to_date"
     else:
         data = spark.read.parquet(source)

@@ -16,8 +16,16 @@ from tidemark.operators.ingest import ohlcv
 _TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "price", "volume")
 
 # The scorers used wherever results must be reproducible by hand.
+# Probabilities are compared with SQL to this many digits.
+_DIGITS = 9
+
+
+def _scorer(name: str, intercept: float, weights: dict[str, float]) -> scoring.LinearScorer:
+    return scoring.LinearScorer(name, intercept, weights, _DIGITS)
+
+
 SCORERS = (
-    scoring.LinearScorer(
+    _scorer(
         "blend",
         0.05,
         {
@@ -40,13 +48,13 @@ SCORERS = (
             "return_lag3": -0.10,
         },
     ),
-    scoring.LinearScorer(
+    _scorer(
         "momentum", 0.0, {"return_3d": 0.6, "return_5d": 0.4, "return_10d": 0.3}
     ),
-    scoring.LinearScorer(
+    _scorer(
         "reversal", 0.0, {"close_position": -0.8, "price_vs_ma5": -0.5, "return_1d": -0.3}
     ),
-    scoring.LinearScorer(
+    _scorer(
         "volume", -0.1, {"volume_ratio": 0.7, "volume_change": 0.2, "volatility_5": -0.2}
     ),
 )

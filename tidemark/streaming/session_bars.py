@@ -11,6 +11,7 @@ from tidemark.functions import dates
 from tidemark.operators import ingest
 
 LATENESS = "2 hours"
+_BATCH = "batch"
 
 EVENTS = T.StructType(
     [
@@ -21,6 +22,19 @@ EVENTS = T.StructType(
     ]
 )
 
+BARS = T.StructType(
+    [
+        T.StructField("ticker", T.StringType()),
+        T.StructField("trade_date", T.DateType()),
+        T.StructField("session", T.IntegerType()),
+        T.StructField("open", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("close", T.DoubleType()),
+        T.StructField("volume", T.LongType()),
+    ]
+)
+
 
 def read_ticks(spark: SparkSession, folder: str, pattern: str = "events*.parquet") -> DataFrame:
     """Tick files as they arrive in a folder."""
@@ -70,14 +84,30 @@ def session_bars(ticks: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def run_available(bars: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, append the closed days to ``target`` and stop."""
+    """Process what has arrived, store every bar that changed and stop.
+
+    Each micro-batch writes the new state of its bars into a folder of its own, which
+    a repeated batch replaces. Today's bars are there at once, not when the day closes.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/{_BATCH}={number}")
+
     query = (
-        bars.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", target)
+        bars.writeStream.outputMode("update")
+        .foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     return query
+
+
+def stored_bars(spark: SparkSession, target: str) -> DataFrame:
+    """The newest state of every bar that the stream has stored."""
+    keys, values = BARS.fieldNames()[:3], BARS.fieldNames()[3:]
+    schema = T.StructType([*BARS.fields, T.StructField(_BATCH, T.LongType())])
+    rows = spark.read.schema(schema).parquet(target)
+    newest = F.max_by(F.struct(*values), _BATCH).alias("bar")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "bar.*")
