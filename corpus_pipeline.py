@@ -1,21 +1,65 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage gets what the one before it kept, with the columns of ``documents``; the
+last one returns where each piece of text is packed. No stage has an SQL form as a
+whole: the tests hold each against a plain computation.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact, jaccard, packing, pii, toxicity
+from tidemark.llm.common import bounded, table, written
+
+VOCABULARY = "byte_bpe_50k.json"
 
-from tidemark.llm import exact
-from tidemark.llm.common import table, written
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go; it learns from ``labels``."""
+    known = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    return toxicity.keep_clean(docs, toxicity.learn(docs, known))
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts only the row with the largest id goes on."""
-    keep = exact.dedup(docs).filter("kept").select("doc_id")
-    return docs.join(keep, "doc_id", "left_semi")
+    return exact.keep(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links connect only the one with the smallest id goes on.
+
+    A repeated id is dropped only if all its rows would be.
+    """
+    found = jaccard.components(docs)
+    spare = F.coalesce(F.col("component_id") != F.col("doc_id"), F.col("component_id").isNotNull())
+    gone = found.groupBy("doc_id").agg(F.min(spare).alias("gone")).filter("gone")
+    gone = written(gone.select(F.col("doc_id").alias("gone_id")), "near-copies")
+    return docs.join(bounded(gone), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind; ``n_chars`` follows the text."""
+    clean = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents that are left, in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
 STAGES = [
-    ("exact_dedup", exact_dedup),
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("pii", redact_personal_data),
+    ("packing", pack_sequences),
 ]
 
 ORACLE_SQL = None

@@ -26,12 +26,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import common
 
 # Rows per bucket: a filter over as many keys takes about 1.2 bytes a key.
 BUCKET_ROWS = 200_000
 ATTEMPTS = 100
+# Rows of one text that one task compares with their group.
+SALT_ROWS = 200
 # Digests whose filters are sent to every executor: 20 MB.
 BROADCAST_DIGESTS = 16_000_000
 _MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -199,14 +202,19 @@ def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
 
 
 def suspects(rows: DataFrame) -> DataFrame:
-    """Digests on more than one row; ``rows`` has ``bucket``, ``digest`` and ``fresh`` (new batch or snapshot)."""
+    """Digests on more than one row, and on how many: ``bucket``, ``digest``, ``n``.
+
+    ``rows`` has ``bucket``, ``digest`` and ``fresh`` (new batch or snapshot).
+    """
     counted = rows.groupBy("fresh", "bucket", "digest").agg(F.count("*").alias("n"))
     counted = common.written(counted, "digests")
     snapshot, incoming = counted.filter("not fresh"), counted.filter("fresh")
     screened = screen(incoming, common.written(build_filters(snapshot), "filters"))
-    positive = screened.filter("maybe").select("bucket", "digest")
-    seen = positive.join(snapshot.select("digest"), "digest", "left_semi").select("bucket", "digest")
-    return counted.filter("n > 1").select("bucket", "digest").union(seen).distinct()
+    positive = screened.filter("maybe").select("digest")
+    seen = positive.join(snapshot.select("digest"), "digest", "left_semi")
+    seen = seen.withColumn("seen", F.lit(True))
+    total = counted.groupBy("bucket", "digest").agg(F.sum("n").alias("n"))
+    return total.join(seen, "digest", "left").filter("n > 1 or seen").select("bucket", "digest", "n")
 
 
 def dedup(
@@ -237,7 +245,7 @@ def dedup(
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
     texts = digested(docs, key, text, n_buckets, digest_bytes, _suspect_filters(several))
-    texts = common.written(texts.join(several.select("digest"), "digest", "left_semi"), "texts")
+    texts = common.written(texts.join(several.select("digest", "n"), "digest"), "texts")
     return single.unionByName(_grouped(texts))
 
 
@@ -253,11 +261,18 @@ def _suspect_filters(several: DataFrame):
 
 
 def _grouped(texts: DataFrame) -> DataFrame:
-    """Rows of suspect digests, grouped by their bytes."""
+    """Rows of suspect digests, grouped by their bytes.
+
+    A group is repeated for every ``SALT_ROWS`` rows of its digest, so that the rows of
+    a frequent text find it in many tasks.
+    """
     groups = texts.groupBy("digest", "body").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.max("n").alias("n")
     )
-    rows = texts.join(groups, ["digest", "body"]).select(
+    last = F.expr(f"n div {SALT_ROWS}")
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("n")
+    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), last + 1)).drop("n")
+    rows = salted.join(groups, ["digest", "body", "salt"]).select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -269,3 +284,42 @@ def _grouped(texts: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "keep_id", "group_size", (F.col("best") & first).alias("kept"), "text_sha256"
     )
+
+
+def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns."""
+    found = dedup(docs, key=key, text=text).groupBy("doc_id", "text_sha256").agg(
+        F.count("*").alias("rows"), F.max("kept").alias("kept")
+    )
+    odd = found.filter("rows > 1 or not kept").select(
+        F.col("doc_id").alias("odd_id"), F.col("text_sha256").alias("odd_sha"), "kept"
+    )
+    odd = common.written(odd, "odd")
+    name = "sha"
+    while name in docs.columns:
+        name += "_"
+    named = _with_sha(docs, text, name)
+    same = named[key].eqNullSafe(F.col("odd_id")) & (named[name] == F.col("odd_sha"))
+    once = named.join(common.bounded(odd), same, "left_anti").drop(name)
+    # One of the rows that are repeated with their key.
+    again = odd.filter("kept")
+    if again.isEmpty():
+        return once
+    first = named.join(common.bounded(again), same, "left_semi").dropDuplicates([key, name])
+    return once.unionByName(first.drop(name))
+
+
+def _with_sha(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """All rows with the digest of their normalised text in hexadecimal digits."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.steps(batches, place):
+            bodies = batch.column(place).cast(pa.binary()).to_pylist()
+            shas = [hashlib.sha256((b or b"").lower()).hexdigest() for b in bodies]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(shas, pa.string())], [*batch.schema.names, name]
+            )
+
+    fields = [*docs.schema.fields, T.StructField(name, T.StringType())]
+    return common.mapped(docs, run, T.StructType(fields))
