@@ -15,31 +15,39 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps that hang nodes below ever smaller ones: each node links its
     larger neighbours to its smallest, then each node links all its smaller ones to
-    the smallest. Ends when nothing changes, as a star around each smallest node.
-    Every round is written to the shared folder. Loops and repeated edges are ignored.
+    the smallest. Ends when every node hangs below a root. Every round is written to the
+    shared folder. Loops and repeated edges are ignored.
     """
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = common.written(edges.distinct(), "edges")
-    state = _state(edges)
     for _ in range(ROUNDS):
+        if _settled(edges):
+            break
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        hung = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = common.written(hung.union(least.select("a", "m")).distinct(), "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
+        hung = large.join(least, "a").select(
+            F.explode(
+                F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+            ).alias("e")
+        )
+        edges = common.written(hung.select("e.*").filter("a <> b").distinct(), "edges")
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Tells one set of edges from another."""
-    mark = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(mark), F.sum(F.shiftright(mark, 20))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs below one other, which itself hangs below none."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("under"), F.lit(0).alias("over")),
+            F.struct(F.col("b").alias("node"), F.lit(0).alias("under"), F.lit(1).alias("over")),
+        )
+    ).alias("e")
+    nodes = edges.select(ends).select("e.*").groupBy("node").agg(
+        F.sum("under").alias("under"), F.max("over").alias("over")
+    )
+    return nodes.filter("under > 1 or under = 1 and over = 1").isEmpty()

@@ -1,20 +1,23 @@
 """Join of documents whose sets of word shingles are similar: a parity-sketch join.
 
-Every shingle has a hash; hashing it again picks one bit of a sketch, and the sketch
-keeps the parity of the shingles on each bit. Shingles that two sets share cancel
-out, so the Hamming distance of two sketches never exceeds the size of the sets'
-symmetric difference, which a similarity of t limits to (1 - t) / (1 + t) of the sum
-of their sizes. A sketch with one block more than that limit therefore has an equal
-block for every pair of similar sets. Sets join on equal blocks within a band of
-sizes, a second sketch of fixed width rejects most pairs that fail, and the shingle
-hashes themselves decide.
+Every shingle has a hash; the shingles that fall into one place of a sketch are joined
+by XOR. What two sets share cancels out, so a sketch that keeps one bit a place has a
+Hamming distance that never exceeds the size of the sets' symmetric difference, which a
+similarity of t limits to (1 - t) / (1 + t) of the sum of their sizes. A sketch with
+more blocks than that limit therefore has equal blocks for every pair of similar sets.
+Sets join on equal blocks within a band of sizes, a sketch of fixed width rejects most
+pairs that fail, and the shingle hashes themselves decide.
 
 Documents with equal sets form a class, and classes take part once. A block that many
-classes share is not expanded into all pairs: each class is compared once, then
-members with the lowest and the highest class of their block where they are not
-connected yet, then the members outside the largest component with all others, few at
-a time first. Every pair in one block that is not connected otherwise is compared, so
-no link that matters for the components is lost.
+classes share is not expanded into all pairs: its members are compared with its leader,
+the one with the most shared blocks. Where that leaves several components, members are
+described by their differences from a centre: the leader, with every shingle turned
+round that more than half of the members have otherwise. Two members whose differences
+together stay within the limit link for certain, and so does each of them with the
+member nearest to the centre. All others that link share a difference, so they join
+again on a few differences each, in groups of at most half the size, until all groups
+are in one component or so small that all pairs are compared. No link that matters for
+the components is lost.
 
 Rows: null, empty and wordless texts have an empty set and link with nothing; equal
 texts link; repeated rows each give a row; an empty table gives an empty table; only
@@ -35,13 +38,14 @@ from pyspark.sql import functions as F
 from tidemark.llm import common, graph
 
 # Upper size of a band over its lower one.
-BAND_RATIO = 1.5
-# Bits of a block: words of 64.
-BLOCK_WORDS = 2
+BAND_RATIO = 1.25
+# Blocks beyond those that linked sets need: with up to so many empty blocks a set
+# still shares one that is not empty.
+SPARE_BLOCKS = 2
 # Words of the fixed sketch that pairs are screened with.
 SCREEN_WORDS = 16
-# Members outside the largest component that a round compares with all of a block.
-PIVOTS = (8, 64, 512, 1 << 62)
+# Classes in a group of which all pairs are compared.
+SMALL_GROUP = 4
 
 _ONE = np.uint64(1)
 _U64 = 0xFFFFFFFFFFFFFFFF
@@ -148,8 +152,8 @@ class Threshold:
         return math.ceil(BAND_RATIO ** (band + 1)) - 1
 
     def blocks(self, band: int) -> int:
-        """One more than the most bits that linked sets of a band can differ in."""
-        return 1 + self.most_apart(self.top(band), self.top(band))
+        """More than the most shingles that linked sets of a band can differ in."""
+        return 1 + SPARE_BLOCKS + self.most_apart(self.top(band), self.top(band))
 
 
 def parity(tokens: np.ndarray, words: int) -> np.ndarray:
@@ -160,15 +164,21 @@ def parity(tokens: np.ndarray, words: int) -> np.ndarray:
 
 
 def block_keys(tokens: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """A key for every block of the set's sketch in each of its bands."""
+    """A key for the blocks of the set's sketch in each of its bands.
+
+    A linked pair has more equal blocks than ``SPARE_BLOCKS``; a set with no more empty
+    blocks than that need not look for others with the same empty ones.
+    """
     out = []
+    hashes = mixed(tokens, 7)
     for band in threshold.bands(len(tokens)) if len(tokens) else ():
         n = threshold.blocks(band)
-        sketch = parity(mixed(tokens, 7), n * BLOCK_WORDS).reshape(n, BLOCK_WORDS)
-        key = mixed(np.arange(n, dtype=np.uint64) + np.uint64(band << 40))
-        for word in range(BLOCK_WORDS):
-            key = mixed(key ^ sketch[:, word], word + 1)
-        out.append(key)
+        block = (tokens % np.uint64(n)).astype(np.int64)
+        sketch = np.zeros(n, np.uint64)
+        np.bitwise_xor.at(sketch, block, hashes)
+        key = mixed(mixed(np.arange(n, dtype=np.uint64) + np.uint64(band << 40)) ^ sketch, 3)
+        empty = np.bincount(block, minlength=n) == 0
+        out.append(key if empty.sum() > SPARE_BLOCKS else key[~empty])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -235,7 +245,6 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
     )
     limit = (100 - threshold.percent) * (F.col("n_a") + F.col("n_b"))
     screened = screened.filter((100 + threshold.percent) * apart <= limit).select("a", "b")
-    screened = common.written(screened, "screened")
     both = screened.join(_side(sets, "a", "tokens"), "a").join(_side(sets, "b", "tokens"), "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
@@ -251,20 +260,17 @@ class _Links:
         self.compared: DataFrame | None = None
         self.components: DataFrame | None = None
 
-    def compare(self, pairs: DataFrame) -> bool:
-        """Compares the pairs not seen before; whether any were new."""
+    def compare(self, pairs: DataFrame) -> None:
+        """Compares the pairs not seen before and joins the components of those that link."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.compared is not None:
             pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
         pairs = common.written(pairs, "pairs")
-        if pairs.isEmpty():
-            return False
         links = common.written(linked(pairs, self.sets, self.threshold), "links")
         self.compared = pairs if self.compared is None else self.compared.union(pairs)
         if not links.isEmpty():
             self.found = links if self.found is None else self.found.union(links)
             self.components = common.written(graph.components(self.found), "components")
-        return True
 
     def label(self, members: DataFrame) -> DataFrame:
         """Adds ``component`` to rows with ``sid``."""
@@ -275,67 +281,116 @@ class _Links:
 
 
 def _open(members: DataFrame, links: _Links) -> DataFrame:
-    """Members of blocks whose classes are in several components, with what a block holds.
+    """Members of groups whose classes are in several components.
 
-    Components only grow, so blocks that are left out stay settled.
+    Adds the ``component``, the group's number of ``classes``, its leader ``lead`` and
+    the leader's component ``lead_part``.
     """
-    labelled = common.written(links.label(members.select("key", "sid", "low", "high")), "labelled")
-    blocks = labelled.groupBy("key").agg(
+    labelled = common.written(links.label(members.select("key", "sid", "weight")), "labelled")
+    groups = labelled.groupBy("key").agg(
         F.count("*").alias("classes"),
         F.min("component").alias("first"),
         F.max("component").alias("last"),
-        F.max(F.expr("if(sid = low, component, null)")).alias("low_part"),
-        F.max(F.expr("if(sid = high, component, null)")).alias("high_part"),
+        F.max(F.struct("weight", "sid", "component")).alias("lead"),
+    )
+    groups = groups.filter("first < last").select(
+        "key", "classes", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_part")
     )
-    blocks = blocks.filter("first < last").drop("first", "last")
-    return common.written(labelled.join(blocks, "key"), "open")
+    return common.written(labelled.join(groups, "key"), "open")
 
 
-def _outsiders(members: DataFrame) -> DataFrame:
-    """Open members with ``rank``: an order among those outside their block's largest component."""
-    members = members.filter("classes > 3").select("key", "sid", "low", "high", "component")
-    counted = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = counted.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-    members = members.join(largest, "key")
-    outside = members.filter("component <> largest")
-    rank = F.expr("row_number() over (partition by key order by sid)")
-    outside = outside.select("key", F.col("sid").alias("a"), F.col("component").alias("other"), rank.alias("rank"))
-    return common.written(outside, "outside")
+def _pairs(members: DataFrame) -> DataFrame:
+    """All pairs of small groups, and each member of a larger one with the leader."""
+    large = members.filter((F.col("classes") > SMALL_GROUP) & (F.col("component") != F.col("lead_part")))
+    small = members.filter(F.col("classes") <= SMALL_GROUP).select("key", "sid", "component")
+    other = small.select("key", F.col("sid").alias("b"), F.col("component").alias("other"))
+    within = small.join(other, "key").filter("sid < b and component <> other")
+    return large.select(F.col("lead").alias("a"), F.col("sid").alias("b")).union(
+        within.select(F.col("sid").alias("a"), "b")
+    )
+
+
+def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame:
+    """``cluster``, ``sid``, ``weight``, size ``n`` and differences ``apart`` from the centre.
+
+    A cluster is what has one leader, or one group of it.
+    """
+    led = members.filter((F.col("classes") > SMALL_GROUP) & (F.col("sid") != F.col("lead")))
+    led = led.select(F.col(cluster).alias("cluster"), "lead", "sid", "weight").distinct()
+    own = sets.select("sid", F.col("tokens").alias("own"))
+    lead = sets.select(F.col("sid").alias("lead"), F.col("tokens").alias("theirs"))
+    apart = F.concat(F.array_except("own", "theirs"), F.array_except("theirs", "own"))
+    both = led.join(own, "sid").join(lead, "lead")
+    rows = both.select("cluster", "sid", "weight", F.size("own").alias("n"), apart.alias("apart"))
+    rows = common.written(rows, "apart")
+    held = rows.select("cluster", F.explode("apart").alias("token")).groupBy("cluster", "token").agg(
+        F.count("*").alias("n")
+    )
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("all"))
+    turned = held.join(sizes, "cluster").filter("2 * n > all").groupBy("cluster").agg(
+        F.collect_list("token").alias("turned")
+    )
+    none = F.array().cast("array<bigint>")
+    rows = rows.join(turned, "cluster", "left").withColumn("turned", F.coalesce("turned", none))
+    apart = F.concat(F.array_except("apart", "turned"), F.array_except("turned", "apart"))
+    return common.written(rows.withColumn("apart", apart).drop("turned"), "apart")
+
+
+def _core(rows: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs of a cluster's member nearest to the centre with those that link to it for certain."""
+    room = (100 - threshold.percent) * F.col("n") - (100 + threshold.percent) * F.size("apart")
+    rows = rows.select("cluster", "sid", room.alias("room"))
+    nearest = rows.groupBy("cluster").agg(F.max(F.struct("room", "sid")).alias("nearest"))
+    sure = rows.join(nearest, "cluster").filter("room + nearest.room >= 0 and sid <> nearest.sid")
+    return sure.select(F.col("nearest.sid").alias("a"), F.col("sid").alias("b"))
+
+
+def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
+    """Members by their differences from the centre.
+
+    Two that link have sets of differences that differ by at most ``reach``, so the
+    first ``reach`` + 1 in a fixed order share one.
+    """
+    # The other set has at most this many shingles.
+    largest = F.floor(100 * F.col("n") / threshold.percent)
+    reach = F.floor((100 - threshold.percent) * (F.col("n") + largest) / (100 + threshold.percent))
+    some = F.slice(F.array_sort("apart"), F.lit(1), reach.cast("int") + 1)
+    keys = rows.select("cluster", "sid", "weight", F.explode(some).alias("token"))
+    keys = keys.select(F.xxhash64("cluster", "token").alias("key"), "sid", "weight")
+    shared = keys.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+    keys = keys.join(shared.filter("low < high").select("key"), "key", "left_semi")
+    return common.written(keys.distinct(), "regrouped")
 
 
 def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Threshold) -> DataFrame | None:
     """Components of set ids that links connect: ``node``, ``component``; None without links."""
     postings = sketched.filter("sid is not null").select("sid", F.explode("keys").alias("key"))
     blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    members = postings.join(blocks.filter("low < high"), "key").distinct()
+    members = postings.join(blocks.filter("low < high").select("key"), "key", "left_semi").distinct()
     members = common.written(members, "members")
-    links = _Links(_candidates(members, sketched, source, size), threshold)
-
-    # One comparison for each class first: it settles most blocks.
-    first = members.filter("sid <> low").groupBy("sid").agg(F.min("low").alias("a"))
-    links.compare(first.select("a", F.col("sid").alias("b")))
-    members = _open(members, links)
-    links.compare(members.filter("component <> low_part").select(F.col("low").alias("a"), F.col("sid").alias("b")))
-    members = _open(members, links)
-    tops = members.filter("classes > 2 and component <> high_part")
-    links.compare(tops.select(F.col("high").alias("a"), F.col("sid").alias("b")))
-    for pivots in PIVOTS:
-        members = _open(members, links)
-        outside = _outsiders(members)
-        most = outside.agg(F.max("rank")).first()[0]
-        if most is None:
-            break
-        some = outside.filter(F.col("rank") <= pivots)
-        pairs = members.join(some, "key").filter("component <> other")
-        links.compare(pairs.select("a", F.col("sid").alias("b")))
-        if most <= pivots:
+    weights = common.written(members.groupBy("sid").agg(F.count("*").alias("weight")), "weights")
+    members = members.join(weights, "sid")
+    sets = _candidates(weights.select("sid"), sketched, source, size)
+    links = _Links(sets, threshold)
+
+    # One comparison for each class first, with its best leader: it settles most groups.
+    leaders = members.groupBy("key").agg(F.max(F.struct("weight", "sid")).alias("lead"))
+    best = members.join(leaders, "key").groupBy("sid").agg(F.max("lead").alias("lead"))
+    links.compare(best.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).filter("a <> b"))
+    members, cluster = _open(members, links), "lead"
+    while not members.isEmpty():
+        links.compare(_pairs(members))
+        members = _open(members.filter(F.col("classes") > SMALL_GROUP), links)
+        if members.isEmpty():
             break
+        rows = _differences(members, sets, cluster)
+        links.compare(_core(rows, threshold))
+        members, cluster = _open(_regrouped(rows, threshold), links), "key"
     return links.components
 
 
-def _candidates(members: DataFrame, sketched: DataFrame, source: DataFrame, size: int) -> DataFrame:
+def _candidates(ids: DataFrame, sketched: DataFrame, source: DataFrame, size: int) -> DataFrame:
     """The sets of the classes in any shared block, each from one of its documents."""
-    ids = common.written(members.select("sid").distinct(), "ids")
     docs = sketched.join(common.bounded(ids), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     docs = common.written(docs.select(F.col("doc_id").alias("id")).distinct(), "candidates")
     chosen = source.join(common.bounded(docs), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
