@@ -44,8 +44,9 @@ BAND_RATIO = 1.25
 SPARE_BLOCKS = 2
 # Words of the fixed sketch that pairs are screened with.
 SCREEN_WORDS = 16
-# Classes in a group of which all pairs are compared.
+# Classes in a group of which all pairs are compared: of blocks, and of differences.
 SMALL_GROUP = 4
+SMALL_REGROUP = 24
 
 _ONE = np.uint64(1)
 _U64 = 0xFFFFFFFFFFFFFFFF
@@ -245,7 +246,13 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
     )
     limit = (100 - threshold.percent) * (F.col("n_a") + F.col("n_b"))
     screened = screened.filter((100 + threshold.percent) * apart <= limit).select("a", "b")
-    both = screened.join(_side(sets, "a", "tokens"), "a").join(_side(sets, "b", "tokens"), "b")
+    screened = common.written(screened, "screened")
+    both = screened
+    for name in ("b", "a"):
+        # Only sets that are compared are moved.
+        ids = common.written(screened.select(F.col(name).alias("sid")).distinct(), "ids")
+        asked = sets.join(common.bounded(ids), "sid", "left_semi")
+        both = both.join(_side(asked, name, "tokens"), name)
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
     return both.filter(100 * shared >= threshold.percent * union).select("a", "b")
@@ -299,10 +306,10 @@ def _open(members: DataFrame, links: _Links) -> DataFrame:
     return common.written(labelled.join(groups, "key"), "open")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
+def _pairs(members: DataFrame, most: int) -> DataFrame:
     """All pairs of small groups, and each member of a larger one with the leader."""
-    large = members.filter((F.col("classes") > SMALL_GROUP) & (F.col("component") != F.col("lead_part")))
-    small = members.filter(F.col("classes") <= SMALL_GROUP).select("key", "sid", "component")
+    large = members.filter((F.col("classes") > most) & (F.col("component") != F.col("lead_part")))
+    small = members.filter(F.col("classes") <= most).select("key", "sid", "component")
     other = small.select("key", F.col("sid").alias("b"), F.col("component").alias("other"))
     within = small.join(other, "key").filter("sid < b and component <> other")
     return large.select(F.col("lead").alias("a"), F.col("sid").alias("b")).union(
@@ -315,8 +322,7 @@ def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame
 
     A cluster is what has one leader, or one group of it.
     """
-    led = members.filter((F.col("classes") > SMALL_GROUP) & (F.col("sid") != F.col("lead")))
-    led = led.select(F.col(cluster).alias("cluster"), "lead", "sid", "weight").distinct()
+    led = members.filter("sid <> lead").select(F.col(cluster).alias("cluster"), "lead", "sid", "weight").distinct()
     own = sets.select("sid", F.col("tokens").alias("own"))
     lead = sets.select(F.col("sid").alias("lead"), F.col("tokens").alias("theirs"))
     apart = F.concat(F.array_except("own", "theirs"), F.array_except("theirs", "own"))
@@ -349,16 +355,23 @@ def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
     """Members by their differences from the centre.
 
     Two that link have sets of differences that differ by at most ``reach``, so the
-    first ``reach`` + 1 in a fixed order share one.
+    first ``reach`` + 1 in an order that both follow share one. The order starts with
+    the differences that the fewest members have; those that one member has alone only
+    take places.
     """
+    tokens = rows.select("cluster", "sid", F.explode("apart").alias("token"))
+    often = tokens.groupBy("cluster", "token").agg(F.count("*").alias("times")).filter("times > 1")
+    shared = tokens.join(often, ["cluster", "token"]).groupBy("cluster", "sid").agg(
+        F.array_sort(F.collect_list(F.struct("times", "token"))).alias("shared")
+    )
     # The other set has at most this many shingles.
     largest = F.floor(100 * F.col("n") / threshold.percent)
     reach = F.floor((100 - threshold.percent) * (F.col("n") + largest) / (100 + threshold.percent))
-    some = F.slice(F.array_sort("apart"), F.lit(1), reach.cast("int") + 1)
-    keys = rows.select("cluster", "sid", "weight", F.explode(some).alias("token"))
-    keys = keys.select(F.xxhash64("cluster", "token").alias("key"), "sid", "weight")
-    shared = keys.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    keys = keys.join(shared.filter("low < high").select("key"), "key", "left_semi")
+    alone = F.size("apart") - F.size("shared")
+    places = F.greatest(F.lit(0), reach + 1 - alone).cast("int")
+    held = rows.join(shared, ["cluster", "sid"])
+    keys = held.select("cluster", "sid", "weight", F.explode(F.slice("shared", F.lit(1), places)).alias("one"))
+    keys = keys.select(F.xxhash64("cluster", "one.token").alias("key"), "sid", "weight")
     return common.written(keys.distinct(), "regrouped")
 
 
@@ -377,15 +390,15 @@ def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Thr
     leaders = members.groupBy("key").agg(F.max(F.struct("weight", "sid")).alias("lead"))
     best = members.join(leaders, "key").groupBy("sid").agg(F.max("lead").alias("lead"))
     links.compare(best.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).filter("a <> b"))
-    members, cluster = _open(members, links), "lead"
+    members, cluster, most = _open(members, links), "lead", SMALL_GROUP
     while not members.isEmpty():
-        links.compare(_pairs(members))
-        members = _open(members.filter(F.col("classes") > SMALL_GROUP), links)
+        links.compare(_pairs(members, most))
+        members = _open(members.filter(F.col("classes") > most), links)
         if members.isEmpty():
             break
         rows = _differences(members, sets, cluster)
         links.compare(_core(rows, threshold))
-        members, cluster = _open(_regrouped(rows, threshold), links), "key"
+        members, cluster, most = _open(_regrouped(rows, threshold), links), "key", SMALL_REGROUP
     return links.components
 
 
@@ -395,8 +408,10 @@ def _candidates(ids: DataFrame, sketched: DataFrame, source: DataFrame, size: in
     docs = common.written(docs.select(F.col("doc_id").alias("id")).distinct(), "candidates")
     chosen = source.join(common.bounded(docs), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     # Keys may repeat: what else they bring in is taken out again.
-    sets = whole_sets(chosen, size).join(common.bounded(ids), "sid", "left_semi")
-    return common.written(sets.dropDuplicates(["sid"]), "sets")
+    sets = common.written(whole_sets(chosen, size).join(common.bounded(ids), "sid", "left_semi"), "sets")
+    if sets.count() > ids.count():
+        sets = common.written(sets.dropDuplicates(["sid"]), "sets")
+    return sets
 
 
 def components(

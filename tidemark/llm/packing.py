@@ -221,7 +221,7 @@ def ranked(rows: DataFrame, order: list[str], salt_rows: int = SALT_ROWS) -> Dat
         salted.withColumn("within", within)
         .join(base, ["length", "salt"])
         .withColumn("rank", F.col("before") + F.col("within") - 1)
-        .drop("salt", "before", "within")
+        .select(*rows.columns, "rank")
     )
 
 

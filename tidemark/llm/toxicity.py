@@ -69,7 +69,8 @@ THREATS = frozenset(
 
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»„]")
-_BREAK = re.compile(r"[.!?;:\n|]")
+BREAKS = ".!?;:\n|"
+_BREAK = re.compile("[" + re.escape(BREAKS) + "]")
 _QUOTES = frozenset('"“”«»„')
 
 # Symbols: i insult, h threat, t target, n negation, r reporting word, q quotation mark, o other.
@@ -210,7 +211,7 @@ class Model:
             start = end + 1 - length
             if start < done or (start and text[start - 1].isalpha()):
                 continue
-            low = max((m for m in (text.rfind(c, done, start) for c in ".!?;:\n|")), default=-1) + 1
+            low = max(done, *(text.rfind(c, done, start) + 1 for c in BREAKS))
             stop = _BREAK.search(text, end)
             done = stop.end() if stop else len(text)
             scores.append(self.clause(text[low:done]))
