@@ -247,12 +247,11 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
     limit = (100 - threshold.percent) * (F.col("n_a") + F.col("n_b"))
     screened = screened.filter((100 + threshold.percent) * apart <= limit).select("a", "b")
     screened = common.written(screened, "screened")
-    both = screened
-    for name in ("b", "a"):
-        # Only sets that are compared are moved.
-        ids = common.written(screened.select(F.col(name).alias("sid")).distinct(), "ids")
-        asked = sets.join(common.bounded(ids), "sid", "left_semi")
-        both = both.join(_side(asked, name, "tokens"), name)
+    pairs = common.bounded(screened)
+    # Each side gets its sets where they lie; only sets that are compared are moved.
+    left = _side(sets, "a", "tokens").join(pairs, "a")
+    right = _side(sets, "b", "tokens").join(pairs, "b")
+    both = left.join(right.hint("merge"), ["a", "b"])
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
     return both.filter(100 * shared >= threshold.percent * union).select("a", "b")
