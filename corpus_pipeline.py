@@ -15,6 +15,8 @@ from tidemark.llm import exact, jaccard, packing, pii, toxicity
 from tidemark.llm.common import bounded, table, written
 
 VOCABULARY = "byte_bpe_50k.json"
+# Words of a shingle and the least similarity, in percent, of near copies in a corpus.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +33,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect only the one with the smallest id goes on.
 
-    A repeated id is dropped only if all its rows would be.
+    Documents link if their sets of five-word shingles are 80 % alike; ``op8_jaccard``
+    has a rule of its own. A repeated id is dropped only if all its rows would be.
     """
-    found = jaccard.components(docs)
+    found = jaccard.components(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
     spare = F.coalesce(F.col("component_id") != F.col("doc_id"), F.col("component_id").isNotNull())
     gone = found.groupBy("doc_id").agg(F.min(spare).alias("gone")).filter("gone")
     gone = written(gone.select(F.col("doc_id").alias("gone_id")), "near-copies")

@@ -63,6 +63,39 @@ def test_near_copies(spark, docs):
     assert {r.doc_id for r in got.collect()} == expected
 
 
+def near_brute(data, size=5, percent=80):
+    """Indexes of rows in groups that links connect."""
+    sets = []
+    for _, text in data:
+        words = test_jaccard.WORD.findall((text or "").translate(test_jaccard.LOWER))
+        sets.append({tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    group = list(range(len(data)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and group[i] != group[j] and 100 * len(a & b) >= percent * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    out = defaultdict(list)
+    for i, g in enumerate(group):
+        out[g].append(i)
+    return list(out.values())
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_near_copies_by_five_words(spark, documents, seed):
+    """Near copies between the rule of op8 (three words, 90 %) and that of a corpus."""
+    base = [f"b{i}" for i in range(100)]
+    some = [(2000, " ".join(base))]
+    # Two other words leave 86 of 106 five-word and 92 of 104 three-word shingles; three leave 81 of 111.
+    for key, places in ((2001, (30, 60)), (2002, (20, 50, 80))):
+        some.append((key, " ".join("x" if i in places else w for i, w in enumerate(base))))
+    data = some + list(dict(test_jaccard.near_copies(seed)).items())
+    got = STAGES["ngram_jaccard"](spark, documents(data), SMALL)
+    expected = {min(data[i][0] for i in group) for group in near_brute(data)}
+    assert {2000, 2002} <= expected and 2001 not in expected
+    assert sorted(r.doc_id for r in got.collect()) == sorted(expected)
+
+
 def test_personal_data(spark, docs):
     got = STAGES["pii"](spark, docs, SMALL)
     assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
