@@ -83,6 +83,54 @@ def test_recall_with_windows(spark):
     assert hits / (120 * 10) >= 0.9
 
 
+def recall(spark, vectors, asked, k=20, **given):
+    """Share of the true neighbours of the asked ids that the search finds; ids are row numbers."""
+    data = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    got = {}
+    for r in curves.search(data, F.col("id").isin(asked), k=k, **given).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in asked:
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(got.get(q, set()) & set(np.argsort(-scores)[:k].tolist()))
+    return hits / (len(asked) * k)
+
+
+def unit_vectors(n, dimension, seed):
+    found = np.random.default_rng(seed).normal(size=(n, dimension))
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("noise", [1e-4, 1e-3])
+def test_recall_in_a_dense_group(spark, noise):
+    """A third of the vectors lies around one centre, closer than any cell of a coarse key."""
+    vectors = unit_vectors(30_000, 32, 4)
+    group = vectors[0] + noise * unit_vectors(10_000, 32, 5)
+    vectors[:10_000] = group / np.linalg.norm(group, axis=1, keepdims=True)
+    assert recall(spark, vectors, list(range(0, 10_000, 250)), least_window=1) >= 0.9
+
+
+def test_equal_keys_in_another_order_on_each_curve(spark):
+    """Vectors that no key can tell apart: queries see other vectors on each curve."""
+    rows = [(i, [1.0, 1e-13 * i]) for i in range(40)]
+    data = spark.createDataFrame(rows, "cid long, v array<double>").selectExpr(
+        "*", "1 AS nth", "1.0D AS square", "cid = 0 AS asked"
+    )
+    lined = curves._positions(curves._placed(data, 1.0, 2, F.col("asked"))).collect()
+    orders = {tuple(r.cid for r in sorted(lined, key=lambda r: r.position) if (r.curve, r.role) == (c, 0)) for c in range(16)}
+    assert len(orders) > 8
+    assert len({r.position for r in lined if r.role == 1}) > 4
+
+
+@pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
+def test_key_bytes_follow_the_keys(dimensions, bits):
+    cells = np.random.default_rng(6).integers(0, 1 << bits, (200, dimensions))
+    keys = curves.hilbert_keys(cells, bits)
+    packed = [bytes(row) for row in curves.key_bytes(cells, bits)]
+    assert [keys[i] for i in sorted(range(200), key=lambda i: packed[i])] == sorted(keys.tolist())
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
 def test_curve_visits_neighbours_in_turn(dimensions, bits):
     side = 1 << bits

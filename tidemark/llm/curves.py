@@ -3,8 +3,9 @@
 Vectors get one more component that makes all of them equally long, so that the
 largest inner product is the smallest distance. Random rotations, cut into groups of a
 few directions, project the vectors; each group gives one Hilbert curve with its own
-random shift, and its keys order all vectors by range partitioning. Positions along a
-curve are cut into blocks; every query goes to the blocks that its window touches, is
+random shift, and its keys order all vectors by range partitioning. Keys are fine enough
+to tell apart the vectors of groups far smaller than the table; where they still tie,
+each curve has an order of its own. Positions along a curve are cut into blocks; every query goes to the blocks that its window touches, is
 scored there against all vectors of the block in double precision, and the best of
 all curves are merged.
 
@@ -34,7 +35,8 @@ from tidemark.llm import common
 
 CURVES = 16
 DIRECTIONS = 8
-BITS = 7
+# Bits of a coordinate in a key: vectors that differ in single precision have different keys.
+BITS = 40
 # Vectors that a query is scored against on one curve, as a share of all.
 WINDOW_SHARE = 1 / 15
 # Vectors on each side of a query that it is scored against at least.
@@ -52,6 +54,24 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     Works on all rows at a time: undoes the rotations of the curve from the coarsest
     level on, takes the Gray code and interleaves the bits.
     """
+    x = _transposed(cells, bits)
+    key = np.zeros(len(x), np.int64)
+    for level in range(bits - 1, -1, -1):
+        for i in range(x.shape[1]):
+            key = (key << 1) | ((x[:, i] >> level) & 1)
+    return key
+
+
+def key_bytes(cells: np.ndarray, bits: int) -> np.ndarray:
+    """The same positions with any number of bits, as rows of bytes in the order of the curve."""
+    x = _transposed(cells, bits)
+    levels = np.arange(bits - 1, -1, -1)
+    held = (x[:, None, :] >> levels[None, :, None]) & 1
+    return np.packbits(held.astype(np.uint8).reshape(len(x), -1), axis=1)
+
+
+def _transposed(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Positions along the curve with their bits dealt in turn over the columns."""
     x = cells.astype(np.int64).copy()
     n = x.shape[1]
     for level in range(bits - 1, 0, -1):
@@ -67,11 +87,7 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     for level in range(bits - 1, 0, -1):
         flip ^= np.where((x[:, n - 1] >> level) & 1, (1 << level) - 1, 0)
     x ^= flip[:, None]
-    key = np.zeros(len(x), np.int64)
-    for level in range(bits - 1, -1, -1):
-        for i in range(n):
-            key = (key << 1) | ((x[:, i] >> level) & 1)
-    return key
+    return x
 
 
 class Curves:
@@ -90,13 +106,13 @@ class Curves:
             self.maps.append(rotation[:, at : at + width])
             self.shifts.append(rng.uniform(-SHIFT, SHIFT, width))
 
-    def keys(self, vectors: np.ndarray, scale: float) -> Iterator[np.ndarray]:
-        """Keys of the vectors on each curve; ``scale`` is the usual size of a component."""
+    def keys(self, vectors: np.ndarray, scale: float) -> np.ndarray:
+        """Keys of the vectors on each curve, one curve after the other; ``scale`` is the usual size of a component."""
         cells = 1 << self.bits
-        for directions, shift in zip(self.maps, self.shifts, strict=True):
-            place = vectors @ directions / scale + shift
-            cell = (place + REACH + SHIFT) / (2 * (REACH + SHIFT)) * cells
-            yield hilbert_keys(np.clip(cell, 0, cells - 1), self.bits)
+        place = np.stack([vectors @ d / scale + s for d, s in zip(self.maps, self.shifts, strict=True)])
+        cell = (place + REACH + SHIFT) / (2 * (REACH + SHIFT)) * cells
+        cell = np.clip(cell, 0, cells - 1).reshape(-1, place.shape[2])
+        return key_bytes(cell, self.bits).reshape(len(self.maps), len(vectors), -1)
 
 
 def classes(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
@@ -138,12 +154,18 @@ def _placed(found: DataFrame, longest: float, dimension: int, asked: Column) ->
                 (1, chosen, np.hstack([v[chosen] / lengths, np.zeros_like(lengths)])),
             )
             for role, rows, place in points:
+                if not len(rows):
+                    continue
                 take = pa.array(rows, pa.int64())
                 for number, keys in enumerate(curves.keys(place, scale)):
+                    ends = np.arange(len(rows) + 1, dtype=np.int32) * keys.shape[1]
+                    keys = pa.Array.from_buffers(
+                        pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(keys.tobytes())]
+                    )
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(rows), number, np.int32)),
-                            pa.array(keys),
+                            keys,
                             pa.array(np.full(len(rows), role, np.int32)),
                             cid.take(take),
                             nth.take(take),
@@ -151,7 +173,9 @@ def _placed(found: DataFrame, longest: float, dimension: int, asked: Column) ->
                         ["curve", "at", "role", "cid", "nth"],
                     )
 
-    return common.mapped(source, run, "curve int, at long, role int, cid long, nth int")
+    placed = common.mapped(source, run, "curve int, at binary, role int, cid long, nth int")
+    # Equal keys: on each curve in another order, with queries among the vectors.
+    return placed.withColumn("tie", F.xxhash64("curve", "cid", "nth", "role"))
 
 
 def _positions(placed: DataFrame) -> DataFrame:
@@ -161,8 +185,9 @@ def _positions(placed: DataFrame) -> DataFrame:
     counts of all partitions, one row for each curve in it, are summed up.
     """
     parts = max(1, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = ["curve", "at", "role", "cid", "nth"]
+    order = ["curve", "at", "tie", "role", "cid", "nth"]
     lined = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    lined = lined.select("curve", "role", "cid", "nth")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         curve, n = -1, 0
@@ -178,7 +203,7 @@ def _positions(placed: DataFrame) -> DataFrame:
                 n += int(seen[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], [*batch.schema.names, "before"])
 
-    lined = common.mapped(lined, count, "curve int, at long, role int, cid long, nth int, before long")
+    lined = common.mapped(lined, count, "curve int, role int, cid long, nth int, before long")
     lined = common.written(lined.withColumn("part", F.spark_partition_id()), "curve-order")
     held = lined.groupBy("curve", "part").agg(F.sum(1 - F.col("role")).alias("n"))
     base = held.select("curve", "part", F.expr("sum(n) over (partition by curve order by part) - n").alias("base"))
