@@ -111,13 +111,37 @@ def test_recall_in_a_dense_group(spark, noise):
     assert recall(spark, vectors, list(range(0, 10_000, 250)), least_window=1) >= 0.9
 
 
+def test_recall_beside_one_long_vector(spark):
+    vectors = unit_vectors(30_000, 48, 7)
+    vectors[5] *= 100
+    assert recall(spark, vectors, list(range(0, 30_000, 750)), least_window=1) >= 0.9
+
+
+def test_recall_with_uneven_norms(spark):
+    """Norms over many bands, thin ones of very long and very short vectors among them."""
+    rng = np.random.default_rng(8)
+    vectors = unit_vectors(20_000, 32, 9) * np.exp(rng.normal(scale=0.5, size=(20_000, 1)))
+    vectors[:8] *= 10.0 ** np.arange(-4, 4)[:, None]
+    assert recall(spark, vectors, list(range(0, 20_000, 500)) + [1, 7]) >= 0.9
+
+
+def test_blocks_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(curves, "TASK_QUERIES", 7)
+    rows = [(i, [x * 1.5 ** (i % 40 - 20) for x in v]) for i, v in random_rows(300)]
+    rows += [(1001, [1e-30] + [0.0] * 15), (1005, [1e30] + [0.0] * 15)]
+    expected = brute(rows, 10)
+    got = found(table(spark, rows), k=10)
+    assert {q: [i for i, _ in hits] for q, hits in got.items()} == {q: [i for i, _ in hits] for q, hits in expected.items()}
+
+
 def test_equal_keys_in_another_order_on_each_curve(spark):
     """Vectors that no key can tell apart: queries see other vectors on each curve."""
     rows = [(i, [1.0, 1e-13 * i]) for i in range(40)]
     data = spark.createDataFrame(rows, "cid long, v array<double>").selectExpr(
-        "*", "1 AS nth", "1.0D AS square", "cid = 0 AS asked"
+        "*", "1 AS nth", "1.0D AS norm", "cid = 0 AS asked"
     )
-    lined = curves._positions(curves._placed(data, 1.0, 2, F.col("asked"))).collect()
+    lined = curves._placed(data, [(0, 0, 1.0, 40)], 2, F.col("asked"), 1)
+    lined = curves._positions(lined).collect()
     orders = {tuple(r.cid for r in sorted(lined, key=lambda r: r.position) if (r.curve, r.role) == (c, 0)) for c in range(16)}
     assert len(orders) > 8
     assert len({r.position for r in lined if r.role == 1}) > 4

@@ -1,7 +1,8 @@
 """Nearest neighbours by inner product along shifted space-filling curves.
 
-Vectors get one more component that makes all of them equally long, so that the
-largest inner product is the smallest distance. Random rotations, cut into groups of a
+Vectors are cut into bands of about equal norms, and each band has curves of its own. Its
+vectors get one more component that makes all of them equally long, so that the
+largest inner product is the smallest distance; queries are looked up in every band. Random rotations, cut into groups of a
 few directions, project the vectors; each group gives one Hilbert curve with its own
 random shift, and its keys order all vectors by range partitioning. Keys are fine enough
 to tell apart the vectors of groups far smaller than the table; where they still tie,
@@ -10,7 +11,7 @@ scored there against all vectors of the block in double precision, and the best
 all curves are merged.
 
 Equal vectors form a class that is searched once and stands for its smallest ids, as
-many as an answer can hold. The window is a share of all classes: in data without any
+many as an answer can hold. The window is a share of all classes of a band: in data without any
 structure the share of the true neighbours that the curves find depends on the share
 of the vectors that they look at. Blocks hold a fixed number of vectors at any size.
 
@@ -45,6 +46,11 @@ BLOCK = 1024
 # Coordinates are cut off beyond this many standard deviations.
 REACH = 4.0
 SHIFT = 0.5
+# Norms are counted in steps, so many to each factor of two; a band spans BAND_STEPS.
+NORM_STEPS = 32
+BAND_STEPS = 4
+# Queries that one task scores against a block.
+TASK_QUERIES = 4096
 SEED = 20260101
 
 
@@ -131,13 +137,49 @@ def classes(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
         F.expr("row_number() over (partition by element_at(ids, 1) order by v)").alias("nth"),
         "v",
         "ids",
-        F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("square"),
+        _norm("v").alias("norm"),
     )
 
 
-def _placed(found: DataFrame, longest: float, dimension: int, asked: Column) -> DataFrame:
-    """A row per class, curve and role (0 vector, 1 query) with its key."""
-    source = found.select("cid", "nth", "v", "square", asked.alias("asked"))
+def _norm(vector: str) -> Column:
+    """The Euclidean norm; components are divided by the largest, so no square overflows or vanishes."""
+    peak = F.array_max(F.transform(vector, F.abs))
+    return peak * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / peak) * (x / peak)))
+
+
+def _step() -> Column:
+    return F.floor(F.log2("norm") * NORM_STEPS).cast("int")
+
+
+def norm_bands(found: DataFrame) -> list[tuple[int, int, float, int]]:
+    """Lowest and highest norm step, largest norm and number of classes of each band.
+
+    Longest vectors first. There are at most as many steps as doubles have powers of two,
+    times ``NORM_STEPS``, whatever the size of the table.
+    """
+    held = found.groupBy(_step().alias("step")).agg(F.max("norm").alias("most"), F.count("*").alias("n"))
+    bands: list[tuple[int, int, float, int]] = []
+    for step, most, n in sorted(map(tuple, held.collect()), reverse=True):
+        if bands and bands[-1][1] - step < BAND_STEPS:
+            _, high, longest, before = bands[-1]
+            bands[-1] = (step, high, longest, before + n)
+        else:
+            bands.append((step, step, most, n))
+    return bands
+
+
+def _placed(
+    found: DataFrame, bands: list[tuple[int, int, float, int]], dimension: int, asked: Column, whole: int
+) -> DataFrame:
+    """A row per class, curve and role (0 vector, 1 query) with its key.
+
+    Curves are numbered through all bands. A vector lies on the curves of its band, a
+    query on all; bands of up to ``whole`` vectors, which any window covers, have one curve.
+    """
+    source = found.select("cid", "nth", "v", "norm", _step().alias("step"), asked.alias("asked"))
+    highest = np.array([-high for _, high, _, _ in bands])
+    longest = np.array([most for _, _, most, _ in bands])
+    counts = [1 if n <= whole else CURVES for *_, n in bands]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         curves = Curves(dimension + 1, CURVES, DIRECTIONS, BITS)
@@ -145,39 +187,46 @@ def _placed(found: DataFrame, longest: float, dimension: int, asked: Column) ->
         for batch in batches:
             cid, nth = batch.column("cid"), batch.column("nth")
             v = np.array(batch.column("v").flatten(), np.float64).reshape(-1, dimension)
-            square = np.array(batch.column("square"))
-            rest = np.sqrt(np.maximum(0, longest - square))[:, None]
+            if not len(v):
+                continue
+            norm = np.array(batch.column("norm"))
+            # Bands go from the highest step down; a vector is in the last that starts at or above its step.
+            band = np.searchsorted(highest, -np.array(batch.column("step")), "right") - 1
+            most = longest[band]
+            share = np.minimum(1, norm / most)
+            rest = np.sqrt((1 - share) * (1 + share))[:, None]
+            points = np.hstack([v / most[:, None], rest])
             chosen = np.flatnonzero(batch.column("asked").to_numpy(False))
-            lengths = np.sqrt(square[chosen])[:, None]
-            points = (
-                (0, np.arange(len(v)), np.hstack([v, rest]) / math.sqrt(longest)),
-                (1, chosen, np.hstack([v[chosen] / lengths, np.zeros_like(lengths)])),
-            )
-            for role, rows, place in points:
-                if not len(rows):
-                    continue
-                take = pa.array(rows, pa.int64())
-                for number, keys in enumerate(curves.keys(place, scale)):
-                    ends = np.arange(len(rows) + 1, dtype=np.int32) * keys.shape[1]
-                    keys = pa.Array.from_buffers(
-                        pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(keys.tobytes())]
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(rows), number, np.int32)),
-                            keys,
-                            pa.array(np.full(len(rows), role, np.int32)),
-                            cid.take(take),
-                            nth.take(take),
-                        ],
-                        ["curve", "at", "role", "cid", "nth"],
-                    )
+            queries = np.hstack([v[chosen] / norm[chosen, None], np.zeros((len(chosen), 1))])
+            keys = curves.keys(np.vstack([points, queries]), scale)
+            for at, count in enumerate(counts):
+                own = np.flatnonzero(band == at)
+                for role, rows, first in ((0, own, own), (1, chosen, len(v) + np.arange(len(chosen)))):
+                    for number in range(count if len(rows) else 0):
+                        take = pa.array(rows, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(rows), at * CURVES + number, np.int32)),
+                                _binary(keys[number][first]),
+                                pa.array(np.full(len(rows), role, np.int32)),
+                                cid.take(take),
+                                nth.take(take),
+                            ],
+                            ["curve", "at", "role", "cid", "nth"],
+                        )
 
     placed = common.mapped(source, run, "curve int, at binary, role int, cid long, nth int")
     # Equal keys: on each curve in another order, with queries among the vectors.
     return placed.withColumn("tie", F.xxhash64("curve", "cid", "nth", "role"))
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(
+        pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows).tobytes())]
+    )
+
+
 def _positions(placed: DataFrame) -> DataFrame:
     """Adds ``position``: the vectors before a row on its curve.
 
@@ -253,25 +302,40 @@ def search(
     # Hot vectors have few different ids here at most as often as they are asked for.
     queries = rows.join(found.select("v", "cid", "nth"), "v").select(F.col("id").alias("query_id"), "cid", "nth")
     queries = common.written(queries, "queries")
-    size = found.agg(F.count("*"), F.max("square"), F.max(F.size("v")), F.min(F.size("v"))).first()
+    size = found.agg(F.count("*"), F.max(F.size("v")), F.min(F.size("v"))).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not size[0]:
         return spark.createDataFrame([], schema)
-    if size[2] != size[3]:
+    if size[1] != size[2]:
         raise ValueError("vectors differ in length")
-    half = max(least_window, math.ceil(size[0] * window_share / 2))
+    bands = norm_bands(found)
+    sizes = [
+        (at * CURVES + number, n, max(least_window, math.ceil(n * window_share / 2)))
+        for at, (*_, n) in enumerate(bands)
+        for number in range(CURVES)
+    ]
+    sizes = F.broadcast(spark.createDataFrame(sizes, "curve int, size long, half long"))
     chosen = queries.select("cid", "nth").distinct().withColumn("asked", F.lit(True))
     marked = found.join(chosen, ["cid", "nth"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-    lined = _positions(_placed(marked, size[1], size[2], F.col("asked")))
-    low, high = F.greatest(F.lit(0), F.col("position") - half), F.col("position") + half
-    last = F.lit((size[0] - 1) // BLOCK)
+    lined = _positions(_placed(marked, bands, size[1], F.col("asked"), least_window)).join(sizes, "curve")
+    low, high = F.greatest(F.lit(0), F.col("position") - F.col("half")), F.col("position") + F.col("half")
+    last = F.floor((F.col("size") - 1) / BLOCK)
     touched = F.when(
         F.col("role") == 1,
-        F.sequence(F.floor(low / BLOCK), F.least(last, F.floor(high / BLOCK))),
+        F.sequence(F.least(last, F.floor(low / BLOCK)), F.least(last, F.floor(high / BLOCK))),
     ).otherwise(F.array(F.floor(F.col("position") / BLOCK)))
     spread = lined.select("curve", "role", "cid", "nth", F.explode(touched).alias("block"))
+    # A block that very many queries touch is scored in several tasks, one that none touches in none.
+    crowds = spread.filter("role = 1").groupBy("curve", "block").agg(F.count("*").alias("n"))
+    crowds = crowds.select("curve", "block", F.floor(F.col("n") / TASK_QUERIES).alias("last"))
+    crowds = common.bounded(common.written(crowds, "crowds"))
+    tasks = F.when(F.col("role") == 0, F.sequence(F.lit(0).cast("long"), F.col("last"))).otherwise(
+        F.array(F.pmod(F.xxhash64("cid", "nth"), F.col("last") + 1))
+    )
+    spread = spread.join(crowds, ["curve", "block"])
+    spread = spread.select("curve", "role", "cid", "nth", "block", F.explode(tasks).alias("task"))
     spread = spread.join(found.select("cid", "nth", "v"), ["cid", "nth"])
-    best = spread.groupBy("curve", "block").applyInPandas(
+    best = spread.groupBy("curve", "block", "task").applyInPandas(
         lambda pdf: _best(pdf, k + 1), "q long, qn int, c long, cn int, score double"
     )
     best = best.groupBy("q", "qn", "c", "cn").agg(F.max("score").alias("score"))
