@@ -52,6 +52,19 @@ def test_snapshot_and_batch_split_changes_nothing(documents, edge_rows):
         assert Counter(map(tuple, exact.dedup(documents(rows), fresh).collect())) == brute(rows)
 
 
+def test_the_filter_decides_what_the_snapshot_holds(documents, monkeypatch):
+    """Without what filters let through, only repeats inside the batch and the snapshot are found."""
+    rows = [(0, "both"), (1, "both"), (2, "old"), (4, "old"), (3, "new"), (5, "new"), (6, "one")]
+    fresh = F.col("doc_id") % 2 == 1
+    assert Counter(map(tuple, exact.dedup(documents(rows), fresh).collect())) == brute(rows)
+    monkeypatch.setattr(
+        exact, "screen", lambda new, filters: new.select("bucket", "digest", F.lit(False).alias("maybe"))
+    )
+    got = Counter(map(tuple, exact.dedup(documents(rows), fresh).collect()))
+    apart = brute([r for r in rows if r[0] != 1]) + brute([(1, "both")])
+    assert got == apart
+
+
 def test_without_broadcast(documents, edge_rows, monkeypatch):
     monkeypatch.setattr(exact, "BROADCAST_DIGESTS", -1)
     assert Counter(map(tuple, exact.dedup(documents(edge_rows)).collect())) == brute(edge_rows)

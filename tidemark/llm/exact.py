@@ -212,9 +212,10 @@ def suspects(rows: DataFrame) -> DataFrame:
     screened = screen(incoming, common.written(build_filters(snapshot), "filters"))
     positive = screened.filter("maybe").select("digest")
     seen = positive.join(snapshot.select("digest"), "digest", "left_semi")
-    seen = seen.withColumn("seen", F.lit(True))
-    total = counted.groupBy("bucket", "digest").agg(F.sum("n").alias("n"))
-    return total.join(seen, "digest", "left").filter("n > 1 or seen").select("bucket", "digest", "n")
+    # Only what the filters let through and the snapshot confirms is counted over both sides.
+    both = counted.join(seen, "digest", "left_semi").groupBy("bucket", "digest").agg(F.sum("n").alias("n"))
+    alone = counted.filter("n > 1").select("bucket", "digest", "n")
+    return both.unionByName(alone).groupBy("bucket", "digest").agg(F.max("n").alias("n"))
 
 
 def dedup(
