@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact, jaccard, packing, pii, toxicity
-from tidemark.llm.common import bounded, table, written
+from tidemark.llm.common import table, written
 
 VOCABULARY = "byte_bpe_50k.json"
 # Words of a shingle and the least similarity, in percent, of near copies in a corpus.
@@ -34,13 +34,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents that links connect only the one with the smallest id goes on.
 
     Documents link if their sets of five-word shingles are 80 % alike; ``op8_jaccard``
-    has a rule of its own. A repeated id is dropped only if all its rows would be.
+    has a rule of its own. One row stays, also where ids are repeated or null.
     """
-    found = jaccard.components(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
-    spare = F.coalesce(F.col("component_id") != F.col("doc_id"), F.col("component_id").isNotNull())
-    gone = found.groupBy("doc_id").agg(F.min(spare).alias("gone")).filter("gone")
-    gone = written(gone.select(F.col("doc_id").alias("gone_id")), "near-copies")
-    return docs.join(bounded(gone), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    return jaccard.keep(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,6 +96,18 @@ def test_near_copies_by_five_words(spark, documents, seed):
     assert sorted(r.doc_id for r in got.collect()) == sorted(expected)
 
 
+def test_near_copies_with_repeated_and_null_ids(spark, documents):
+    words = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcd"]
+    near = [text + " more" for text in words]
+    data = [(1, words[0]), (1, near[0]), (None, words[1]), (None, near[1]), (2, words[2]), (None, near[2])]
+    # One id with two texts: each is decided on its own. No words: all stay.
+    data += [(3, words[3]), (4, near[3]), (4, "something else"), (None, ""), (None, " "), (5, None)]
+    got = STAGES["ngram_jaccard"](spark, documents(data), SMALL)
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(str(key) for key, _ in left) == sorted(map(str, [1, None, 2, 3, 4, None, None, 5]))
+    assert set(left) <= set(data) and (2, words[2]) in left and (4, "something else") in left
+
+
 def test_personal_data(spark, docs):
     got = STAGES["pii"](spark, docs, SMALL)
     assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType

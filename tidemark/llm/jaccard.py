@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import common, graph
 
@@ -413,6 +414,59 @@ def _candidates(ids: DataFrame, sketched: DataFrame, source: DataFrame, size: in
     return sets
 
 
+def keep(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90
+) -> DataFrame:
+    """One row of each component, with all its columns, and all rows without words.
+
+    The smallest key stays, a null key only if there is no other; of rows that share it
+    exactly one, whatever their texts.
+    """
+    threshold = Threshold(percent)
+    source = _source(docs, key, text)
+    sketched = common.written(sketches(source, size, threshold), "sketches")
+    found = find_links(sketched, source, size, threshold)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least")
+    classes = sketched.filter("sid is not null").groupBy("sid").agg(least, F.count("*").alias("rows"))
+    odd = classes.filter("rows > 1").select("sid", F.col("least.doc_id").alias("keep_id"), F.lit(True).alias("stays"))
+    if found is not None:
+        linked_ = classes.join(found.withColumnRenamed("node", "sid"), "sid")
+        best = linked_.groupBy("component").agg(F.min(F.struct("least", "sid")).alias("best"))
+        chosen = linked_.join(best, "component").select(
+            "sid", F.col("least.doc_id").alias("keep_id"), (F.col("sid") == F.col("best.sid")).alias("stays")
+        )
+        odd = odd.join(found.select(F.col("node").alias("sid")), "sid", "left_anti").unionByName(chosen)
+    odd = common.written(odd.withColumnRenamed("sid", "odd_sid"), "near-copies")
+    name = "sid"
+    while name in docs.columns:
+        name += "_"
+    once = _with_sid(docs, text, size, name)
+    once = once.join(common.bounded(odd), F.col(name) == F.col("odd_sid"), "left_anti").drop(name)
+    again = common.written(odd.filter("stays"), "near-copies-kept")
+    if again.isEmpty():
+        return once
+    ids = common.bounded(again.select("keep_id").distinct())
+    first = docs.join(ids, docs[key].eqNullSafe(F.col("keep_id")), "left_semi")
+    first = _with_sid(first, text, size, name)
+    same = (F.col(name) == F.col("odd_sid")) & first[key].eqNullSafe(F.col("keep_id"))
+    first = first.join(common.bounded(again), same, "left_semi").dropDuplicates([key, name])
+    return once.unionByName(first.drop(name))
+
+
+def _with_sid(docs: DataFrame, text: str, size: int, name: str) -> DataFrame:
+    """All rows with the id of their set."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.steps(batches, place):
+            sets = shingle_sets(batch.column(place).fill_null(""), size)
+            sids = pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sids], [*batch.schema.names, name])
+
+    fields = [*docs.schema.fields, T.StructField(name, T.LongType())]
+    return common.mapped(docs, run, T.StructType(fields))
+
+
 def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90
 ) -> DataFrame:
