@@ -59,6 +59,15 @@ def test_odd_rows(spark):
     same(found(table(spark, rows), k=10), brute(rows, 10))
 
 
+def test_other_lengths_take_no_part(spark):
+    rows = random_rows(40, 4, 1)
+    odd = [(100, [1.0, 2.0]), (105, [1.0, 2.0]), (110, [1.0] * 7), (115, [])]
+    same(found(table(spark, rows + odd), k=10), brute(rows, 10))
+    short = [(100, [1.0, 2.0]), (105, [1.0, 2.0])]
+    same(found(table(spark, rows + odd), k=10, dimension=2), brute(short, 10))
+    assert found(table(spark, rows), dimension=3) == {}
+
+
 def test_fewer_candidates_and_none(spark):
     rows = random_rows(4, 3, 2)
     same(found(table(spark, rows), k=10), brute(rows, 10))

@@ -16,7 +16,7 @@ structure the share of the true neighbours that the curves find depends on the s
 of the vectors that they look at. Blocks hold a fixed number of vectors at any size.
 
 Rows: null and zero vectors and those with null or non-finite components or another
-length than ``dimension`` take no part; a repeated id counts once for each different
+length than ``dimension`` (by default that of most different vectors) take no part; a repeated id counts once for each different
 vector; fewer candidates than asked for give fewer rows; an empty table gives an empty
 table; only the id and the vector are read.
 """
@@ -289,26 +289,34 @@ def search(
     vector: str = "embedding",
     window_share: float = WINDOW_SHARE,
     least_window: int = LEAST_WINDOW,
+    dimension: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best vectors of each query row.
 
+    Only vectors of length ``dimension`` take part; None stands for the most frequent length
+    among different vectors, the longer one if two are as frequent.
+
     ``asked`` tells query rows by the column ``id``; a query is no neighbour of its own.
     """
     spark = vectors.sparkSession
     found = common.written(classes(vectors, key, vector, k + 1), "classes")
+    schema = "query_id long, rank int, vec_id long, score double"
+    if dimension is None:
+        lengths = found.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n"))
+        usual = lengths.orderBy(F.desc("n"), F.desc("length")).first()
+        if usual is None:
+            return spark.createDataFrame([], schema)
+        dimension = usual["length"]
+    found = found.filter(F.size("v") == dimension)
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.filter(asked).distinct()
     rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
     # Hot vectors have few different ids here at most as often as they are asked for.
     queries = rows.join(found.select("v", "cid", "nth"), "v").select(F.col("id").alias("query_id"), "cid", "nth")
     queries = common.written(queries, "queries")
-    size = found.agg(F.count("*"), F.max(F.size("v")), F.min(F.size("v"))).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not size[0]:
-        return spark.createDataFrame([], schema)
-    if size[1] != size[2]:
-        raise ValueError("vectors differ in length")
     bands = norm_bands(found)
+    if not bands:
+        return spark.createDataFrame([], schema)
     sizes = [
         (at * CURVES + number, n, max(least_window, math.ceil(n * window_share / 2)))
         for at, (*_, n) in enumerate(bands)
@@ -317,7 +325,7 @@ def search(
     sizes = F.broadcast(spark.createDataFrame(sizes, "curve int, size long, half long"))
     chosen = queries.select("cid", "nth").distinct().withColumn("asked", F.lit(True))
     marked = found.join(chosen, ["cid", "nth"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-    lined = _positions(_placed(marked, bands, size[1], F.col("asked"), least_window)).join(sizes, "curve")
+    lined = _positions(_placed(marked, bands, dimension, F.col("asked"), least_window)).join(sizes, "curve")
     low, high = F.greatest(F.lit(0), F.col("position") - F.col("half")), F.col("position") + F.col("half")
     last = F.floor((F.col("size") - 1) / BLOCK)
     touched = F.when(
