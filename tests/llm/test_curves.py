@@ -134,6 +134,12 @@ def test_recall_with_uneven_norms(spark):
     assert recall(spark, vectors, list(range(0, 20_000, 500)) + [1, 7]) >= 0.9
 
 
+def test_recall_of_the_window_share(spark):
+    """Unit vectors without structure and blocks so small that they do not widen the windows."""
+    vectors = unit_vectors(30_000, 64, 10)
+    assert recall(spark, vectors, list(range(0, 30_000, 500)), least_window=1, block=32) >= 0.9
+
+
 def test_blocks_in_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(curves, "TASK_QUERIES", 7)
     rows = [(i, [x * 1.5 ** (i % 40 - 20) for x in v]) for i, v in random_rows(300)]

@@ -290,6 +290,7 @@ def search(
     window_share: float = WINDOW_SHARE,
     least_window: int = LEAST_WINDOW,
     dimension: int | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best vectors of each query row.
 
@@ -327,11 +328,11 @@ def search(
     marked = found.join(chosen, ["cid", "nth"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     lined = _positions(_placed(marked, bands, dimension, F.col("asked"), least_window)).join(sizes, "curve")
     low, high = F.greatest(F.lit(0), F.col("position") - F.col("half")), F.col("position") + F.col("half")
-    last = F.floor((F.col("size") - 1) / BLOCK)
+    last = F.floor((F.col("size") - 1) / block)
     touched = F.when(
         F.col("role") == 1,
-        F.sequence(F.least(last, F.floor(low / BLOCK)), F.least(last, F.floor(high / BLOCK))),
-    ).otherwise(F.array(F.floor(F.col("position") / BLOCK)))
+        F.sequence(F.least(last, F.floor(low / block)), F.least(last, F.floor(high / block))),
+    ).otherwise(F.array(F.floor(F.col("position") / block)))
     spread = lined.select("curve", "role", "cid", "nth", F.explode(touched).alias("block"))
     # A block that very many queries touch is scored in several tasks, one that none touches in none.
     crowds = spread.filter("role = 1").groupBy("curve", "block").agg(F.count("*").alias("n"))
