@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, curves, exact, jaccard, language, packing, pii, toxicity
+from tidemark.llm import (
+    bpe,
+    curves,
+    exact,
+    hard_negatives,
+    jaccard,
+    language,
+    near_vectors,
+    packing,
+    pii,
+    toxicity,
+    whitening,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +93,23 @@ def op6_language(spark, sf_dir):
     network = language.learn(docs.filter(~language.held_out()))
     predicted = language.predict(docs, network)
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark, sf_dir):
+    """The first negatives below each positive of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+@query("op12_near_vectors")
+def op12_near_vectors(spark, sf_dir):
+    """Components of vectors of one label with a cosine of 0.98 and more."""
+    return near_vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    """All vectors in the 32 leading components, each of variance one."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

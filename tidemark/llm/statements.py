@@ -69,6 +69,12 @@ def _personal_data() -> str:
       FROM docs LEFT JOIN listed USING (doc_id)"""
 
 
+# Vectors that take part in comparisons, in double precision.
+_VECTORS = """SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op4_pii": _personal_data(),
@@ -95,4 +101,29 @@ def statements() -> dict[str, str]:
             UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
           SELECT doc_id, coalesce(n, 0) AS n_shingles, least AS component_id
           FROM (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)""",
+        "op11_hard_negatives": f"""
+          WITH given AS ({_VECTORS}),
+          whole AS (SELECT id, CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(v, lambda c: floor(256 * c)) AS v FROM given),
+          scored AS (SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same,
+              CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.id <> b.id WHERE a.id % 100 = 0),
+          positives AS (SELECT anchor, other AS positive, score AS top FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+          SELECT anchor AS anchor_id, positive AS positive_id,
+            CAST(row_number() OVER best AS INTEGER) AS rank, other AS negative_id,
+            top AS positive_score, score AS negative_score
+          FROM positives JOIN scored USING (anchor)
+          WHERE NOT same AND 80 * top <= 100 * score AND score <= top
+          WINDOW best AS (PARTITION BY anchor, positive ORDER BY score DESC, other)
+          QUALIFY row_number() OVER best <= 5""",
+        "op12_near_vectors": f"""
+          WITH RECURSIVE given AS ({_VECTORS} AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+          links AS (SELECT a.id AS a, b.id AS b FROM given a JOIN given b ON a.label = b.label AND a.id <> b.id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+          reached AS (SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other)
+          SELECT vec_id, coalesce(n, 0) AS n_links, least AS component_id, vec_id = least AS kept
+          FROM (SELECT vec_id, min(other) AS least FROM reached GROUP BY vec_id)
+          LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)""",
     }
