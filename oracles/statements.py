@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles import blocks as b
-from tidemark.plans.catalog import INGEST_DAY, STORED_UNTIL
+from tidemark.plans.catalog import INGEST_DAY, RECENT_DAYS, REFRESHED_FROM, STORED_UNTIL
 from tidemark.plans.published import AS_OF
 from tidemark.schemas import FEATURES, HORIZON
 
@@ -38,6 +38,13 @@ _OLD_NEW = (
     b.bars(where="l_linestatus = 'F'", name="new_bars"),
 )
 
+# Rows of one key leave one; only the key matters to the facts.
+_MERGED_MESSY = """SELECT DISTINCT date, ticker,
+    CASE WHEN regexp_matches(date, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+      THEN regexp_extract(date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') || CASE
+        WHEN date LIKE '%(1)%' THEN '(1)' WHEN date LIKE '%(2)%' THEN '(2)' ELSE '' END
+      END AS key FROM raw_messy"""
+
 _CSV = ",\n  ".join(
     f"day_{d}_date AS Day{d}_Date, day_{d}_signal AS Day{d}_Signal, "
     f"printf('%.1f%%', day_{d}_probability * 100) AS Day{d}_Confidence, "
@@ -241,8 +248,21 @@ def statements() -> dict[str, str]:
     sql["preprocess_job"] = (
         b.with_(b.RAW_MESSY, b.CANONICAL, b.CLEAN, b.features("cleaned"), b.scaled()) + _TABLE
     )
+    recent = f"trade_date >= (SELECT date_trunc('month', least(max(trade_date) - {RECENT_DAYS}, DATE '{REFRESHED_FROM}')) FROM bars)"
+    recent_scaled = ", ".join(f"CASE WHEN {recent} THEN {n}_scaled END AS {n}_scaled" for n in FEATURES)
+    sql["preprocess_recent"] = b.with_(b.bars("day"), b.features(), b.scaled()) + f"""
+      SELECT date, ticker, target, {recent_scaled}, close FROM scaled"""
+    sql["month_facts"] = b.with_(b.RAW_MESSY, b.CANONICAL, "stored AS (" + _MERGED_MESSY + ")") + """
+      SELECT coalesce(left(key, 7), 'unreadable') AS month, ticker, count(*) AS rows,
+        count(DISTINCT coalesce(date, '')) AS keys, max(key) AS newest_key,
+        CAST(left(max(key), 10) AS DATE) AS newest_date
+      FROM stored GROUP BY 1, 2"""
+    sql["scaler_by_months"] = b.with_(b.bars("day"), b.features()) + _stack("kept", "kept")
 
     # Newest rows
+    sql["latest_by_months"] = b.with_(b.bars("day"), b.RAW_MARKED) + """
+      SELECT ticker, close, volume, date FROM raw_marked
+      QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1"""
     sql["latest_price_volume"] = b.with_(b.bars("day"), b.RAW_MARKED) + """
       SELECT ticker, close, volume, date FROM raw_marked
       QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1"""

@@ -175,18 +175,27 @@ def freshness_gate(
 ) -> DataFrame:
     """One row: newest key, its age, whether it is news, and whether to run.
 
-    ``state`` has at most one row (``latest_date`` text, ``last_processed_at``).
     Keys are compared in canonical form; rows without a readable date count as rows
     but never as the newest.
     """
-    seen = state.agg(
-        F.max(dates.canonical_key(F.col("latest_date"))).alias("latest_date"),
-        F.max("last_processed_at").alias("last_processed_at"),
-    )
     newest = raw.agg(
         F.max(dates.canonical_key(F.col("date"))).alias("latest_date"),
         F.count("*").alias("total_rows"),
     )
+    return gate(newest, state, as_of, check, force)
+
+
+def gate(
+    newest: DataFrame, state: DataFrame, as_of: str, check: bool = True, force: bool = False
+) -> DataFrame:
+    """The same from one row of ``latest_date`` and ``total_rows``.
+
+    ``state`` has at most one row (``latest_date`` text, ``last_processed_at``).
+    """
+    seen = state.agg(
+        F.max(dates.canonical_key(F.col("latest_date"))).alias("latest_date"),
+        F.max("last_processed_at").alias("last_processed_at"),
+    )
     cached = seen.select("latest_date").scalar()
     fresh = F.col("cached_date").isNull() | (F.col("latest_date") > F.col("cached_date"))
     day = dates.date_part_of(F.col("latest_date"))
@@ -206,9 +215,13 @@ def freshness_gate(
 
 
 def ingest_summary(
-    existing: DataFrame, history: DataFrame, intraday: DataFrame
+    existing: DataFrame, history: DataFrame, intraday: DataFrame, untouched: DataFrame | None = None
 ) -> DataFrame:
-    """Row counts of each input and of the merge, from one keyed aggregate."""
+    """Row counts of each input and of the merge, from one keyed aggregate.
+
+    ``untouched`` holds facts (``rows``, ``keys``) of stored months that no new row falls into;
+    ``existing`` then needs the rows of the other months only.
+    """
     tagged = None
     for name, frame in (("existing", existing), ("history", history), ("intraday", intraday)):
         part = frame.select("date", "ticker", F.lit(name).alias("src"))
@@ -220,7 +233,7 @@ def ingest_summary(
     by_key = tagged.groupBy("date", "ticker").agg(
         rows("existing"), rows("history"), rows("intraday")
     )
-    return by_key.agg(
+    counts = by_key.agg(
         F.sum("history").alias("history_rows"),
         F.sum("intraday").alias("intraday_rows"),
         F.sum(F.col("history") + F.col("intraday")).alias("new_rows"),
@@ -228,3 +241,15 @@ def ingest_summary(
         F.sum(F.col("existing") + F.col("history") + F.col("intraday")).alias("merged_rows"),
         F.count("*").alias("deduped_rows"),
     )
+    if untouched is None:
+        return counts
+    held = untouched.agg(
+        F.struct(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("rows", "keys"))).alias("held")
+    ).scalar()
+    zero = F.lit(0)
+    return counts.withColumn("_held", held).select(
+        *(F.coalesce(name, zero).alias(name) for name in ("history_rows", "intraday_rows", "new_rows")),
+        (F.coalesce("existing_rows", zero) + F.col("_held.rows")).alias("existing_rows"),
+        (F.coalesce("merged_rows", zero) + F.col("_held.rows")).alias("merged_rows"),
+        (F.col("deduped_rows") + F.col("_held.keys")).alias("deduped_rows"),
+    )

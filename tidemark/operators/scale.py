@@ -37,6 +37,41 @@ def scaler_row_of(stats: DataFrame) -> DataFrame:
     return stats.agg(*columns)
 
 
+def month_moments(features: DataFrame, month: Column) -> DataFrame:
+    """Count, mean and second central moment of each feature in each month: a row per month and feature."""
+    stats: list[Column] = []
+    for name in FEATURES:
+        stats.append(F.count(name).cast("double").alias(f"{name}_n"))
+        stats.append(F.avg(name).alias(f"{name}_mean"))
+        stats.append((F.var_pop(name) * F.count(name)).alias(f"{name}_m2"))
+    rows = ", ".join(f"'{name}', {name}_n, {name}_mean, {name}_m2" for name in FEATURES)
+    return features.groupBy(month.alias("month")).agg(*stats).selectExpr(
+        "month", f"stack({len(FEATURES)}, {rows}) AS (feature, n, mean, m2)"
+    )
+
+
+def merge_moments(moments: DataFrame) -> DataFrame:
+    """Mean and sample standard deviation of each feature over all months.
+
+    Months are joined in their order by the pairwise update of means and second moments, which
+    loses no digits where means are large; a feature has one row per calendar month.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("month", "n", "mean", "m2")))
+    nothing = F.struct(*(F.lit(0.0).alias(name) for name in ("n", "mean", "m2")))
+
+    def joined(a: Column, b: Column) -> Column:
+        n, away = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + away * (b["n"] / n)).alias("mean"),
+            (a["m2"] + b["m2"] + away * away * (a["n"] * b["n"] / n)).alias("m2"),
+        )
+
+    whole = moments.filter("n > 0").groupBy("feature").agg(F.aggregate(parts, nothing, joined).alias("s"))
+    spread = F.when(F.col("s.n") > 1, F.sqrt(F.col("s.m2") / (F.col("s.n") - 1)))
+    return whole.select("feature", F.col("s.mean").alias("mean"), spread.alias("std"))
+
+
 def zscore(
     features: DataFrame, scaler: DataFrame | None = None, digits: int | None = None
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import jobs, published
 from tidemark.plans.published import AS_OF, DIGITS
-from tidemark.sources import files, sample, store
+from tidemark.sources import files, months, sample, store
 from tidemark.streaming import session_bars as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,9 @@ QUERIES: dict[str, Query] = {}
 INGEST_DAY = "2001-10-28"
 # Bars before this day are stored already when the ingest job starts.
 STORED_UNTIL = "2001-06-01"
+# Bars from this day on come after the first run of the feature table, and the days refreshed then.
+REFRESHED_FROM = "2001-09-20"
+RECENT_DAYS = 30
 # Ratios are compared to this many digits; sums may be added in another order.
 RATIO_DIGITS = 9
 
@@ -436,9 +439,56 @@ def preprocess_job(spark, sf_dir):
     return files.scan_features(spark, paths.features)
 
 
+@query("preprocess_recent")
+def preprocess_recent(spark, sf_dir):
+    """New daily bars merged and the newest months refreshed; scaled values of refreshed rows only."""
+    paths = jobs.Paths.under(store.new_path(spark, "recent"), store.new_path(spark, "recent_raw"))
+    daily = sample.bars(spark, sf_dir, "day")
+    late = F.col("trade_date") >= F.lit(REFRESHED_FROM).cast("date")
+    files.save_raw(ingest.to_raw(daily.filter(~late)), paths.raw)
+    jobs.preprocess(spark, paths, digits=DIGITS)
+    files.merge_raw(spark, paths.raw, ingest.to_raw(daily.filter(late)))
+    jobs.preprocess(spark, paths, recent_days=RECENT_DAYS, digits=DIGITS)
+    table = files.scan_features(spark, paths.features)
+    newest = daily.agg(F.max("trade_date")).scalar()
+    first = F.trunc(F.least(F.date_sub(newest, RECENT_DAYS), F.lit(REFRESHED_FROM).cast("date")), "month")
+    recent = dates.date_part_of(F.col("date")) >= first
+    scaled = (F.when(recent, F.col(name)).alias(name) for name in schemas.SCALED)
+    return table.select("date", "ticker", "target", *scaled, "close")
+
+
+@query("month_facts")
+def month_facts(spark, sf_dir):
+    """What is kept of each month of a raw dataset after two merges."""
+    raw = store.new_path(spark, "facts_raw")
+    messy = sample.raw_messy(spark, sf_dir)
+    late = dates.date_part_of(F.col("date")) >= F.lit(STORED_UNTIL).cast("date")
+    late = F.coalesce(late, F.lit(False))
+    files.merge_raw(spark, raw, messy.filter(~late))
+    files.merge_raw(spark, raw, messy.filter(late))
+    known = files.raw_facts(spark, raw)
+    return known.select("month", "ticker", "rows", "keys", "newest_key", "newest_date")
+
+
+@query("scaler_by_months")
+def scaler_by_months(spark, sf_dir):
+    """Means and deviations joined from the moments of each month."""
+    rows = features.feature_rows(sample.bars(spark, sf_dir, "day"))
+    month = F.substring(F.col("trade_date").cast("string"), 1, 7)
+    return _rounded(scale.merge_moments(scale.month_moments(rows, month)), "mean", "std", digits=8)
+
+
 # Newest rows
 
 
+@query("latest_by_months")
+def latest_by_months(spark, sf_dir):
+    """Newest bars, from the months in which any ticker ends."""
+    raw = store.new_path(spark, "ends_raw")
+    files.save_raw(sample.raw_marked(spark, sf_dir), raw)
+    return latest.latest_price_volume(months.ending_rows(spark, raw, schemas.RAW_BARS))
+
+
 @query("latest_price_volume")
 def latest_price_volume(spark, sf_dir):
     return latest.latest_price_volume(sample.raw_marked(spark, sf_dir))

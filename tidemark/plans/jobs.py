@@ -7,7 +7,7 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model
@@ -27,7 +27,8 @@ from tidemark.operators import (
     report,
     scale,
 )
-from tidemark.sources import files
+from tidemark.sources import files, months, store
+from tidemark.sources.months import MONTH, NO_MONTH
 
 log = logging.getLogger(__name__)
 
@@ -66,34 +67,187 @@ def preprocess(
 ) -> dict[str, int]:
     """Raw bars to the scaled feature table and the latest price table.
 
-    One lazy plan and one write per table. ``collapse`` merges the session bars of
-    a day. By default all rows fit the scaler; with ``train_share`` only the oldest
-    share does, and the statistics are stored before they are used. With
-    ``recent_days`` only the months that reach so far back are read.
+    ``collapse`` merges the session bars of a day. By default all rows fit the scaler; with
+    ``train_share`` only the oldest share does. The statistics are stored before they are used,
+    and beside them the moments of each month.
+
+    With ``recent_days``, once there is a feature table: only the months that reach so far back from
+    the newest bar, or to the oldest month whose raw bars have changed since the last run, are
+    computed and replaced (see ``refresh``). Raw bars without monthly folders are always read whole.
     """
-    raw = files.scan_raw(spark, paths.raw)
-    recent = raw if recent_days is None else files.recent_raw(spark, paths.raw, recent_days)
-    bars = clean.clean(recent)
-    if collapse:
-        bars = clean.collapse_sessions(bars)
-    if recent_days is not None:
-        bars = ingest.recent_days(bars, recent_days)
-    rows = features.feature_rows(bars)
-    scaler = None
-    if train_share is not None:
-        folds = metrics.time_split(rows, F.col("trade_date"), train_share)
-        fitted = scale.scaler_stats(folds.filter("fold = 'train'"))
-        fitted.write.mode("overwrite").parquet(paths.scaler)
-        stored = spark.read.schema(schemas.SCALER).parquet(paths.scaler)
-        scaler = scale.scaler_row_of(stored)
-    files.save_features(scale.feature_table(rows, scaler, digits), paths.features)
-    # The newest row needs no cleaned table: ties go to the larger close and volume.
-    newest = latest.newest_per_ticker(clean.canonical_dates(raw), ["date", "close", "volume"])
-    newest.select(*schemas.STOCK_INFO.fieldNames()).write.mode("overwrite").parquet(paths.info)
+    known = files.raw_facts(spark, paths.raw)
+    # The state of the raw months that this run sees.
+    source = _staged(known.filter(F.col(MONTH) != NO_MONTH).select(MONTH, "files").distinct(), "source")
+    if recent_days is not None and _refreshable(spark, paths, known):
+        refresh(spark, paths, known, recent_days, collapse, train_share, digits)
+    else:
+        bars = _bars(files.scan_raw(spark, paths.raw), collapse)
+        rows = _staged(features.feature_rows(bars), "feature-rows")
+        _save_moments(rows, paths, whole=True)
+        if train_share is not None:
+            folds = metrics.time_split(rows, F.col("trade_date"), train_share)
+            fitted = scale.scaler_stats(folds.filter("fold = 'train'"))
+        else:
+            fitted = scale.merge_moments(_moments(spark, paths))
+        files.save_features(
+            scale.feature_table(rows, _save_scaler(fitted, paths), digits), paths.features
+        )
+    source.write.mode("overwrite").parquet(_source_path(paths))
+    _save_info(spark, paths)
     # Counted from the file footers; no column is read.
     return {"rows": files.scan_features(spark, paths.features).count()}
 
 
+def refresh(
+    spark: SparkSession,
+    paths: Paths,
+    known: DataFrame,
+    days: int,
+    collapse: bool = False,
+    train_share: float | None = None,
+    digits: int | None = None,
+) -> None:
+    """Recompute the feature rows of the newest months and replace those months only.
+
+    Reads the touched months and, before them, the months that hold the bars which the
+    windows of their tickers look back on, so that every new row equals that of a full run. The
+    label of a ticker's last older bar may only now be known; months of the table that hold such a row are
+    rewritten with it, all others stay as they are. New rows are scaled by the moments of all
+    months, of which only those of the touched months are computed; with ``train_share``
+    by the stored statistics. ``known`` holds the facts of the raw bars.
+    """
+    newest = known.agg(F.max("newest_date")).first()[0]
+    start = f"{newest - timedelta(days=days):%Y-%m}"
+    changed = known.filter(F.col(MONTH) != NO_MONTH).select(MONTH, "files").distinct()
+    changed = changed.join(_source(spark, paths), [MONTH, "files"], "left_anti")
+    start = min([start, *months.listed(changed)])
+    first = date.fromisoformat(f"{start}-01")
+    recent = known.filter((F.col(MONTH) >= start) & (F.col(MONTH) != NO_MONTH))
+    stored = files.scan_raw_months(spark, paths.raw)
+    columns = schemas.RAW_BARS.fieldNames()
+    window = _bars(months.in_months(stored, months.listed(recent)).select(*columns), collapse)
+    older = _halo(stored, known, recent.select("ticker").distinct(), start, collapse)
+    bars = window if older is None else window.unionByName(older)
+    day = F.col("trade_date")
+    new = _staged(features.feature_rows(bars).filter(day >= F.lit(first)), "feature-rows")
+    _save_moments(new, paths, whole=False)
+    if train_share is None:
+        fitted = scale.merge_moments(_moments(spark, paths))
+        scaler = _save_scaler(fitted, paths)
+    else:
+        scaler = scale.scaler_row_of(spark.read.schema(schemas.SCALER).parquet(paths.scaler))
+    table = scale.feature_table(new, scaler, digits)
+    if older is not None:
+        relabelled = _relabelled(spark, paths, _last_labels(bars, first))
+        table = table if relabelled is None else table.unionByName(relabelled)
+    files.save_feature_months(table, paths.features)
+
+
+def _bars(raw: DataFrame, collapse: bool) -> DataFrame:
+    bars = clean.clean(raw)
+    return clean.collapse_sessions(bars) if collapse else bars
+
+
+def _staged(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once for the steps that read them again."""
+    spark = rows.sparkSession
+    path = store.new_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _refreshable(spark: SparkSession, paths: Paths, known: DataFrame) -> bool:
+    """Whether there is a table to refresh and raw bars in monthly folders."""
+    parts = paths.features, _moments_path(paths), _source_path(paths)
+    there = all(files.exists(spark, path) for path in parts)
+    return there and not known.filter(F.col(MONTH) != "").isEmpty()
+
+
+def _source_path(paths: Paths) -> str:
+    return f"{paths.features}_source"
+
+
+def _source(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The state of the raw months that the feature table was made from."""
+    return spark.read.schema(f"{MONTH} string, files string").parquet(_source_path(paths))
+
+
+def _moments_path(paths: Paths) -> str:
+    return f"{paths.scaler}_moments"
+
+
+def _moments(spark: SparkSession, paths: Paths) -> DataFrame:
+    schema = "feature string, n double, mean double, m2 double, month string"
+    return spark.read.schema(schema).parquet(_moments_path(paths))
+
+
+def _save_moments(rows: DataFrame, paths: Paths, whole: bool) -> None:
+    found = scale.month_moments(rows, months.month_of(F.col("trade_date").cast("string")))
+    months.write(found, _moments_path(paths), ["feature"], whole=whole)
+
+
+def _save_scaler(fitted: DataFrame, paths: Paths) -> DataFrame:
+    fitted.write.mode("overwrite").parquet(paths.scaler)
+    spark = fitted.sparkSession
+    return scale.scaler_row_of(spark.read.schema(schemas.SCALER).parquet(paths.scaler))
+
+
+def _save_info(spark: SparkSession, paths: Paths) -> None:
+    """The newest row of each ticker; needs no cleaned table: ties go to the larger close and volume."""
+    ends = months.ending_rows(spark, paths.raw, schemas.RAW_BARS)
+    newest = latest.newest_per_ticker(clean.canonical_dates(ends), ["date", "close", "volume"])
+    newest.select(*schemas.STOCK_INFO.fieldNames()).write.mode("overwrite").parquet(paths.info)
+
+
+def _halo(
+    stored: DataFrame, known: DataFrame, tickers: DataFrame, start: str, collapse: bool
+) -> DataFrame | None:
+    """The cleaned bars before ``start`` that windows of these tickers look back on, or more of them.
+
+    Key counts tell how many months each ticker needs. Rows that do not survive cleaning make
+    them too few for some; then more months are asked for, until the bars suffice or end.
+    """
+    columns = schemas.RAW_BARS.fieldNames()
+    # A collapsed bar has up to three keys.
+    keys = schemas.LOOKBACK * (3 if collapse else 1)
+    while True:
+        pairs = months.halo(known, tickers, start, keys)
+        wanted = months.listed(pairs)
+        if not wanted:
+            return None
+        rows = months.in_months(stored, wanted).join(pairs, ["ticker", MONTH], "left_semi")
+        bars = _bars(rows.select(*columns), collapse)
+        unread = months.halo(known, tickers, start, 1 << 62).join(pairs, ["ticker", MONTH], "left_anti")
+        enough = bars.groupBy("ticker").agg(F.count("*").alias("n")).filter(F.col("n") >= schemas.LOOKBACK)
+        if unread.join(enough, "ticker", "left_anti").isEmpty():
+            return bars
+        keys *= 4
+
+
+def _last_labels(bars: DataFrame, first: date) -> DataFrame:
+    """``ticker, date, label`` of each ticker's last bar before a day."""
+    day = F.col("trade_date")
+    labelled = features.with_target(bars).filter(day < F.lit(first))
+    key = dates.session_key(day, F.col("session"))
+    last = F.max(F.struct(key.alias("date"), F.col("target").alias("label")))
+    return labelled.groupBy("ticker").agg(last.alias("l")).select("ticker", "l.date", "l.label")
+
+
+def _relabelled(spark: SparkSession, paths: Paths, labels: DataFrame) -> DataFrame | None:
+    """The rows of all months of the table in which a label has changed, with the new labels."""
+    labels = _staged(labels.withColumn(MONTH, months.month_of(F.col("date"))), "labels")
+    columns = schemas.FEATURE_TABLE.fieldNames()
+    table = months.scan(spark, paths.features, schemas.FEATURE_TABLE)
+    there = months.in_months(table, months.listed(labels))
+    new = labels.drop(MONTH)
+    changed = there.join(new, ["ticker", "date"]).filter(~F.col("target").eqNullSafe(F.col("label")))
+    wanted = months.listed(changed)
+    if not wanted:
+        return None
+    rows = months.in_months(table, wanted).join(new, ["ticker", "date"], "left")
+    return rows.withColumn("target", F.coalesce("label", "target")).select(*columns)
+
+
 def split_folds(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     folds = metrics.time_split(table, dates.date_part_of(F.col("date")))
     return folds.filter("fold = 'train'"), folds.filter("fold = 'test'")
@@ -136,6 +290,23 @@ def champion_model(spark: SparkSession, paths: Paths) -> tuple[str, Model]:
     return best["run_id"], models.load_model(f"{paths.models}/{best['run_id']}")
 
 
+def newest_features(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The newest feature row of each ticker, read from the months in which tickers end."""
+    return latest.latest_features(months.ending_rows(spark, paths.features, schemas.FEATURE_TABLE))
+
+
+def _recent_rows(spark: SparkSession, path: str, days: int) -> DataFrame:
+    """Feature rows of the last days; older months are not read."""
+    known = months.facts(spark, path, schemas.FEATURE_TABLE)
+    newest = known.agg(F.max("newest_date")).first()[0]
+    if newest is None:
+        return files.scan_features(spark, path)
+    first = newest - timedelta(days=days)
+    recent = known.filter((F.col(MONTH) >= f"{first:%Y-%m}") | (F.col(MONTH) == ""))
+    rows = months.in_months(months.scan(spark, path, schemas.FEATURE_TABLE), months.listed(recent))
+    return rows.filter(dates.date_part_of(F.col("date")) >= F.lit(first)).drop(MONTH)
+
+
 def daily_job(
     spark: SparkSession,
     paths: Paths,
@@ -143,9 +314,12 @@ def daily_job(
     trainer: Trainer = models.fit_gbt,
     name: str = "gbt",
     days: int = schemas.HORIZON,
+    recent_days: int | None = None,
 ) -> dict:
     """Train, record the run, forecast with the champion, publish, report.
 
+    With ``recent_days`` the model is fitted and measured on the rows so many days before the newest.
+
     Every run has an id and a model folder of its own, so a repeated day never touches
     the champion; the model that forecasts is always the one the gate names. A failed
     forecast is reported and does not undo the training; what was published before
@@ -153,14 +327,15 @@ def daily_job(
     """
     table = files.scan_features(spark, paths.features)
     run_id = f"{name}-{as_of}-{uuid.uuid4().hex[:8]}"
-    model, run = train(table, trainer, run_id, name, as_of)
+    rows = table if recent_days is None else _recent_rows(spark, paths.features, recent_days)
+    model, run = train(rows, trainer, run_id, name, as_of)
     models.save_model(model, f"{paths.models}/{run_id}")
     files.save_metrics(run, paths.runs)
     runs = files.scan_metrics(spark, paths.runs)
     result: dict = {"status": "success", "run_id": run_id, "runs": runs, "gate": metrics.champion_gate(runs)}
     try:
         best, model = champion_model(spark, paths)
-        newest = latest.latest_features(table)
+        newest = newest_features(spark, paths)
         entries = forecast.forecast(models.compiled(model), newest, as_of, days)
         files.publish(forecast.to_wide(entries, days), paths.forecast)
     except Exception as error:  # noqa: BLE001 - the run itself stays valid
@@ -186,15 +361,17 @@ def ingest_job(
     """Bring the raw dataset up to date from what the vendor sent.
 
     ``history`` has vendor bars (``time`` first), of which only what the plan asks for
-    is taken; ``ticks`` become session bars. Returns the state found, the plan per
+    is taken; ``ticks`` become session bars. Plan and counts come from the facts of the stored
+    months; only months with new bars are read. Returns the state found, the plan per
     ticker, and the counts of the merge. The first run creates the dataset.
     """
     found = files.raw_state(spark, paths.raw)
-    there = files.exists(spark, paths.raw)
-    stored = files.scan_raw(spark, paths.raw) if there else spark.createDataFrame([], schemas.RAW_BARS)
-    dated = stored.select("ticker", dates.date_part_of(F.col("date")).alias("trade_date"))
+    found.write.mode("overwrite").parquet(f"{paths.state}/ingest_state")
+    found = spark.read.schema(found.schema).parquet(f"{paths.state}/ingest_state")
+    known = files.raw_facts(spark, paths.raw)
+    dated = known.select("ticker", F.col("newest_date").alias("trade_date"))
     plan = ingest.fetch_plan(dated, universe, as_of, years)
-    # The merge replaces what the plan and the counts are made from: write them first.
+    # The merge replaces what state, plan and counts are made from: they are written first.
     plan.write.mode("overwrite").parquet(f"{paths.state}/ingest_plan")
     plan = spark.read.schema(plan.schema).parquet(f"{paths.state}/ingest_plan")
     wanted = plan.filter("fetch_history").select("ticker", "history_start", "history_end")
@@ -206,7 +383,11 @@ def ingest_job(
     intraday = ingest.to_raw(ingest.session_bars(ticks))
     intraday = intraday.withColumn("volume", F.col("volume").cast("double"))
     new = ingest.union_new(bars, intraday)
-    counts = ingest.ingest_summary(stored, bars, intraday)
+    touched = files.touched_raw(spark, paths.raw, new)
+    untouched = known.join(
+        F.broadcast(new.select(months.month_of(F.col("date")).alias(MONTH)).distinct()), MONTH, "left_anti"
+    )
+    counts = ingest.ingest_summary(touched, bars, intraday, untouched)
     counts.write.mode("overwrite").parquet(f"{paths.state}/ingest_summary")
     files.merge_raw(spark, paths.raw, new, arrival)
     counts = spark.read.schema(counts.schema).parquet(f"{paths.state}/ingest_summary")
@@ -223,7 +404,7 @@ def next_session_job(
     """
     if model is None:
         _, model = champion_model(spark, paths)
-    newest = latest.latest_features(files.scan_features(spark, paths.features))
+    newest = newest_features(spark, paths)
     files.save_predictions(models.score_next(models.compiled(model), newest, as_of), paths.predictions)
     return files.scan_predictions(spark, paths.predictions)
 
@@ -239,10 +420,11 @@ def gated_job(
 ) -> dict:
     """Preprocess and train only when the raw data is newer than the last run.
 
-    The state is stored once the forecast is published, so a day whose forecast
-    failed is run again.
+    With ``recent_days`` only the newest months of the feature table are computed anew, and
+    the model is fitted on so many days. The state is stored once the forecast is published, so a
+    day whose forecast failed is run again.
     """
-    raw = files.scan_raw(spark, paths.raw)
+    known = files.raw_facts(spark, paths.raw)
     state_schema = "latest_date string, last_processed_at string"
     try:
         state = spark.read.schema(state_schema).parquet(f"{paths.state}/gate")
@@ -250,14 +432,17 @@ def gated_job(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         state = spark.createDataFrame([], state_schema)
-    gate = ingest.freshness_gate(raw, state, as_of, force=force).first()
+    newest = known.agg(
+        F.max("newest_key").alias("latest_date"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows")
+    )
+    gate = ingest.gate(newest, state, as_of, force=force).first()
     if not gate["success"]:
         return {"status": "failed", "error": "no dates in the raw data"}
     facts = {key: gate[key] for key in ("latest_date", "days_old", "has_new_data")}
     if not gate["should_run"]:
         return {"status": "skipped", "reason": "no_new_data", **facts}
     counted = preprocess(spark, paths, recent_days)
-    result = daily_job(spark, paths, as_of, trainer, name)
+    result = daily_job(spark, paths, as_of, trainer, name, recent_days=recent_days)
     if result["forecast"] == "published":
         spark.createDataFrame([(gate["latest_date"], as_of)], state_schema).write.mode(
             "overwrite"

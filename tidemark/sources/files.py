@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import dates
 from tidemark.operators import ingest
+from tidemark.sources import months
+from tidemark.sources.months import MONTH, NO_MONTH
 
 log = logging.getLogger(__name__)
 
-_MONTH = "month"
-# The folder of rows without a readable date.
-_NO_MONTH = "unreadable"
-
 
 def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     columns = schemas.RAW_BARS.fieldNames()
@@ -28,7 +26,8 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.FEATURE_TABLE).parquet(path)
+    columns = schemas.FEATURE_TABLE.fieldNames()
+    return spark.read.schema(schemas.FEATURE_TABLE).parquet(path).select(*columns)
 
 
 def scan_drift_union(
@@ -72,31 +71,25 @@ def _leave_out(path: str, error: Exception, skipped: list[str] | None) -> None:
 
 
 def save_features(table: DataFrame, path: str) -> None:
-    """Replace the feature dataset. Tickers are too many to be folders."""
-    table.select(*schemas.FEATURE_TABLE.fieldNames()).write.mode("overwrite").parquet(path)
+    """Replace the feature dataset; it lies in monthly folders."""
+    rows = table.select(*schemas.FEATURE_TABLE.fieldNames())
+    months.write(rows.withColumn(MONTH, months.month_of(F.col("date"))), path, ["ticker", "date"], whole=True)
+
+
+def save_feature_months(table: DataFrame, path: str) -> None:
+    """Replace the months at hand of the feature dataset; the table may be made from it."""
+    rows = table.select(*schemas.FEATURE_TABLE.fieldNames())
+    months.write(rows.withColumn(MONTH, months.month_of(F.col("date"))), path, ["ticker", "date"])
 
 
 def _with_month(raw: DataFrame) -> DataFrame:
-    month = F.substring(dates.date_part_of(F.col("date")).cast("string"), 1, 7)
-    return raw.withColumn(_MONTH, F.coalesce(month, F.lit(_NO_MONTH)))
+    return raw.withColumn(MONTH, months.month_of(F.col("date")))
 
 
 def save_raw(raw: DataFrame, path: str) -> None:
-    """Write raw bars in monthly folders, replacing only the months at hand.
-
-    The rebalance step lets the adaptive planner cut a month that is much larger
-    than the others into several files and join small ones.
-    """
-    columns = schemas.RAW_BARS.fieldNames()
-    (
-        _with_month(raw.select(*columns))
-        .hint("rebalance", F.col(_MONTH))
-        .sortWithinPartitions(_MONTH, "ticker", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_MONTH)
-        .parquet(path)
-    )
+    """Write raw bars in monthly folders, replacing only the months at hand."""
+    rows = raw.select(*schemas.RAW_BARS.fieldNames())
+    months.write(_with_month(rows), path, ["ticker", "date"])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -111,10 +104,28 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def raw_state(spark: SparkSession, path: str) -> DataFrame:
-    """One row: does the dataset exist, has it rows, and its newest date."""
-    there = exists(spark, path)
-    raw = scan_raw(spark, path) if there else spark.createDataFrame([], schemas.RAW_BARS)
-    return ingest.last_date(raw).select(F.lit(there).alias("exists"), "has_rows", "last_date")
+    """One row: does the dataset exist, has it rows, and its newest date; from the facts."""
+    return raw_facts(spark, path).agg(
+        F.lit(exists(spark, path)).alias("exists"),
+        (F.coalesce(F.sum("rows"), F.lit(0)) > 0).alias("has_rows"),
+        F.max("newest_date").alias("last_date"),
+    )
+
+
+def raw_facts(spark: SparkSession, path: str) -> DataFrame:
+    """What is known of each month and ticker of the raw bars."""
+    return months.facts(spark, path, schemas.RAW_BARS)
+
+
+def touched_raw(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """The stored bars of the months that new bars touch."""
+    columns = schemas.RAW_BARS.fieldNames()
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.RAW_BARS)
+    # One row per calendar month and one for the rest, some kilobytes for centuries: it
+    # prunes the folders read.
+    touched = F.broadcast(_with_month(new).select(MONTH).distinct())
+    return scan_raw_months(spark, path).join(touched, MONTH, "left_semi").select(*columns)
 
 
 def merge_raw(
@@ -130,14 +141,11 @@ def merge_raw(
     """
     columns = schemas.RAW_BARS.fieldNames()
     new = new.select(*columns, *arrival)
-    if exists(spark, path):
-        # One row per calendar month and one for the rest: it prunes the folders read.
-        months = F.broadcast(_with_month(new).select(_MONTH).distinct())
-        stored = scan_raw_months(spark, path).join(months, _MONTH, "left_semi").select(*columns)
-    else:
-        stored = spark.createDataFrame([], schemas.RAW_BARS)
+    stored = touched_raw(spark, path, new)
     stored = stored.select(*columns, *(F.lit(None).alias(name) for name in arrival))
     save_raw(ingest.upsert_keep_last(stored, new, arrival=arrival), path)
+    # The facts of the months just written; the others stay.
+    raw_facts(spark, path)
 
 
 def recent_raw(spark: SparkSession, path: str, days: int) -> DataFrame:
@@ -149,18 +157,15 @@ def recent_raw(spark: SparkSession, path: str, days: int) -> DataFrame:
     stored = scan_raw_months(spark, path)
     columns = schemas.RAW_BARS.fieldNames()
     # Folder names alone answer this; no file is opened for a column.
-    newest = stored.filter(F.col(_MONTH) != _NO_MONTH).agg(F.max(_MONTH)).first()[0]
+    newest = stored.filter(F.col(MONTH) != NO_MONTH).agg(F.max(MONTH)).first()[0]
     if newest is None:
         return stored.select(*columns)
     oldest = F.substring(F.date_sub(F.lit(f"{newest}-01").cast("date"), days).cast("string"), 1, 7)
-    return stored.filter((F.col(_MONTH) >= oldest) & (F.col(_MONTH) != _NO_MONTH)).select(*columns)
+    return stored.filter((F.col(MONTH) >= oldest) & (F.col(MONTH) != NO_MONTH)).select(*columns)
 
 
 def scan_raw_months(spark: SparkSession, path: str) -> DataFrame:
-    schema = schemas.T.StructType(
-        [*schemas.RAW_BARS.fields, schemas.T.StructField(_MONTH, schemas.T.StringType())]
-    )
-    return spark.read.schema(schema).parquet(path)
+    return months.scan(spark, path, schemas.RAW_BARS)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
