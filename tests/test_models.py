@@ -1,11 +1,14 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import forecast, metrics, models
-from tidemark.sources import sample
+from tidemark.functions import scoring
+from tidemark.operators import forecast, latest, metrics, models
+from tidemark.plans import published
+from tidemark.sources import sample, store
 
 
 def scored(spark, rows):
@@ -27,15 +30,34 @@ def test_auc_equals_pair_counting(spark, seed):
         p = round(rng.choice([rng.random(), 0.5, 0.5000000001, 1.0, 0.0]), 9)
         rows.append((int(rng.random() < 0.3 + 0.4 * p), int(p > 0.5), p))
     data = scored(spark, rows)
-    for buckets in (1, 7, 10_000):
-        assert metrics.auc(data, buckets=buckets).first().auc == pytest.approx(brute_auc(rows))
+    for bits in (7, 16, 21):
+        assert metrics.auc(data, digit_bits=bits).first().auc == pytest.approx(brute_auc(rows))
 
 
 def test_auc_of_scores_close_together(spark):
     rng = random.Random(9)
     rows = [(int(rng.random() < 0.5), 1, 0.5 + rng.random() * 1e-4) for _ in range(400)] + [(0, 0, 0.0), (1, 1, 1.0)]
-    for buckets in (3, 10_000):
-        assert metrics.auc(scored(spark, rows), buckets=buckets).first().auc == pytest.approx(brute_auc(rows))
+    for bits in (11, 21):
+        assert metrics.auc(scored(spark, rows), digit_bits=bits).first().auc == pytest.approx(brute_auc(rows))
+
+
+def test_auc_of_adversarial_scores(spark):
+    """Neighbouring doubles, numbers without a leading bit, both zeros, signs and infinities."""
+    rng = random.Random(10)
+    near = [0.5]
+    for _ in range(40):
+        near.append(math.nextafter(near[-1], 1.0))
+    pool = [*near, 0.0, -0.0, 5e-324, 1e-323, 2.2250738585072014e-308, 2.225073858507201e-308, -5e-324, -1.5, 1e300,
+            float("inf"), float("-inf"), 1.0, 0.1, 0.2, 0.30000000000000004, 0.3]
+    rows = [(int(rng.random() < 0.5), 1, rng.choice(pool)) for _ in range(600)]
+    assert metrics.auc(scored(spark, rows)).first().auc == pytest.approx(brute_auc(rows), abs=1e-15)
+
+
+def test_bits_keep_the_order(spark):
+    values = sorted({0.0, 1.0, -1.0, 0.5, math.nextafter(0.5, 0), 5e-324, -5e-324, 1e-310, 1e308, float("inf"), float("-inf"), -2.5, 3.0})
+    data = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "p double")
+    got = [r.b for r in data.select("p", metrics.ordered_bits(F.col("p")).alias("b")).orderBy("p").collect()]
+    assert got == sorted(got) and len(set(got)) == len(got)
 
 
 def test_auc_by_key_and_undefined(spark):
@@ -213,3 +235,47 @@ def test_forecast_bounds_and_round_trip(spark, planted):
     assert long.exceptAll(forecast.unpivot(wide)).isEmpty()
     missing = wide.withColumn("day_15_date", F.lit(None).cast("date"))
     assert forecast.unpivot(missing).count() == long.count() - wide.count()
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    table = published.read(spark, "/root/testdata/sf0.001", "features")
+    return table.filter("target is not null")
+
+
+FITS = {
+    "gbt": lambda rows: models.fit_gbt(rows, trees=12),
+    "forest": lambda rows: models.fit_forest(rows, trees=9, depth=7),
+    "logistic": lambda rows: models.fit_logistic(rows, 20),
+}
+
+
+@pytest.mark.parametrize("kind", list(FITS))
+def test_compiled_models_score_like_fitted_ones(spark, labelled, kind):
+    """Probability, class and forecast of a model and of its column expression agree."""
+    store.ensure_checkpoint_dir(spark)
+    model = FITS[kind](labelled)
+    packed = models.compiled(model)
+    assert isinstance(packed, (scoring.LinearScorer, scoring.TreeScorer))
+    own = models.score(model, labelled).select("ticker", "date", F.col("probability").alias("p"))
+    both = models.score(packed, labelled).join(own, ["ticker", "date"])
+    assert both.filter(F.abs(F.col("p") - F.col("probability")) > 1e-12).isEmpty()
+    assert both.count() == labelled.count()
+    newest = latest.latest_features(labelled)
+    a, b = (forecast.forecast(m, newest, "2024-01-31") for m in (model, packed))
+    rows = [sorted((r.ticker, [(e.day, e.prediction, round(e.probability, 9), e.confidence) for e in r.entries]) for r in f.collect()) for f in (a, b)]
+    assert rows[0] == rows[1]
+    # All days of all rows are one projection over the scan.
+    one = forecast.forecast(packed, labelled.withColumn("latest_data_date", F.current_date()), "2024-01-31")
+    nodes = [line.strip("+- *()0123456789").split(" ")[0] for line in one._jdf.queryExecution().executedPlan().treeString().splitlines()]
+    assert [n for n in nodes if n] == ["Project", "Filter", "ColumnarToRow", "FileScan"], nodes
+
+
+def test_tree_of_one_leaf(spark):
+    """A model that never splits is its leaf."""
+    store.ensure_checkpoint_dir(spark)
+    rows = [(None, "T", i % 2, *[0.0] * len(schemas.SCALED), 1.0) for i in range(20)]
+    data = spark.createDataFrame(rows, schemas.FEATURE_TABLE)
+    packed = models.compiled(models.fit_forest(data, trees=3, depth=2))
+    assert packed.depth == 0
+    assert models.score(packed, data).first().probability == pytest.approx(0.5, abs=0.3)

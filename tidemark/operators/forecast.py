@@ -55,8 +55,8 @@ def _day_entry(day: Column, p: Column, prediction: Column, floor: float | None)
 _ENTRIES = "array<struct<day:int,prediction:int,probability:double,confidence:string>>"
 
 
-def _linear_entries(
-    scorer: scoring.LinearScorer, latest: DataFrame, days: int, floor: float | None
+def _folded_entries(
+    scorer: scoring.Scorer, latest: DataFrame, days: int, floor: float | None
 ) -> DataFrame:
     """All days in one projection: the state folds over 1..days inside the row."""
     start = F.struct(
@@ -84,7 +84,7 @@ def _linear_entries(
 def _model_entries(
     model: Model, latest: DataFrame, days: int, floor: float | None
 ) -> DataFrame:
-    """One model call per day on one row per ticker, entries kept in an array."""
+    """One model call per day on one row per ticker, for models that are no column expression."""
     state = latest.select("ticker", "latest_data_date", *SCALED).withColumn(
         "entries", F.array().cast(_ENTRIES)
     )
@@ -98,7 +98,7 @@ def _model_entries(
 
 
 def forecast(
-    model: Model | scoring.LinearScorer,
+    model: Model | scoring.Scorer,
     latest: DataFrame,
     as_of: str,
     days: int = HORIZON,
@@ -109,7 +109,7 @@ def forecast(
     The class comes from the model's own probability; the stored probability is
     pulled towards one half with the day. No shuffle: each row rolls by itself.
     """
-    build = _linear_entries if isinstance(model, scoring.LinearScorer) else _model_entries
+    build = _folded_entries if isinstance(model, scoring.Scorer) else _model_entries
     calendar = dates.trading_days(F.lit(as_of).cast("date"), days)
 
     def dated(entry: Column) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SCORE_BUCKETS = 10_000
+# Bits of a digit of a score: a window orders at most so many different digits.
+DIGIT_BITS = 21
 
 
 def time_split(table: DataFrame, day: Column, train_share: float = 0.8) -> DataFrame:
@@ -67,14 +68,24 @@ def f1(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return confusion(scored, keys).select(*keys, _f1().alias("f1"))
 
 
-def _spread(scores: DataFrame, keys: Sequence[str], buckets: int, name: str) -> DataFrame:
-    """Adds ``name``: the scores of each key cut into equal steps between their ends."""
-    ends = scores.groupBy(*keys).agg(
-        F.min("probability").alias("_low"), F.max("probability").alias("_high")
+def ordered_bits(score: Column) -> Column:
+    """A whole number for each double, in the same order; equal only for equal scores.
+
+    The exponent and the 52 bits after the point, read from the hexadecimal form of the double;
+    negated for negative scores. NaN is above all others, as it is in sorting.
+    """
+    text = F.format_string("%a", F.abs(score))
+    after = F.rpad(F.regexp_extract(text, r"\.([0-9a-f]+)p", 1), 13, "0")
+    exponent = F.regexp_extract(text, r"p(-?[0-9]+)$", 1).cast("long") + 1023
+    # Numbers below the smallest normal one have no leading bit and the exponent of that one.
+    exponent = F.when(F.substring(text, 3, 1) == "1", exponent).otherwise(0)
+    one = 1 << 52
+    bits = (
+        F.when(F.isnan(score), F.lit(2048 * one - 1))
+        .when(F.abs(score) == float("inf"), F.lit(2047 * one))
+        .otherwise(exponent * F.lit(one) + F.conv(after, 16, 10).cast("long"))
     )
-    share = (F.col("probability") - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    step = F.when(F.col("_high") > F.col("_low"), F.floor(share * buckets)).otherwise(0)
-    return scores.join(ends, keys).withColumn(name, step.cast("int")).drop("_low", "_high")
+    return F.when(score < 0, -bits).otherwise(bits)
 
 
 def _earlier(partition: Sequence[str], order: str) -> Column:
@@ -83,43 +94,46 @@ def _earlier(partition: Sequence[str], order: str) -> Column:
     return F.coalesce(F.sum("down").over(w), F.lit(0))
 
 
-def auc(
-    scored: DataFrame, keys: Sequence[str] = (), buckets: int = SCORE_BUCKETS
-) -> DataFrame:
+def auc(scored: DataFrame, keys: Sequence[str] = (), digit_bits: int = DIGIT_BITS) -> DataFrame:
     """Area under the ROC curve with ties counted half; NULL with one class only.
 
-    Rows first combine to one row per distinct score. The scores of a key are cut
-    into equal steps between their lowest and highest, and those of a step once more,
-    so scores that lie close together are spread over many steps as well. The number
-    of falling rows below a score is the total of the lower steps, that of the lower
-    parts of its step, and a running total inside its part.
+    Rows first combine to one row per distinct score, null scores left out. The scores, as whole
+    numbers in the same order, are cut into digits. From the last digit to the first, the falling rows
+    below each value of a digit are running totals among the scores that agree in all digits before;
+    their rows then add up to one. So no window orders more rows than a digit has values, whatever
+    the scores are, and nothing is joined back.
     """
     keys = [*keys, "_all"]
-    per_score = (
-        scored.withColumn("_all", F.lit(0)).groupBy(*keys, "probability")
+    levels = -(-64 // digit_bits)
+    bits = ordered_bits(F.col("probability"))
+    digits = {
+        f"_d{i}": F.shiftright(F.col("_bits"), digit_bits * (levels - 1 - i)).bitwiseAND((1 << digit_bits) - 1)
+        if i
+        else F.shiftright(F.col("_bits"), digit_bits * (levels - 1))
+        for i in range(levels)
+    }
+    areas = (
+        scored.filter(F.col("probability").isNotNull())
+        .withColumn("_all", F.lit(0))
+        .groupBy(*keys, "probability")
         .agg(
             F.count(F.when(F.col("target") == 1, 1)).alias("up"),
             F.count(F.when(F.col("target") == 0, 1)).alias("down"),
         )
+        .withColumn("_bits", bits)
+        .withColumns(digits)
+        .withColumn("area", F.col("up") * F.col("down") / 2.0)
     )
-    steps = _spread(per_score, keys, buckets, "step")
-    parts = _spread(steps, [*keys, "step"], buckets, "part")
-    below = _earlier([*keys, "step", "part"], "probability")
-    area = F.sum("area") + F.sum(F.col("up") * F.col("below"))
-    areas = parts.withColumn("below", below).withColumn("area", F.col("up") * F.col("down") / 2.0)
-    for level in ("part", "step"):
-        above = [*keys, "step", "part"] if level == "part" else [*keys, "step"]
-        areas = areas.groupBy(*above).agg(
-            area.alias("area"), F.sum("up").alias("up"), F.sum("down").alias("down")
+    for last in reversed(digits):
+        above = [*keys, *list(digits)[: list(digits).index(last)]]
+        below = areas.withColumn("below", _earlier(above, last))
+        areas = below.groupBy(*above).agg(
+            (F.sum("area") + F.sum(F.col("up") * F.col("below"))).alias("area"),
+            F.sum("up").alias("up"),
+            F.sum("down").alias("down"),
         )
-        areas = areas.withColumn("below", _earlier(above[:-1], level))
-    total = areas.groupBy(*keys).agg(
-        area.alias("area"),
-        F.sum("up").cast("double").alias("ups"),
-        F.sum("down").cast("double").alias("downs"),
-    )
-    pairs = F.col("ups") * F.col("downs")
-    return total.select(*keys[:-1], F.when(pairs > 0, F.col("area") / pairs).alias("auc"))
+    pairs = F.col("up").cast("double") * F.col("down")
+    return areas.select(*keys[:-1], F.when(pairs > 0, F.col("area") / pairs).alias("auc"))
 
 
 def evaluate(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

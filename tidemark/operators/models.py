@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, scoring, tiers
 from tidemark.schemas import FEATURES, NEXT_SESSION, SCALED
+from tidemark.sources import store
 
 _VECTOR = "_vector"
 _SCORES = ("rawPrediction", "_probability", "_prediction", _VECTOR)
@@ -83,6 +86,57 @@ def linear_scorer(model: LogisticRegressionModel, name: str = "logistic") -> sco
     return scoring.LinearScorer(name, float(model.intercept), weights)
 
 
+def tree_scorer(model: Model, name: str = "trees") -> scoring.TreeScorer:
+    """A fitted boosted model or forest as a column expression.
+
+    The nodes are read from the stored form of the model: as many rows as it has nodes, at most
+    two to the power of its depth for each tree.
+    """
+    spark = SparkSession.active()
+    path = store.new_path(spark, "trees")
+    save_model(model, path)
+    boosted = isinstance(model, GBTClassificationModel)
+    stage = f"{path}/stages/*"
+    node, stats = F.col("nodeData"), F.col("nodeData.impurityStats")
+    value = node["prediction"] if boosted else stats[1] / (stats[0] + stats[1])
+    rows = spark.read.parquet(f"{stage}/data").select(
+        F.struct(
+            F.col("treeID").alias("tree"),
+            node["id"].alias("id"),
+            F.when(node["leftChild"] >= 0, node["split"]["featureIndex"]).otherwise(-1).alias("feature"),
+            F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+            node["leftChild"].alias("left"),
+            node["rightChild"].alias("right"),
+            F.coalesce(value, F.lit(0.0)).alias("value"),
+        ).alias("n")
+    )
+    nodes = rows.agg(F.sort_array(F.collect_list("n"))).first()[0]
+    weights = model.treeWeights
+    place = {(n["tree"], n["id"]): at for at, n in enumerate(nodes)}
+    roots = tuple(place[tree, 0] for tree in range(len(weights)))
+    # Children follow their parent, so depths are known in order.
+    depth = [0] * len(nodes)
+    for at, n in enumerate(nodes):
+        for child in (n["left"], n["right"]):
+            if n["feature"] >= 0:
+                depth[place[n["tree"], child]] = depth[at] + 1
+
+    def child(n, side: str) -> int:
+        return place[n["tree"], n[side]] if n["feature"] >= 0 else -1
+
+    return scoring.TreeScorer(
+        name,
+        roots,
+        max(depth),
+        tuple(n["feature"] for n in nodes),
+        tuple(n["threshold"] if n["feature"] >= 0 else 0.0 for n in nodes),
+        tuple(child(n, "left") for n in nodes),
+        tuple(child(n, "right") for n in nodes),
+        tuple(n["value"] * (weights[n["tree"]] if boosted else 1.0) for n in nodes),
+        boosted,
+    )
+
+
 def save_model(model: Model, path: str) -> None:
     PipelineModel([model]).write().overwrite().save(path)
 
@@ -91,14 +145,18 @@ def load_model(path: str) -> Model:
     return PipelineModel.load(path).stages[0]
 
 
-def compiled(model: Model) -> Model | scoring.LinearScorer:
-    """The model as a column expression where it can be one."""
-    return linear_scorer(model) if isinstance(model, LogisticRegressionModel) else model
+def compiled(model: Model | scoring.Scorer) -> Model | scoring.Scorer:
+    """The model as a column expression; models of other kinds stay as they are."""
+    if isinstance(model, LogisticRegressionModel):
+        return linear_scorer(model)
+    if isinstance(model, (GBTClassificationModel, RandomForestClassificationModel)):
+        return tree_scorer(model)
+    return model
 
 
-def score(model: Model | scoring.LinearScorer, df: DataFrame) -> DataFrame:
+def score(model: Model | scoring.Scorer, df: DataFrame) -> DataFrame:
     """Add ``probability`` and ``prediction``."""
-    if isinstance(model, scoring.LinearScorer):
+    if isinstance(model, scoring.Scorer):
         with_p = df.withColumn("probability", model.on_scaled())
     else:
         p = vector_to_array("_probability")[1]
@@ -107,7 +165,7 @@ def score(model: Model | scoring.LinearScorer, df: DataFrame) -> DataFrame:
 
 
 def score_next(
-    model: Model | scoring.LinearScorer, latest: DataFrame, as_of: str
+    model: Model | scoring.Scorer, latest: DataFrame, as_of: str
 ) -> DataFrame:
     """Next-session prediction for the newest row of each ticker."""
     today = F.lit(as_of).cast("date")

@@ -632,7 +632,7 @@ def score_next(spark, sf_dir):
 @query("score_next_gbt")
 def score_next_gbt(spark, sf_dir):
     newest = latest.latest_features(published.read(spark, sf_dir, "features"))
-    return models.score_next(_gbt(spark, sf_dir), newest, AS_OF)
+    return models.score_next(models.compiled(_gbt(spark, sf_dir)), newest, AS_OF)
 
 
 @query("rollforward_step")
@@ -659,7 +659,8 @@ def forecast_15d_floor(spark, sf_dir):
 @query("forecast_15d_gbt")
 def forecast_15d_gbt(spark, sf_dir):
     newest = latest.latest_features(published.read(spark, sf_dir, "features"))
-    return forecast.to_long(forecast.forecast(_gbt(spark, sf_dir), newest, AS_OF))
+    packed = models.compiled(_gbt(spark, sf_dir))
+    return forecast.to_long(forecast.forecast(packed, newest, AS_OF))
 
 
 @query("forecast_15d_lr")
