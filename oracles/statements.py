@@ -259,6 +259,8 @@ def statements() -> dict[str, str]:
       FROM stored GROUP BY 1, 2"""
     sql["scaler_by_months"] = b.with_(b.bars("day"), b.features()) + _stack("kept", "kept")
 
+    sql["mirror_sync"] = b.with_(b.bars("day")) + _to_raw("bars")
+
     # Newest rows
     sql["latest_by_months"] = b.with_(b.bars("day"), b.RAW_MARKED) + """
       SELECT ticker, close, volume, date FROM raw_marked

@@ -192,3 +192,34 @@ def test_recent_days_prune_months(spark, path):
     assert "PartitionFilters: [isnotnull(month" in plan
     months = {r.m for r in recent.select(F.substring("date", 1, 7).alias("m")).distinct().collect()}
     assert len(months) in (2, 3)
+
+
+def test_mirror_copies_changed_folders_only(spark, path):
+    source, target = path("source"), path("mirror")
+    assert files.mirror(spark, source, target) == {"copied": 0, "kept": 0, "dropped": 0}
+    files.merge_raw(spark, source, raw(spark, [("2026-01-05", "A", 1.0), ("2026-02-02", "B", 2.0)]))
+    assert files.mirror(spark, source, target) == {"copied": 2, "kept": 0, "dropped": 0}
+    held = files.mirrored(spark, target, schemas.RAW_BARS)
+    files.merge_raw(spark, source, raw(spark, [("2026-02-02", "B", 3.0)]))
+    assert files.mirror(spark, source, target) == {"copied": 1, "kept": 1, "dropped": 0}
+    assert files.mirror(spark, source, target) == {"copied": 0, "kept": 2, "dropped": 0}
+    # A reader that began before the copy still reads the state it saw.
+    assert {(r.ticker, r.close) for r in held.collect()} == {("A", 1.0), ("B", 2.0)}
+    assert {(r.ticker, r.close) for r in files.mirrored(spark, target, schemas.RAW_BARS).collect()} == {("A", 1.0), ("B", 3.0)}
+
+
+def test_mirror_drops_folders_and_survives_an_empty_source(spark, path):
+    source, target = path("source"), path("mirror")
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "n int, part string")
+    schema = rows.schema
+    rows.write.partitionBy("part").parquet(source)
+    files.mirror(spark, source, target)
+    rows.filter("n = 2").write.mode("overwrite").partitionBy("part").parquet(source)
+    assert files.mirror(spark, source, target)["dropped"] == 1
+    assert [tuple(r) for r in files.mirrored(spark, target, schema).collect()] == [(2, "y")]
+    rows.limit(0).write.mode("overwrite").parquet(source)
+    assert files.mirror(spark, source, target) == {"copied": 0, "kept": 1, "dropped": 0}
+    plain, copy = path("plain"), path("copy")
+    spark.range(3).write.parquet(plain)
+    assert files.mirror(spark, plain, copy)["copied"] == 1
+    assert files.mirrored(spark, copy, spark.range(1).schema).count() == 3

@@ -189,6 +189,21 @@ def snapshot_sync(spark, sf_dir):
     return spark.read.schema(schemas.forecast_wide()).parquet(target)
 
 
+@query("mirror_sync")
+def mirror_sync(spark, sf_dir):
+    """Raw months served as a copy, some of them changed, and only those copied again."""
+    source, target = store.new_path(spark, "mirrored_raw"), store.new_path(spark, "mirror")
+    daily = ingest.to_raw(sample.bars(spark, sf_dir, "day"))
+    late = F.col("date") >= STORED_UNTIL
+    files.save_raw(daily.withColumn("volume", F.when(late, F.lit(0.0)).otherwise(F.col("volume"))), source)
+    files.mirror(spark, source, target)
+    files.merge_raw(spark, source, daily.filter(late))
+    done = files.mirror(spark, source, target)
+    if not 0 < done["copied"] < done["kept"]:
+        raise RuntimeError(f"unexpected copy: {done}")
+    return files.mirrored(spark, target, schemas.RAW_BARS)
+
+
 # Ingestion
 
 

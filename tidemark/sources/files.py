@@ -309,3 +309,78 @@ def snapshot_sync(
         [(source, target, version, action)],
         "source string, target string, version string, action string",
     )
+
+
+_FOLDERS = "folder string, state string, version string"
+
+
+def _folder_states(spark: SparkSession, source: str) -> DataFrame | None:
+    """Partition folders of a dataset with the state of their files, from listings alone.
+
+    ``root`` is the dataset's full path, ``folder`` what is below it, empty without partitions.
+    """
+    try:
+        found = spark.read.format("binaryFile").options(
+            pathGlobFilter="*.parquet", recursiveFileLookup="true"
+        ).load(source)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    below = r"((?:/[^/=]+=[^/]*)*)/[^/]+$"
+    file = F.concat_ws(":", F.regexp_extract("path", "[^/]+$", 0), "length", F.unix_micros("modificationTime"))
+    return found.groupBy(
+        F.regexp_replace("path", below, "").alias("root"),
+        F.ltrim(F.regexp_extract("path", below, 1), F.lit("/")).alias("folder"),
+    ).agg(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(file))), 256).alias("state"))
+
+
+def mirror(spark: SparkSession, source: str, target: str) -> dict[str, int]:
+    """Bring a served copy up to date: folders whose files have changed are copied, no others.
+
+    A folder's state is the names, lengths and times of its files. Changed folders are written as a new
+    version beside what is served, then a new list of folders is published by a pointer, so
+    readers see all of one state or all of the next. An empty or missing source changes nothing.
+    Returns how many folders were copied, kept and dropped.
+    """
+    states = _folder_states(spark, source)
+    held = spark.createDataFrame([], _FOLDERS)
+    if exists(spark, f"{target}/list/pointer"):
+        held = published(spark, f"{target}/list", schemas.T.StructType.fromDDL(_FOLDERS))
+    nothing = {"copied": 0, "kept": held.count(), "dropped": 0}
+    if states is None or states.isEmpty() or spark.read.parquet(source).isEmpty():
+        return nothing
+    states = states.withColumn("version", F.lit(None).cast("string"))
+    kept = held.join(states.select("folder", "state"), ["folder", "state"], "left_semi")
+    changed = states.join(kept, ["folder", "state"], "left_anti")
+    # One entry per folder of the dataset, as the driver lists them to read it.
+    todo = changed.agg(F.sort_array(F.collect_list(F.struct("folder", "root", "state")))).first()[0]
+    dropped = held.join(states, "folder", "left_anti").count()
+    if not todo and not dropped:
+        return nothing
+    version = uuid.uuid4().hex[:12]
+    if todo:
+        schema = spark.read.parquet(source).schema
+        rows = spark.read.schema(schema).option("basePath", todo[0]["root"]).parquet(
+            *(f"{t['root']}/{t['folder']}".rstrip("/") for t in todo)
+        )
+        keys = [part.split("=")[0] for part in todo[0]["folder"].split("/") if part]
+        if keys:
+            rows = rows.hint("rebalance", *(F.col(key) for key in keys))
+        rows.write.partitionBy(*keys).parquet(f"{target}/versions/{_VERSION}={version}")
+    new = spark.createDataFrame([(t["folder"], t["state"], version) for t in todo], _FOLDERS)
+    publish(kept.select("folder", "state", "version").unionByName(new).coalesce(1), f"{target}/list")
+    return {"copied": len(todo), "kept": kept.count(), "dropped": dropped}
+
+
+_VERSION = "_version"
+
+
+def mirrored(spark: SparkSession, target: str, schema: schemas.T.StructType) -> DataFrame:
+    """The served copy as the newest list names it."""
+    folders = published(spark, f"{target}/list", schemas.T.StructType.fromDDL(_FOLDERS))
+    path = F.concat_ws("/", F.concat(F.lit(f"{target}/versions/{_VERSION}="), "version"), F.nullif("folder", F.lit("")))
+    paths = folders.agg(F.sort_array(F.collect_list(path))).first()[0]
+    full = schemas.T.StructType([*schema.fields, schemas.T.StructField(_VERSION, schemas.T.StringType())])
+    rows = spark.read.schema(full).option("basePath", f"{target}/versions").parquet(*paths)
+    return rows.select(*schema.fieldNames())
