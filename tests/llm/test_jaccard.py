@@ -1,6 +1,7 @@
 import random
 import re
 import string
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -143,3 +144,27 @@ def test_components(spark, seed):
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
     expected = {n: find(n) for e in edges if e[0] != e[1] for n in e}
     assert {r.node: r.component for r in got} == expected and len(got) == len(expected)
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 52])
+def test_coded_numbers(top):
+    rng = np.random.default_rng(top)
+    for n in (1, 2, 500):
+        values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
+        got, rest = jaccard.decoded(jaccard.coded(values) + b"rest", n)
+        assert (got == values).all() and rest == b"rest"
+
+
+def test_shared_blocks_are_those_of_several_sets(spark, documents):
+    """Chunks and ranges of any size find the same keys; copies of a set share none."""
+    data = near_copies(3)
+    source = documents(data + data[:5]).select("doc_id", "text").repartition(7)
+    threshold = jaccard.Threshold(90)
+    sets = {tuple(s.tolist()): s for _, t in data for s in jaccard.shingle_sets(pa.array([t]), 3) if len(s)}
+    held = defaultdict(set)
+    for s in sets.values():
+        for key in jaccard.block_keys(s, threshold).view(np.uint64):
+            held[int(key >> np.uint64(24))].add(jaccard._set_id(s))
+    expected = {(key, sid) for key, sids in held.items() if len(sids) > 1 for sid in sids}
+    got = {(r.key, r.sid) for r in jaccard.shared_blocks(source, 3, threshold, 1000).collect()}
+    assert expected and got == expected

@@ -34,6 +34,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns under numbers, which no name of an operator clashes with."""
+    return df.toDF(*(f"c{place}" for place in range(len(df.columns))))
+
+
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -288,7 +288,10 @@ def _grouped(texts: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns, whatever their names."""
+    names, places = docs.columns, (docs.columns.index(key), docs.columns.index(text))
+    docs = common.numbered(docs)
+    key, text = (docs.columns[place] for place in places)
     found = dedup(docs, key=key, text=text).groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("rows"), F.max("kept").alias("kept")
     )
@@ -297,17 +300,15 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
     odd = common.written(odd, "odd")
     name = "sha"
-    while name in docs.columns:
-        name += "_"
     named = _with_sha(docs, text, name)
     same = named[key].eqNullSafe(F.col("odd_id")) & (named[name] == F.col("odd_sha"))
     once = named.join(common.bounded(odd), same, "left_anti").drop(name)
     # One of the rows that are repeated with their key.
     again = odd.filter("kept")
     if again.isEmpty():
-        return once
+        return once.toDF(*names)
     first = named.join(common.bounded(again), same, "left_semi").dropDuplicates([key, name])
-    return once.unionByName(first.drop(name))
+    return once.unionByName(first.drop(name)).toDF(*names)
 
 
 def _with_sha(docs: DataFrame, text: str, name: str) -> DataFrame:

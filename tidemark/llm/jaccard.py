@@ -8,6 +8,11 @@ more blocks than that limit therefore has equal blocks for every pair of similar
 Sets join on equal blocks within a band of sizes, a sketch of fixed width rejects most
 pairs that fail, and the shingle hashes themselves decide.
 
+Nearly all blocks belong to one set alone, and to find that out must not cost a row each. A
+task sorts the block keys of some thousand sets and sends, for each range of keys, the steps
+between them with the number of the set: about five bytes a key. The task of a range gives back the
+keys that it got more than once; only those become rows of key and set.
+
 Documents with equal sets form a class, and classes take part once. A block that many
 classes share is not expanded into all pairs: its members are compared with its leader,
 the one with the most shared blocks. Where that leaves several components, members are
@@ -31,7 +36,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +50,8 @@ BAND_RATIO = 1.25
 # Blocks beyond those that linked sets need: with up to so many empty blocks a set
 # still shares one that is not empty.
 SPARE_BLOCKS = 2
+# Keys that a task sorts at a time, sets among them at most, and keys in one range.
+CHUNK_KEYS, CHUNK_SETS, RANGE_KEYS = 1 << 20, 1 << 16, 2 << 20
 # Words of the fixed sketch that pairs are screened with.
 SCREEN_WORDS = 16
 # Classes in a group of which all pairs are compared: of blocks, and of differences.
@@ -192,26 +201,157 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.sha256(tokens.tobytes()).digest()[:8], "little", signed=True)
 
 
-def sketches(source: DataFrame, size: int, threshold: Threshold) -> DataFrame:
-    """``doc_id``, ``n_shingles``, the id ``sid`` of the set, and its block ``keys``."""
+def sketches(source: DataFrame, size: int) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and the id ``sid`` of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.steps(batches, 1):
             sets = shingle_sets(batch.column(1).fill_null(""), size)
-            keys = [block_keys(s, threshold) for s in sets]
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(offsets, np.concatenate([*keys, np.zeros(0, np.int64)])),
                 ],
-                ["doc_id", "n_shingles", "sid", "keys"],
+                ["doc_id", "n_shingles", "sid"],
             )
 
     kind = dict(source.dtypes)["doc_id"]
-    return common.mapped(source, run, f"doc_id {kind}, n_shingles long, sid long, keys array<long>")
+    return common.mapped(source, run, f"doc_id {kind}, n_shingles long, sid long")
+
+
+def coded(values: np.ndarray) -> bytes:
+    """Rising numbers as steps, the lowest bytes of all steps first, without the bytes that are zero."""
+    planes = np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    count = max((i + 1 for i in range(8) if planes[i].any()), default=1)
+    return bytes([count]) + planes[:count].tobytes()
+
+
+def decoded(data: bytes, n: int) -> tuple[np.ndarray, bytes]:
+    """The numbers, and what follows them."""
+    count = data[0]
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :count] = np.frombuffer(data, np.uint8, count * n, 1).reshape(count, n).T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), data[1 + count * n :]
+
+
+# What a row between the two steps of ``shared_blocks`` holds.
+_RANGE, _TWICE, _SETS = range(3)
+
+
+def _chunks(sets: Iterator[tuple[int, np.ndarray]], bits: int, width: int, ranges: int):
+    """Rows ``bucket, chunk, kind, n, data`` of sets given by id and block keys.
+
+    A chunk's keys go to their ranges, each once; the rows of a key that several of its own sets
+    have are known to be shared and go anywhere, so a very frequent key fills no range.
+    """
+    part = TaskContext.get().partitionId()
+    number, ids, keys = 0, {}, []
+
+    def rows():
+        chunk = (part << 32) | number
+        owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys]).astype("<u2")
+        values = np.concatenate(keys).view(np.uint64) >> np.uint64(64 - bits)
+        order = np.lexsort((owner, values))
+        values, owner = values[order], owner[order]
+        # A set may have a key twice where blocks are alike.
+        once = np.ones(len(values), bool)
+        once[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+        values, owner = values[once], owner[once]
+        first = np.ones(len(values), bool)
+        first[1:] = values[1:] != values[:-1]
+        run = np.cumsum(first) - 1
+        twice = np.bincount(run)[run] > 1
+        elsewhere = ranges + (part * 31 + number) % ranges
+        yield elsewhere, chunk, _SETS, len(ids), np.array(list(ids), "<i8").tobytes()
+        if twice.any():
+            yield elsewhere, chunk, _TWICE, int(twice.sum()), coded(values[twice]) + owner[twice].tobytes()
+        values, owner = values[first], owner[first]
+        bucket = (values // np.uint64(width)).astype(np.int64)
+        ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
+        start = 0
+        for end in ends.tolist():
+            some = values[start:end]
+            yield int(bucket[start]), chunk, _RANGE, end - start, coded(some) + owner[start:end].tobytes()
+            start = end
+
+    count = 0
+    for sid, own in sets:
+        if sid not in ids:
+            ids[sid] = len(ids)
+            keys.append(own)
+            count += len(own)
+            if count >= CHUNK_KEYS or len(ids) == CHUNK_SETS:
+                yield from rows()
+                number, ids, keys, count = number + 1, {}, [], 0
+    if count:
+        yield from rows()
+
+
+def _repeated(frames: pd.DataFrame) -> pd.DataFrame:
+    """The keys of a range that several chunks have; what is known already passes through."""
+    values, chunks, owners, found = [], [], [], []
+    for chunk, kind, n, data in zip(frames["chunk"], frames["kind"], frames["n"], frames["data"], strict=True):
+        if kind == _SETS:
+            one = {"key": None, "chunk": chunk, "owner": np.arange(n), "sid": np.frombuffer(data, "<i8")}
+            found.append(pd.DataFrame(one))
+            continue
+        keys, rest = decoded(data, n)
+        owner = np.frombuffer(rest, "<u2")
+        if kind == _TWICE:
+            found.append(pd.DataFrame({"key": keys.view(np.int64), "chunk": chunk, "owner": owner, "sid": None}))
+        else:
+            values.append(keys)
+            chunks.append(np.full(n, chunk, np.int64))
+            owners.append(owner)
+    if values:
+        keys = np.concatenate(values)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        same = keys[1:] == keys[:-1]
+        take = np.zeros(len(keys), bool)
+        take[1:] |= same
+        take[:-1] |= same
+        order = order[take]
+        one = {"key": keys[take].view(np.int64), "chunk": np.concatenate(chunks)[order]}
+        found.append(pd.DataFrame({**one, "owner": np.concatenate(owners)[order], "sid": None}))
+    whole = pd.concat([f.astype({"key": "Int64", "sid": "Int64"}) for f in found])
+    return whole.astype({"chunk": "int64", "owner": "int32"})[["key", "chunk", "owner", "sid"]]
+
+
+def shared_blocks(source: DataFrame, size: int, threshold: Threshold, shingles: int) -> DataFrame:
+    """``key, sid`` of the block keys that more than one set has, each once.
+
+    ``shingles`` is the number of shingles of all documents; there are fewer keys than that.
+    """
+    spark = source.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(2 * parts, -(-shingles // RANGE_KEYS))
+    # With eight bits to spare few keys of different blocks look alike; the sets decide anyway.
+    bits = min(52, max(40, shingles.bit_length() + 8))
+    width = -(-(1 << bits) // ranges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sets():
+            for batch in common.steps(batches, 0):
+                for s in shingle_sets(batch.column(0).fill_null(""), size):
+                    if len(s):
+                        yield _set_id(s), block_keys(s, threshold)
+
+        names = ["bucket", "chunk", "kind", "n", "data"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        for row in _chunks(sets(), bits, width, ranges):
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
+
+    sent = common.mapped(source.select("text"), run, "bucket long, chunk long, kind int, n int, data binary")
+    found = sent.groupBy("bucket").applyInPandas(_repeated, "key long, chunk long, owner int, sid long")
+    found = common.written(found, "blocks")
+    sets = found.filter("key is null").select("chunk", "owner", "sid")
+    postings = found.filter("key is not null").select("key", "chunk", "owner").join(sets, ["chunk", "owner"])
+    postings = common.written(postings.select("key", "sid").distinct(), "postings")
+    # Copies of one set in several chunks share its keys with nobody else.
+    blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+    return postings.join(blocks.filter("low < high").select("key"), "key", "left_semi")
 
 
 def whole_sets(source: DataFrame, size: int) -> DataFrame:
@@ -377,10 +517,8 @@ def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
 
 def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Threshold) -> DataFrame | None:
     """Components of set ids that links connect: ``node``, ``component``; None without links."""
-    postings = sketched.filter("sid is not null").select("sid", F.explode("keys").alias("key"))
-    blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    members = postings.join(blocks.filter("low < high").select("key"), "key", "left_semi").distinct()
-    members = common.written(members, "members")
+    shingles = sketched.agg(F.sum("n_shingles")).first()[0] or 0
+    members = common.written(shared_blocks(source, size, threshold, shingles), "members")
     weights = common.written(members.groupBy("sid").agg(F.count("*").alias("weight")), "weights")
     members = members.join(weights, "sid")
     sets = _candidates(weights.select("sid"), sketched, source, size)
@@ -422,9 +560,12 @@ def keep(
     The smallest key stays, a null key only if there is no other; of rows that share it
     exactly one, whatever their texts.
     """
+    names, places = docs.columns, (docs.columns.index(key), docs.columns.index(text))
+    docs = common.numbered(docs)
+    key, text = (docs.columns[place] for place in places)
     threshold = Threshold(percent)
     source = _source(docs, key, text)
-    sketched = common.written(sketches(source, size, threshold), "sketches")
+    sketched = common.written(sketches(source, size), "sketches")
     found = find_links(sketched, source, size, threshold)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least")
     classes = sketched.filter("sid is not null").groupBy("sid").agg(least, F.count("*").alias("rows"))
@@ -438,19 +579,17 @@ def keep(
         odd = odd.join(found.select(F.col("node").alias("sid")), "sid", "left_anti").unionByName(chosen)
     odd = common.written(odd.withColumnRenamed("sid", "odd_sid"), "near-copies")
     name = "sid"
-    while name in docs.columns:
-        name += "_"
     once = _with_sid(docs, text, size, name)
     once = once.join(common.bounded(odd), F.col(name) == F.col("odd_sid"), "left_anti").drop(name)
     again = common.written(odd.filter("stays"), "near-copies-kept")
     if again.isEmpty():
-        return once
+        return once.toDF(*names)
     ids = common.bounded(again.select("keep_id").distinct())
     first = docs.join(ids, docs[key].eqNullSafe(F.col("keep_id")), "left_semi")
     first = _with_sid(first, text, size, name)
     same = (F.col(name) == F.col("odd_sid")) & first[key].eqNullSafe(F.col("keep_id"))
     first = first.join(common.bounded(again), same, "left_semi").dropDuplicates([key, name])
-    return once.unionByName(first.drop(name))
+    return once.unionByName(first.drop(name)).toDF(*names)
 
 
 def _with_sid(docs: DataFrame, text: str, size: int, name: str) -> DataFrame:
@@ -476,7 +615,7 @@ def components(
     """
     threshold = Threshold(percent)
     source = _source(docs, key, text)
-    sketched = common.written(sketches(source, size, threshold), "sketches")
+    sketched = common.written(sketches(source, size), "sketches")
     found = find_links(sketched, source, size, threshold)
     rows = sketched.select("doc_id", "n_shingles", "sid")
     classes = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
