@@ -128,7 +128,10 @@ def test_linked_sets_share_a_block():
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize("most", [0, graph.TASK_EDGES])
+def test_components(spark, seed, most, monkeypatch):
+    """By joins and in one task."""
+    monkeypatch.setattr(graph, "TASK_EDGES", most)
     rng = random.Random(seed)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
     root = {n: n for e in edges for n in e}
@@ -144,6 +147,8 @@ def test_components(spark, seed):
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
     expected = {n: find(n) for e in edges if e[0] != e[1] for n in e}
     assert {r.node: r.component for r in got} == expected and len(got) == len(expected)
+    none = graph.components(spark.createDataFrame([(1, 1)], "a long, b long"))
+    assert none.isEmpty() and none.columns == ["node", "component"]
 
 
 @pytest.mark.parametrize("top", [3, 1 << 20, 1 << 52])

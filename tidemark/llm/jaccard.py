@@ -463,10 +463,13 @@ def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame
     A cluster is what has one leader, or one group of it.
     """
     led = members.filter("sid <> lead").select(F.col(cluster).alias("cluster"), "lead", "sid", "weight").distinct()
-    own = sets.select("sid", F.col("tokens").alias("own"))
-    lead = sets.select(F.col("sid").alias("lead"), F.col("tokens").alias("theirs"))
+    led = common.written(led, "led")
+    # Only sets of these members and their leaders are moved.
+    own = sets.select("sid", F.col("tokens").alias("own")).join(common.bounded(led), "sid")
+    leads = common.bounded(led.select("lead").distinct())
+    lead = sets.select(F.col("sid").alias("lead"), F.col("tokens").alias("theirs")).join(leads, "lead", "left_semi")
     apart = F.concat(F.array_except("own", "theirs"), F.array_except("theirs", "own"))
-    both = led.join(own, "sid").join(lead, "lead")
+    both = own.join(lead, "lead")
     rows = both.select("cluster", "sid", "weight", F.size("own").alias("n"), apart.alias("apart"))
     rows = common.written(rows, "apart")
     held = rows.select("cluster", F.explode("apart").alias("token")).groupBy("cluster", "token").agg(

@@ -99,22 +99,6 @@ def _unpacked(rows, dimension: int) -> np.ndarray:
     return out
 
 
-def _hook(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Join the trees of linked nodes; each node's parent becomes the root of its tree."""
-    while True:
-        left, right = parent[a], parent[b]
-        differ = left != right
-        if not differ.any():
-            return
-        a, b, left, right = a[differ], b[differ], left[differ], right[differ]
-        np.minimum.at(parent, np.maximum(left, right), np.minimum(left, right))
-        while True:
-            up = parent[parent]
-            if (up == parent).all():
-                break
-            parent[:] = up
-
-
 def _linked(homes: pd.DataFrame, guests: pd.DataFrame, grid: Grid, dimension: int, most: float, threshold: float):
     """Counts and a forest of the links between the vectors of a block and its visitors."""
     names = ["a", "b", "links"]
@@ -145,7 +129,7 @@ def _linked(homes: pd.DataFrame, guests: pd.DataFrame, grid: Grid, dimension: in
         alone = left[x, guest_left[q]] + right[x, guest_right[q]] > most
         alone &= (guest_left[q] != own_left) | (guest_right[q] != own_right)
         np.add.at(counts, x[alone], asked_n[q[alone]])
-        _hook(parent, nodes[q], x)
+        graph.join(parent, nodes[q], x)
     ids = held_id + asked_id
     child, some = np.flatnonzero(parent != np.arange(len(parent))), np.flatnonzero(counts)
     return pd.DataFrame(
