@@ -31,7 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = store.new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that ``written`` made, once no step to come reads them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame) -> DataFrame:

@@ -349,9 +349,13 @@ def shared_blocks(source: DataFrame, size: int, threshold: Threshold, shingles:
     sets = found.filter("key is null").select("chunk", "owner", "sid")
     postings = found.filter("key is not null").select("key", "chunk", "owner").join(sets, ["chunk", "owner"])
     postings = common.written(postings.select("key", "sid").distinct(), "postings")
+    common.dropped(found)
     # Copies of one set in several chunks share its keys with nobody else.
     blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    return postings.join(blocks.filter("low < high").select("key"), "key", "left_semi")
+    blocks = blocks.filter("low < high").select("key")
+    shared = common.written(postings.join(blocks, "key", "left_semi"), "members")
+    common.dropped(postings)
+    return shared
 
 
 def whole_sets(source: DataFrame, size: int) -> DataFrame:
@@ -443,7 +447,9 @@ def _open(members: DataFrame, links: _Links) -> DataFrame:
     groups = groups.filter("first < last").select(
         "key", "classes", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_part")
     )
-    return common.written(labelled.join(groups, "key"), "open")
+    found = common.written(labelled.join(groups, "key"), "open")
+    common.dropped(labelled)
+    return found
 
 
 def _pairs(members: DataFrame, most: int) -> DataFrame:
@@ -471,7 +477,7 @@ def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame
     apart = F.concat(F.array_except("own", "theirs"), F.array_except("theirs", "own"))
     both = own.join(lead, "lead")
     rows = both.select("cluster", "sid", "weight", F.size("own").alias("n"), apart.alias("apart"))
-    rows = common.written(rows, "apart")
+    rows = first = common.written(rows, "apart")
     held = rows.select("cluster", F.explode("apart").alias("token")).groupBy("cluster", "token").agg(
         F.count("*").alias("n")
     )
@@ -482,7 +488,9 @@ def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame
     none = F.array().cast("array<bigint>")
     rows = rows.join(turned, "cluster", "left").withColumn("turned", F.coalesce("turned", none))
     apart = F.concat(F.array_except("apart", "turned"), F.array_except("turned", "apart"))
-    return common.written(rows.withColumn("apart", apart).drop("turned"), "apart")
+    found = common.written(rows.withColumn("apart", apart).drop("turned"), "apart")
+    common.dropped(led, first)
+    return found
 
 
 def _core(rows: DataFrame, threshold: Threshold) -> DataFrame:
@@ -521,9 +529,9 @@ def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
 def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Threshold) -> DataFrame | None:
     """Components of set ids that links connect: ``node``, ``component``; None without links."""
     shingles = sketched.agg(F.sum("n_shingles")).first()[0] or 0
-    members = common.written(shared_blocks(source, size, threshold, shingles), "members")
-    weights = common.written(members.groupBy("sid").agg(F.count("*").alias("weight")), "weights")
-    members = members.join(weights, "sid")
+    blocks = shared_blocks(source, size, threshold, shingles)
+    weights = common.written(blocks.groupBy("sid").agg(F.count("*").alias("weight")), "weights")
+    members = blocks.join(weights, "sid")
     sets = _candidates(weights.select("sid"), sketched, source, size)
     links = _Links(sets, threshold)
 
@@ -532,14 +540,22 @@ def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Thr
     best = members.join(leaders, "key").groupBy("sid").agg(F.max("lead").alias("lead"))
     links.compare(best.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).filter("a <> b"))
     members, cluster, most = _open(members, links), "lead", SMALL_GROUP
+    common.dropped(blocks)
     while not members.isEmpty():
         links.compare(_pairs(members, most))
-        members = _open(members.filter(F.col("classes") > most), links)
+        still = _open(members.filter(F.col("classes") > most), links)
+        common.dropped(members)
+        members = still
         if members.isEmpty():
             break
         rows = _differences(members, sets, cluster)
+        common.dropped(members)
         links.compare(_core(rows, threshold))
-        members, cluster, most = _open(_regrouped(rows, threshold), links), "key", SMALL_REGROUP
+        regrouped = _regrouped(rows, threshold)
+        common.dropped(rows)
+        members, cluster, most = _open(regrouped, links), "key", SMALL_REGROUP
+        common.dropped(regrouped)
+    common.dropped(members, sets, weights)
     return links.components
 
 
@@ -550,8 +566,11 @@ def _candidates(ids: DataFrame, sketched: DataFrame, source: DataFrame, size: in
     chosen = source.join(common.bounded(docs), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     # Keys may repeat: what else they bring in is taken out again.
     sets = common.written(whole_sets(chosen, size).join(common.bounded(ids), "sid", "left_semi"), "sets")
+    common.dropped(docs)
     if sets.count() > ids.count():
-        sets = common.written(sets.dropDuplicates(["sid"]), "sets")
+        several = sets
+        sets = common.written(several.dropDuplicates(["sid"]), "sets")
+        common.dropped(several)
     return sets
 
 
