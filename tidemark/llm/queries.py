@@ -15,6 +15,7 @@ from tidemark.llm import (
     hard_negatives,
     jaccard,
     language,
+    lines,
     near_vectors,
     packing,
     pii,
@@ -45,6 +46,12 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(encoded, path))
 
 
+@query("op3_line_dedup")
+def op3_line_dedup(spark, sf_dir):
+    """All documents without lines that an earlier line is within one edit of."""
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op4_pii")
 def op4_pii(spark, sf_dir):
     """Spans of personal data in every text."""

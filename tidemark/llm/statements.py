@@ -77,6 +77,26 @@ _VECTORS = """SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM
 
 def statements() -> dict[str, str]:
     return {
+        # Lines within one edit agree before or behind the middle of what they have in common.
+        "op3_line_dedup": """
+          WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+          cut AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
+            unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs WHERE text <> ''),
+          placed AS (SELECT *, {'a': doc_id IS NULL, 'b': coalesce(doc_id, 0), 'c': pos} AS place FROM cut),
+          firsts AS (SELECT line, min(place) AS first FROM placed WHERE length(line) >= 10 GROUP BY line),
+          halved AS (SELECT line, first, r, line[1:r // 2] AS head, line[length(line) - (r - r // 2) + 1:] AS tail
+            FROM (SELECT line, first, unnest([length(line), length(line) - 1]) AS r FROM firsts)),
+          near AS (SELECT x.line, y.line AS other, y.first FROM halved x JOIN halved y
+              ON x.r = y.r AND x.head = y.head AND y.first < x.first
+            UNION SELECT x.line, y.line, y.first FROM halved x JOIN halved y
+              ON x.r = y.r AND x.tail = y.tail AND y.first < x.first),
+          earliest AS (SELECT line, min(first) AS earliest FROM (SELECT line, first FROM firsts
+            UNION ALL SELECT line, first FROM near WHERE levenshtein(line, other) <= 1) GROUP BY line),
+          kept AS (SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS body FROM placed LEFT JOIN earliest USING (line)
+            WHERE earliest IS NULL OR place <= earliest GROUP BY rid),
+          counted AS (SELECT doc_id, CASE WHEN text <> '' THEN len(string_split(text, chr(10))) ELSE 0 END AS n_lines,
+            coalesce(body, '') AS body FROM docs LEFT JOIN kept USING (rid))
+          SELECT doc_id, n_lines, sha256(body) AS kept_sha256, length(body) AS n_kept_chars FROM counted""",
         "op4_pii": _personal_data(),
         "op5_exact_dedup": f"""
           WITH folded AS (SELECT doc_id, {_folded('text')} AS body FROM documents)
