@@ -21,29 +21,44 @@ def test_grammar():
     assert clause("a nice day") == 0
     # A beginning counts for every word it starts; a whole word only for itself.
     assert clause("blarfish") == plain and clause("gronkish") == 0
-    # A threat counts when somebody is meant.
-    assert clause("kill the lights") == 0 < clause("you they will kill")
     # Negation ends after a few words.
     assert clause("not one two three gronk") == plain
 
 
+def test_threats():
+    threats = ["i will kill you", "i am going to hurt you", "kill him now", "ich werde dich töten", "je vais te tuer"]
+    # No object, no intent, or the target is the subject.
+    others = ["they shoot films", "you kill", "kill the lights", "you they will kill", "you will burn", "he hurt them"]
+    assert len({clause(text) for text in threats}) == 1 and clause(threats[0]) > 0
+    assert all(clause(text) == 0 for text in others)
+    assert 0 < clause("i will not kill you") < clause(threats[0]) > clause("he said i will kill you") > 0
+    assert clause("i will kill one two three four you") == 0
+
+
+def test_both_directions():
+    plain, aimed = clause("what a gronk"), clause("you gronk")
+    assert clause("what a gronk you are") == aimed > plain
+    assert clause("a gronk one two three four you") == plain == clause("you one two three four gronk")
+    assert clause("a gronk it is not") == clause("not a gronk") < plain
+    assert clause("gronk one two three not") == plain
+
+
 def test_composition_by_hand():
-    """The table gives what the parts give one after the other."""
-    parts = [
-        toxicity._reach("n", "-", toxicity.NEGATION_REACH),
-        toxicity._reported(),
-        toxicity._reach("t", "@", toxicity.TARGET_REACH),
-        toxicity._factors(),
-    ]
+    """The tables give what the parts give one after the other."""
     rng = random.Random(1)
     for _ in range(200):
-        states, state = [p.start for p in parts], toxicity.START
-        for symbol in rng.choices(toxicity.SYMBOLS, k=12):
-            out = symbol
-            for i, part in enumerate(parts):
-                out, factor, states[i] = part.step(states[i], out)
-            got, state = toxicity.GRAMMAR[state][symbol]
-            assert got == pytest.approx(factor)
+        symbols = rng.choices(toxicity.SYMBOLS, k=12)
+        marked, state, at = [], toxicity.ONWARD.start, 0
+        for symbol in symbols:
+            out, _, state = toxicity.ONWARD.step(state, symbol)
+            assert out == toxicity.MARKS[at][symbol][0]
+            at = toxicity.MARKS[at][symbol][2]
+            marked.append(out)
+        state, at = toxicity.BACKWARD.start, 0
+        for symbol in reversed(marked):
+            _, factor, state = toxicity.BACKWARD.step(state, symbol)
+            _, got, at = toxicity.FACTORS[at][symbol]
+            assert got == pytest.approx(factor) and (symbol[0] in "ih" or not factor)
 
 
 def test_whole_text_is_measured():

@@ -1,13 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols: insult, threat, target, negation, reporting word, quotation mark
-or other. Small transducers each rewrite the symbols with marks: one marks what a
-negation reaches, one what is said by somebody else, one what is aimed at somebody. They
-are composed with a last one that turns marked symbols into factors. Only clauses with
-an insult or a threat are run; a clause scores the sum of its words' weights times
-their factors, so a bare word weighs less than one aimed at somebody, and a denied or
-quoted one less than a plain one. The strongest clause, the sum over clauses and their
-number give the probability by a logistic curve.
+Words become symbols: insult, threatening verb, target, intent, negation, reporting word,
+quotation mark or other. Small transducers each rewrite the symbols with marks: what a
+negation reaches, what is said by somebody else, what is aimed at somebody, what is
+intended. One composition reads a clause from the left, another reads what that wrote from the
+right, so that negations, targets and objects count on both sides; it ends in transducers
+for insults and for threats, which give factors. A threat takes an intent (or stands first,
+as an order), a verb and an object; a target before the verb is its subject and does not count.
+Only clauses with an insult or a threatening verb are run; a clause scores the sum of its
+words' weights times their factors, so a bare insult weighs less than one aimed at somebody,
+and a denied or quoted one less than a plain one. The strongest clause, the sum over clauses
+and their number give the probability by a logistic curve.
 
 Insults are learned from labelled rows: whole words and word beginnings that stand in
 far more toxic than other texts. Counts go over all labelled rows; the logistic curve
@@ -46,7 +49,8 @@ FEATURES = 200_000
 # Least log odds of an insult: twenty times as frequent in toxic texts.
 LEAST_WEIGHT = 3.0
 PREFIXES = (4, 5, 6)
-THREAT_WEIGHT = 1.0
+# A threat weighs what the weakest insult does.
+THREAT_WEIGHT = LEAST_WEIGHT
 CLAUSE_CAP = 10.0
 
 # Words of the grammar, in English, German, French and Spanish.
@@ -54,6 +58,12 @@ TARGETS = frozenset(
     "you your yours yourself u ur he she they them his her their him du dich dir dein deine ihr euch euer "
     "sie er tu te toi ton ta vous votre il elle ils elles usted ustedes tú tu te vosotros él ella ellos".split()
 )
+# Of these, those that stand before their verb as its object.
+CLITICS = frozenset("dich dir euch ihn te os lo los".split())
+INTENTS = frozenset(
+    "will ll going gonna shall must should want wanna let werde werden wird will muss soll sollte lass lasst "
+    "wollen vais va allons veux dois voy vas vamos quiero debo".split()
+)
 NEGATIONS = frozenset(
     "not no never neither nor without isn aren wasn weren don doesn didn nicht kein keine keinen nie niemals "
     "ohne ne pas jamais sans aucun nunca jamás tampoco sin ningún".split()
@@ -73,8 +83,10 @@ BREAKS = ".!?;:\n|"
 _BREAK = re.compile("[" + re.escape(BREAKS) + "]")
 _QUOTES = frozenset('"“”«»„')
 
-# Symbols: i insult, h threat, t target, n negation, r reporting word, q quotation mark, o other.
-SYMBOLS = "ihtnrqo"
+# Symbols: i insult, h threatening verb, t target, c pronoun that is an object before its verb too,
+# m intent, n negation, r reporting word, q quotation mark, o other.
+SYMBOLS = "ihtcmnrqo"
+NEGATION_REACH, TARGET_REACH, INTENT_REACH, OBJECT_REACH = 3, 4, 4, 3
 
 
 @dataclass
@@ -85,25 +97,31 @@ class Transducer:
     step: Callable[[object, str], tuple[str, float, object]]
 
 
-def compose(first: Transducer, second: Transducer) -> Transducer:
-    """The second reads what the first writes; factors multiply."""
+def compose(*parts: Transducer) -> Transducer:
+    """Each reads what the one before it writes; factors multiply."""
 
-    def step(state, symbol):
-        middle, one, left = first.step(state[0], symbol)
-        out, two, right = second.step(state[1], middle)
-        return out, one * two, (left, right)
+    def step(states, symbol):
+        factor, after = 1.0, []
+        for part, state in zip(parts, states):
+            symbol, one, state = part.step(state, symbol)
+            factor *= one
+            after.append(state)
+        return symbol, factor, tuple(after)
 
-    return Transducer((first.start, second.start), step)
+    return Transducer(tuple(part.start for part in parts), step)
 
 
-def _reach(marker: str, mark: str, words: int) -> Transducer:
-    """Marks insults and threats within so many words after a marker."""
+def _reach(markers: str, mark: str, words: int, marked: str = "ih", start: int = 0) -> Transducer:
+    """Marks symbols within so many words after a marker, or after the start of the clause."""
 
     def step(left, symbol):
-        left = words if symbol[0] == marker else max(0, left - 1)
-        return symbol + mark if left and symbol[0] in "ih" else symbol, 1.0, left
+        if symbol[0] == "q":
+            return symbol, 1.0, left
+        if symbol[0] in markers:
+            return symbol, 1.0, words
+        return symbol + mark if left and symbol[0] in marked else symbol, 1.0, max(0, left - 1)
 
-    return Transducer(0, step)
+    return Transducer(start, step)
 
 
 def _reported() -> Transducer:
@@ -119,41 +137,77 @@ def _reported() -> Transducer:
     return Transducer((False, False), step)
 
 
-def _factors() -> Transducer:
-    """What a marked symbol is worth. A threat aimed at nobody is worth nothing."""
+def _insult() -> Transducer:
+    """An insult weighs more if somebody is meant, on whichever side of it."""
+
+    def step(state, symbol):
+        if symbol[0] != "i":
+            return symbol, 1.0, state
+        return symbol, 1.25 if "@" in symbol else 1.0, state
+
+    return Transducer(None, step)
+
+
+def _threat() -> Transducer:
+    """A verb is a threat only with an intent and an object; a target before it is its subject."""
+
+    def step(state, symbol):
+        if symbol[0] != "h":
+            return symbol, 1.0, state
+        return symbol, 1.25 if "m" in symbol and "*" in symbol else 0.0, state
+
+    return Transducer(None, step)
+
+
+def _softened() -> Transducer:
+    """What is denied or said by somebody else weighs less; all other symbols weigh nothing."""
 
     def step(state, symbol):
         if symbol[0] not in "ih":
             return symbol, 0.0, state
-        factor = 1.25 if "@" in symbol else float(symbol[0] == "i")
-        factor *= 0.4 if "-" in symbol else 1.0
-        factor *= 0.6 if "'" in symbol else 1.0
-        return symbol, factor, state
+        return symbol, (0.4 if "-" in symbol else 1.0) * (0.6 if "'" in symbol else 1.0), state
 
     return Transducer(None, step)
 
 
-def table_of(machine: Transducer) -> tuple[list[dict[str, tuple[float, int]]], int]:
-    """All states that can be reached, numbered: factor and next state for each symbol."""
+# Read from the left. Intent is a word of intent or, for an order, the start of the clause.
+ONWARD = compose(
+    _reach("n", "-", NEGATION_REACH),
+    _reported(),
+    _reach("tc", "@", TARGET_REACH, "i"),
+    _reach("m", "m", INTENT_REACH, "h", start=1),
+    _reach("c", "*", OBJECT_REACH, "h"),
+)
+# Read from the right, over what the first has written.
+BACKWARD = compose(
+    _reach("n", "-", NEGATION_REACH),
+    _reach("tc", "@", TARGET_REACH, "i"),
+    _reach("tc", "*", OBJECT_REACH, "h"),
+    _insult(),
+    _threat(),
+    _softened(),
+)
+
+
+def table_of(machine: Transducer, symbols: list[str]) -> list[dict[str, tuple[str, float, int]]]:
+    """All states that can be reached, numbered from the start: output, factor and next state by symbol."""
     numbers, table = {machine.start: 0}, []
     todo = [machine.start]
     while todo:
         state = todo.pop(0)
         row = {}
-        for symbol in SYMBOLS:
-            _, factor, after = machine.step(state, symbol)
+        for symbol in symbols:
+            out, factor, after = machine.step(state, symbol)
             if after not in numbers:
                 numbers[after] = len(numbers)
                 todo.append(after)
-            row[symbol] = factor, numbers[after]
+            row[symbol] = out, factor, numbers[after]
         table.append(row)
-    return table, 0
+    return table
 
 
-NEGATION_REACH, TARGET_REACH = 3, 4
-GRAMMAR, START = table_of(
-    compose(compose(compose(_reach("n", "-", NEGATION_REACH), _reported()), _reach("t", "@", TARGET_REACH)), _factors())
-)
+MARKS = table_of(ONWARD, list(SYMBOLS))
+FACTORS = table_of(BACKWARD, sorted({out for row in MARKS for out, _, _ in row.values()}))
 
 
 def features_of(word: str) -> list[str]:
@@ -190,16 +244,24 @@ class Model:
             return "h", THREAT_WEIGHT
         if word in NEGATIONS:
             return "n", 0.0
+        if word in CLITICS:
+            return "c", 0.0
         if word in TARGETS:
             return "t", 0.0
+        if word in INTENTS:
+            return "m", 0.0
         return ("r" if word in REPORTING else "o"), 0.0
 
     def clause(self, text: str) -> float:
-        """The composed grammar run over one clause in lower case."""
-        state, score = START, 0.0
+        """The composed grammar run over one clause in lower case, onward and then backward."""
+        state, read = 0, []
         for token in _TOKEN.findall(text):
             symbol, weight = ("q", 0.0) if token in _QUOTES else self.symbol(token)
-            factor, state = GRAMMAR[state][symbol]
+            marked, _, state = MARKS[state][symbol]
+            read.append((marked, weight))
+        state, score = 0, 0.0
+        for marked, weight in reversed(read):
+            _, factor, state = FACTORS[state][marked]
             score += factor * weight
         return score
 
