@@ -15,6 +15,7 @@ from tidemark.llm import (
     hard_negatives,
     jaccard,
     language,
+    licenses,
     lines,
     near_vectors,
     packing,
@@ -46,6 +47,12 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(encoded, path))
 
 
+@query("op2_licenses")
+def op2_licenses(spark, sf_dir):
+    """License notices in every whole text."""
+    return licenses.report(licenses.find(table(spark, sf_dir, "documents")))
+
+
 @query("op3_line_dedup")
 def op3_line_dedup(spark, sf_dir):
     """All documents without lines that an earlier line is within one edit of."""
