@@ -93,6 +93,14 @@ def test_one_edit_anywhere(spark):
             assert keys[0] & keys[1], (long, short)
 
 
+def test_keys_of_many_lines():
+    rng = random.Random(5)
+    held = ["".join(rng.choices("abé🦆", k=rng.choice([10, 11, 17, 33, 900]))) for _ in range(50)]
+    for parts in (lines.HALVES, lines.SEGMENTS):
+        assert lines.coarse_of(held, parts).to_pylist() == [lines.Variants(line).coarse(parts).tolist() for line in held]
+        assert lines.coarse_of([], parts).to_pylist() == []
+
+
 def test_two_edits_stay(spark):
     line = "the quick brown fox jumps over the lazy dog"
     check(spark, [(1, line), (2, line.replace("quick", "quack")), (3, line.replace("quick", "quaek")), (4, line[1:-1])])

@@ -94,33 +94,53 @@ class Variants:
         return _mixed(keys ^ _mixed(sizes)).view(np.int64), at
 
 
+def coarse_of(lines: list[str], parts: int) -> pa.ListArray:
+    """``Variants.coarse`` of many lines at once: sums over all of them, keys by differences."""
+    sizes = np.array([len(line) for line in lines], np.int64)
+    starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    values = _mixed(codes)
+    places = np.arange(len(codes)) - np.repeat(starts[:-1], sizes)
+    weights = _mixed(np.arange(int(sizes.max(initial=0)) + 1))
+    zero = np.zeros(1, np.uint64)
+    whole = np.concatenate([zero, np.cumsum(values * weights[places + 1], dtype=np.uint64)])
+    moved = np.concatenate([zero, np.cumsum(values * weights[places], dtype=np.uint64)])
+    first, last = starts[:-1, None], starts[1:, None]
+    keys = []
+    for lost, sums in enumerate((whole, moved)):
+        left = sizes[:, None] - lost
+        cuts = first + np.arange(parts + 1) * left // parts
+        rest = (whole[cuts[:, :-1]] - whole[first]) + (sums[last] - sums[cuts[:, 1:] + lost])
+        keys.append(_mixed(rest ^ _mixed(left * parts * 2 + np.arange(parts))))
+    flat = np.concatenate(keys, axis=1).view(np.int64).ravel()
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * 2 * parts, pa.int32()), pa.array(flat))
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a line that takes part: its id, place and keys of halves."""
-    for batch in common.steps(batches, 1):
-        docs, ids, places, keys = [], [], [], []
+    for batch in common.steps(batches, 1, common.STEP_BYTES // 2):
+        docs, places, held = [], [], []
         for row, text in enumerate(batch.column(1).to_pylist()):
             for place, line in enumerate((text or "").split("\n")):
                 if len(line) >= LEAST:
                     docs.append(row)
-                    ids.append(line_id(line))
                     places.append(place)
-                    keys.append(Variants(line).coarse(HALVES))
-        kind = pa.list_(pa.int64())
+                    held.append(line)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids, pa.binary()),
+                pa.array([line_id(line) for line in held], pa.binary()),
                 batch.column(0).take(pa.array(docs, pa.int64())),
                 pa.array(places, pa.int32()),
-                pa.array(keys, kind),
+                coarse_of(held, HALVES),
             ],
             ["id", "doc", "line", "keys"],
         )
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.steps(batches, 1):
-        keys = [Variants(line).coarse(SEGMENTS) for line in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["id", "keys"])
+    for batch in common.steps(batches, 1, common.STEP_BYTES // 2):
+        keys = coarse_of(batch.column(1).to_pylist(), SEGMENTS)
+        yield pa.RecordBatch.from_arrays([batch.column(0), keys], ["id", "keys"])
 
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
