@@ -56,6 +56,11 @@ def test_wordings_with_changes(name):
     assert names(" ".join(w if rng.random() < 0.6 else "other" for w in words)) == []
 
 
+def test_every_template_has_a_cue():
+    assert all(licenses._CUE.search(text) for _, text in licenses.TEMPLATES)
+    assert not licenses._CUE.search("sie kam mit der Bahn, cc an alle")
+
+
 def test_span_by_brute_force():
     rng = np.random.default_rng(2)
 

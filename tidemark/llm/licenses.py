@@ -95,9 +95,10 @@ TEMPLATES = [(name, text) for name, text in WORDINGS.items()] + [
     (name, f"under {text}") for name, texts in NAMES.items() for text in texts
 ]
 
+# Every template holds one of these; short names count only behind "under".
 _CUE = re.compile(
-    r"licen[cs]|redistribut|permission|copyright|public domain|\bunder\s+(?:the\s+)?[al]?gpl"
-    r"|\bcc0?[ -]|\bmpl\b|\bapache\b|\bmit\b",
+    r"licen[cs]|redistribut|permission|copyright|public domain"
+    r"|\bunder\W+(?:the\W+)?(?:mit|apache|gnu|[al]?gpl|mpl|cc|bsd|isc)",
     re.I,
 )
 _CUT = re.compile(r"\n|(?<=[.!?;:])[ \t]+")
@@ -278,7 +279,10 @@ def find(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``key`` and ``notices``, an array of (start, stop, license, saved, changes), for every row."""
+    """``key`` and ``notices``, an array of (start, stop, license, saved, changes), for every row.
+
+    Templates of the caller's own must hold a cue word, as those of the module do.
+    """
     source = docs.select(F.col(key).alias(key), F.col(text).alias("_text"))
     kind = "start long, stop long, license string, saved double, changes string"
     templates = TEMPLATES if templates is None else templates
