@@ -127,6 +127,36 @@ def test_linked_sets_share_a_block():
             assert shared, (n, more)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_the_keys_that_they_need(percent):
+    """Differences on both sides, up to the most that still link; unrelated sets share none."""
+    rng = np.random.default_rng(6)
+    threshold = jaccard.Threshold(percent)
+    for n in [*range(1, 40), 64, 100, 333, 1000, 4000]:
+        tokens = np.unique(jaccard.mixed(rng.integers(0, 2**62, 2 * n + 2).astype(np.uint64)))
+        rng.shuffle(tokens)
+        for gone in sorted({0, n // 40, n // 20, n // 10, n // 5}):
+            for more in sorted({0, n // 40, n // 20, n // 10, n // 4}):
+                a, b = np.sort(tokens[:n]), np.sort(tokens[gone : n + more])
+                union = len(np.union1d(a, b))
+                if not len(b) or 100 * len(np.intersect1d(a, b)) < percent * union:
+                    continue
+                shared = len(np.intersect1d(jaccard.block_keys(a, threshold), jaccard.block_keys(b, threshold)))
+                assert shared >= max(threshold.need(len(a)), threshold.need(len(b))) > 0, (n, gone, more)
+
+
+def test_likely_sets(spark):
+    """Sets that share too few keys go, and then those that shared their keys with them only."""
+    blocks = [(k, s) for k in range(3) for s in (1, 2)] + [(9, 2), (9, 3), (8, 3), (8, 4), (7, 4), (7, 5)]
+    needs = [(s, 2) for s in (1, 2, 3, 4)] + [(5, 2), (5, 2), (6, 1)]
+    rows, weights = jaccard.likely(
+        jaccard.common.written(spark.createDataFrame(blocks, "key long, sid long"), "members"),
+        spark.createDataFrame(needs, "sid long, share long"),
+    )
+    assert sorted(map(tuple, rows.collect())) == [(k, s) for k in range(3) for s in (1, 2)]
+    assert {1, 2} <= {r.sid for r in weights.collect()} and 5 not in {r.sid for r in weights.collect()}
+
+
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("most", [0, graph.TASK_EDGES])
 def test_components(spark, seed, most, monkeypatch):

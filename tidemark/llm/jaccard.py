@@ -47,9 +47,9 @@ from tidemark.llm import common, graph
 
 # Upper size of a band over its lower one.
 BAND_RATIO = 1.25
-# Blocks beyond those that linked sets need: with up to so many empty blocks a set
-# still shares one that is not empty.
-SPARE_BLOCKS = 2
+# Blocks beyond those that linked sets can differ in: so many, and one for each SPARE_SHARE
+# of these. Linked sets share more blocks than that, unrelated ones with a common passage few.
+SPARE_BLOCKS, SPARE_SHARE = 2, 4
 # Keys that a task sorts at a time, sets among them at most, and keys in one range.
 CHUNK_KEYS, CHUNK_SETS, RANGE_KEYS = 1 << 20, 1 << 16, 2 << 20
 # Words of the fixed sketch that pairs are screened with.
@@ -162,9 +162,24 @@ class Threshold:
         """Largest size in a band."""
         return math.ceil(BAND_RATIO ** (band + 1)) - 1
 
+    def spare(self, band: int) -> int:
+        """Blocks that linked sets of a band share beyond the first."""
+        return SPARE_BLOCKS + self.most_apart(self.top(band), self.top(band)) // SPARE_SHARE
+
     def blocks(self, band: int) -> int:
         """More than the most shingles that linked sets of a band can differ in."""
-        return 1 + SPARE_BLOCKS + self.most_apart(self.top(band), self.top(band))
+        return 1 + self.spare(band) + self.most_apart(self.top(band), self.top(band))
+
+    def empty(self, band: int) -> int:
+        """With up to so many empty blocks a set gives no keys for them."""
+        return self.spare(band) // 2
+
+    def need(self, n: int) -> int:
+        """Keys that a set of this size has in common with any set that it links with, at least."""
+        return min(
+            self.blocks(band) - self.most_apart(n, min(self.top(band), 100 * n // self.percent)) - self.empty(band)
+            for band in self.bands(n)
+        )
 
 
 def parity(tokens: np.ndarray, words: int) -> np.ndarray:
@@ -177,8 +192,8 @@ def parity(tokens: np.ndarray, words: int) -> np.ndarray:
 def block_keys(tokens: np.ndarray, threshold: Threshold) -> np.ndarray:
     """A key for the blocks of the set's sketch in each of its bands.
 
-    A linked pair has more equal blocks than ``SPARE_BLOCKS``; a set with no more empty
-    blocks than that need not look for others with the same empty ones.
+    A linked pair has more equal blocks than the band has spare ones; a set with no more
+    empty blocks than half of those need not look for others with the same empty ones.
     """
     out = []
     hashes = mixed(tokens, 7)
@@ -189,7 +204,7 @@ def block_keys(tokens: np.ndarray, threshold: Threshold) -> np.ndarray:
         np.bitwise_xor.at(sketch, block, hashes)
         key = mixed(mixed(np.arange(n, dtype=np.uint64) + np.uint64(band << 40)) ^ sketch, 3)
         empty = np.bincount(block, minlength=n) == 0
-        out.append(key if empty.sum() > SPARE_BLOCKS else key[~empty])
+        out.append(key if empty.sum() > threshold.empty(band) else key[~empty])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -201,8 +216,8 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.sha256(tokens.tobytes()).digest()[:8], "little", signed=True)
 
 
-def sketches(source: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and the id ``sid`` of the set."""
+def sketches(source: DataFrame, size: int, threshold: Threshold) -> DataFrame:
+    """``doc_id``, ``n_shingles``, the id ``sid`` of the set and the keys it needs to ``share`` to link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.steps(batches, 1):
@@ -212,12 +227,13 @@ def sketches(source: DataFrame, size: int) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([threshold.need(len(s)) if len(s) else None for s in sets], pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "sid"],
+                ["doc_id", "n_shingles", "sid", "share"],
             )
 
     kind = dict(source.dtypes)["doc_id"]
-    return common.mapped(source, run, f"doc_id {kind}, n_shingles long, sid long")
+    return common.mapped(source, run, f"doc_id {kind}, n_shingles long, sid long, share long")
 
 
 def coded(values: np.ndarray) -> bytes:
@@ -351,13 +367,41 @@ def shared_blocks(source: DataFrame, size: int, threshold: Threshold, shingles:
     postings = common.written(postings.select("key", "sid").distinct(), "postings")
     common.dropped(found)
     # Copies of one set in several chunks share its keys with nobody else.
-    blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    blocks = blocks.filter("low < high").select("key")
-    shared = common.written(postings.join(blocks, "key", "left_semi"), "members")
+    shared = common.written(_several(postings), "members")
     common.dropped(postings)
     return shared
 
 
+def _several(postings: DataFrame) -> DataFrame:
+    """The rows of keys that more than one set has."""
+    blocks = postings.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+    return postings.join(blocks.filter("low < high").select("key"), "key", "left_semi")
+
+
+def likely(blocks: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written ``key, sid`` and ``sid, weight`` without sets that share too few keys to link with any other.
+
+    What goes takes keys from those that stay, so this is repeated while it removes more
+    than a tenth of the sets. A set with a link never goes: its partner has as many of its keys.
+    """
+    needs = sketched.join(common.bounded(blocks.select("sid").distinct()), "sid", "left_semi")
+    needs = common.written(needs.groupBy("sid").agg(F.first("share").alias("share")), "needs")
+    before = needs.count()
+    while True:
+        weights = blocks.groupBy("sid").agg(F.count("*").alias("weight"))
+        enough = weights.join(needs, "sid").filter("weight >= share").select("sid", "weight")
+        weights = common.written(enough, "weights")
+        rows = blocks.join(common.bounded(weights.select("sid")), "sid", "left_semi")
+        left = common.written(_several(rows), "members")
+        common.dropped(blocks)
+        blocks, after = left, weights.count()
+        if 10 * after >= 9 * before:
+            common.dropped(needs)
+            return blocks, weights
+        before = after
+        common.dropped(weights)
+
+
 def whole_sets(source: DataFrame, size: int) -> DataFrame:
     """``sid``, its shingle hashes ``tokens`` and the fixed sketch ``screen``."""
 
@@ -529,8 +573,7 @@ def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
 def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Threshold) -> DataFrame | None:
     """Components of set ids that links connect: ``node``, ``component``; None without links."""
     shingles = sketched.agg(F.sum("n_shingles")).first()[0] or 0
-    blocks = shared_blocks(source, size, threshold, shingles)
-    weights = common.written(blocks.groupBy("sid").agg(F.count("*").alias("weight")), "weights")
+    blocks, weights = likely(shared_blocks(source, size, threshold, shingles), sketched)
     members = blocks.join(weights, "sid")
     sets = _candidates(weights.select("sid"), sketched, source, size)
     links = _Links(sets, threshold)
@@ -587,7 +630,7 @@ def keep(
     key, text = (docs.columns[place] for place in places)
     threshold = Threshold(percent)
     source = _source(docs, key, text)
-    sketched = common.written(sketches(source, size), "sketches")
+    sketched = common.written(sketches(source, size, threshold), "sketches")
     found = find_links(sketched, source, size, threshold)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least")
     classes = sketched.filter("sid is not null").groupBy("sid").agg(least, F.count("*").alias("rows"))
@@ -637,7 +680,7 @@ def components(
     """
     threshold = Threshold(percent)
     source = _source(docs, key, text)
-    sketched = common.written(sketches(source, size), "sketches")
+    sketched = common.written(sketches(source, size, threshold), "sketches")
     found = find_links(sketched, source, size, threshold)
     rows = sketched.select("doc_id", "n_shingles", "sid")
     classes = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
