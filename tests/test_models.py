@@ -279,3 +279,29 @@ def test_tree_of_one_leaf(spark):
     packed = models.compiled(models.fit_forest(data, trees=3, depth=2))
     assert packed.depth == 0
     assert models.score(packed, data).first().probability == pytest.approx(0.5, abs=0.3)
+
+
+def test_training_rows_come_in_even_parts(spark, planted):
+    """Also where the table lies in one file; the rows themselves stay the same."""
+    wanted = 2 * spark.sparkContext.defaultParallelism
+    rows = models._labelled(planted.coalesce(1))
+    sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == wanted and max(sizes) - min(sizes) <= 1
+    assert sum(sizes) == planted.filter("target is not null").count()
+
+
+def test_forest_keeps_the_nodes_of_its_rows(spark, planted):
+    """Which leaves the trees as they are."""
+    kept = models.fit_forest(planted, trees=4, depth=6)
+    walked = models._columns(
+        models.RandomForestClassifier(numTrees=4, maxDepth=6, seed=42)
+    ).fit(models._labelled(planted))
+    assert kept.getCacheNodeIds() and not walked.getCacheNodeIds()
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+def test_trees_roll_on_all_cores(spark, planted):
+    newest = latest.latest_features(planted.coalesce(1))
+    packed = models.compiled(models.fit_gbt(planted, trees=2, depth=2))
+    entries = forecast.forecast(packed, newest, "2026-10-01", days=2)
+    assert entries.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
