@@ -82,3 +82,11 @@ def test_sources_avoid_driver_side_work():
         text = file.read_text()
         for call in (".collect()", "toPandas", "localCheckpoint", "crossJoin", "rdd."):
             assert call not in text, f"{file.name}: {call}"
+
+
+@pytest.mark.parametrize("grain", ("month", "day"))
+def test_bars_sort_their_lines_once_and_behind_the_shuffle(spark, grain):
+    """A sort below the exchange would order, and spill, whole input splits."""
+    text = plan(sample.bars(spark, SMALL, grain))
+    assert text.count("Exchange") == 1 and text.count("+- Sort [") == 1
+    assert "Sort" not in text[text.index("Exchange") :]
