@@ -283,7 +283,7 @@ def test_tree_of_one_leaf(spark):
 
 def test_training_rows_come_in_even_parts(spark, planted):
     """Also where the table lies in one file; the rows themselves stay the same."""
-    wanted = 2 * spark.sparkContext.defaultParallelism
+    wanted = spark.sparkContext.defaultParallelism
     rows = models._labelled(planted.coalesce(1))
     sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
     assert len(sizes) == wanted and max(sizes) - min(sizes) <= 1
@@ -304,4 +304,4 @@ def test_trees_roll_on_all_cores(spark, planted):
     newest = latest.latest_features(planted.coalesce(1))
     packed = models.compiled(models.fit_gbt(planted, trees=2, depth=2))
     entries = forecast.forecast(packed, newest, "2026-10-01", days=2)
-    assert entries.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert entries.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
