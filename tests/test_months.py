@@ -161,3 +161,28 @@ def test_moments_of_months_give_the_scaler(spark, make_bars):
     once = {r.feature: (r["mean"], r["std"]) for r in scale.scaler_stats(rows).collect()}
     for name, (mean, std) in once.items():
         assert merged[name] == pytest.approx((mean, std), rel=1e-9, abs=1e-15)
+
+
+def test_facts_are_counted_without_a_sort(spark, path):
+    """The newest key is a number while it is looked for; merged months need no grouping by key."""
+    target = path("raw")
+    files.merge_raw(spark, target, raw(spark, [("2026-01-05(2)", "A", 1.0), ("1969-12-31(1)", "B", 1.0), ("x", "B", 1.0)]))
+    rows = months.scan(spark, target, schemas.RAW_BARS)
+    for once in (False, True):
+        counted = months._counted(rows, once)
+        text = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in text
+        assert text.count("Exchange") == (1 if once else 2)
+        assert {(r.ticker, r.month): (r.newest_key, str(r.newest_date)) for r in counted.collect()} == {
+            ("A", "2026-01"): ("2026-01-05(2)", "2026-01-05"),
+            ("B", "1969-12"): ("1969-12-31(1)", "1969-12-31"),
+            ("B", "unreadable"): (None, "None"),
+        }
+
+
+def test_merge_takes_only_its_own_months_for_free_of_repeats(spark, path):
+    target = path("raw")
+    files.save_raw(raw(spark, [("2026-01-05", "A", 1.0), ("2026-01-05", "A", 2.0), ("2026-02-02", "A", 1.0)]), target)
+    files.merge_raw(spark, target, raw(spark, [("2026-02-02", "A", 3.0), ("2026-02-03", "A", 3.0)]))
+    known = {r.month: (r["rows"], r["keys"]) for r in files.raw_facts(spark, target).collect()}
+    assert known == {"2026-01": (2, 1), "2026-02": (2, 2)}
