@@ -186,3 +186,24 @@ def test_merge_takes_only_its_own_months_for_free_of_repeats(spark, path):
     files.merge_raw(spark, target, raw(spark, [("2026-02-02", "A", 3.0), ("2026-02-03", "A", 3.0)]))
     known = {r.month: (r["rows"], r["keys"]) for r in files.raw_facts(spark, target).collect()}
     assert known == {"2026-01": (2, 1), "2026-02": (2, 2)}
+
+
+def test_ingest_reads_the_vendor_once(spark, path, make_bars, monkeypatch):
+    """Counts and merge read what was taken from the vendor, not the vendor's table again."""
+    daily = make_bars([(ticker, day, 0, 1, 2, 1, 2, 5) for ticker in "AB" for day in range(40)])
+    paths = jobs.Paths.under(path("ingest"), path("ingest_raw"))
+    files.save_raw(ingest.to_raw(daily.filter("trade_date < '2026-01-20'")), paths.raw)
+    vendor = daily.groupBy("ticker", F.col("trade_date").alias("time")).agg(
+        *(F.max(name).alias(name) for name in ("open", "high", "low", "close", "volume"))
+    )
+    ticks = spark.createDataFrame([], "ticker string, ts timestamp_ntz, event_id long, price double, volume long")
+    seen = []
+    merge = files.merge_raw
+    monkeypatch.setattr(files, "merge_raw", lambda s, p, new, arrival=(): (seen.append(new), merge(s, p, new, arrival)))
+    got = jobs.ingest_job(spark, paths, "2026-02-10", spark.createDataFrame([("A",)], "ticker string"), vendor, ticks)
+    text = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in text and "Join" not in text
+    # Days 15 (January 20) to 35 (February 9) of A.
+    assert got["summary"].first().asDict() == {
+        "history_rows": 21, "intraday_rows": 0, "new_rows": 21, "existing_rows": 30, "merged_rows": 51, "deduped_rows": 51,
+    }
