@@ -131,3 +131,24 @@ def test_edges(spark, documents, edge_rows):
 def test_clashing_columns(spark, name):
     data = spark.createDataFrame([(1, "one line of text", 5), (2, "one line of texts", 6)], f"doc_id long, text string, {name} int")
     assert [tuple(r) for r in lines.keep(data).orderBy("doc_id").collect()] == [(1, "one line of text", 5), (2, "", 6)]
+
+
+@pytest.mark.parametrize("most", (0, 2_000_000))
+def test_only_wanted_lines_are_moved(spark, documents, monkeypatch, most):
+    """Beyond the bound all lines are joined by a shuffle; the result is the same."""
+    rows = [(i, f"only {i} of these {i * 7919}\nshared line of text {'ab'[i % 2]}") for i in range(40)]
+    data = documents(rows)
+    monkeypatch.setattr(lines.common, "BROADCAST_IDS", most)
+    source = data.select(data.doc_id.alias("doc"), "text")
+    wanted = spark.createDataFrame([(3, 1), (4, 1)], "doc long, line int")
+    found = [(r.doc, r.line) for r in lines._standing(source, wanted).collect()]
+    assert sorted(found) == ([(3, 1), (4, 1)] if most else [(i, j) for i in range(40) for j in range(2)])
+    assert sorted((r.doc_id, r.text) for r in lines.keep(data).select("doc_id", "text").collect()) == sorted(brute(rows))
+
+
+def test_digests_move_each_text_once(spark, documents, monkeypatch):
+    data = documents([(1, "a line that stays\na line that stays"), (2, None)])
+    moved, keep = [], lines.keep
+    monkeypatch.setattr(lines, "keep", lambda docs, *names: (moved.append(docs.dtypes), keep(docs, *names))[1])
+    assert sorted((r.doc_id, r.n_lines, r.n_kept_chars) for r in lines.digests(data).collect()) == [(1, 2, 17), (2, 0, 0)]
+    assert [kind for _, kind in moved[0]].count("string") == 1

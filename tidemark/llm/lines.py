@@ -186,14 +186,28 @@ def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return gone.groupBy("doc").agg(F.collect_set(F.struct("line", "id")).alias("lines"))
 
 
+def _standing(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc, line, text`` of the lines at the places of ``wanted``, and some more.
+
+    Few lines are wanted, so hashes of their places go to all tasks, if they are not too many, and the texts of
+    the others are not moved.
+    """
+    lines = source.select(
+        F.col("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text")
+    )
+    spot = F.xxhash64("doc", "line").alias("spot")
+    spots = wanted.select(spot)
+    if spots.count() > common.BROADCAST_IDS:
+        return lines
+    return lines.select("*", spot).join(F.broadcast(spots), "spot", "left_semi").drop("spot")
+
+
 def _near(source: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
     """``id`` and the ``best`` place: the first of all other lines within one edit."""
     candidates = _shared(classes.select("id", "keys")).select("id").distinct()
     candidates = common.written(classes.select("id", "first").join(candidates, "id"), "line-candidates")
-    found = source.select(
-        F.col("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text")
-    )
     wanted = candidates.select("id", "first", F.col("first.doc").alias("doc"), F.col("first.line").alias("line"))
+    found = _standing(source, wanted)
     same = found["doc"].eqNullSafe(wanted["doc"]) & (found["line"] == wanted["line"])
     held = wanted.join(found, same).select("id", "first", "text")
 
@@ -262,13 +276,14 @@ def _without(text: str, out: set[tuple[int, bytes]]) -> str:
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its number of lines, and digest and length of what ``keep`` leaves of its text."""
-    both = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(text).alias("kept"))
-    both = keep(both, "doc_id", "kept")
+    before = F.when(F.length(text) > 0, F.size(F.split(text, "\n"))).otherwise(0).cast("long")
+    # Counted before the texts are moved, so that each is moved once.
+    left = docs.select(F.col(key).alias("doc_id"), before.alias("n_lines"), F.col(text).alias("kept"))
+    left = keep(left, "doc_id", "kept")
     kept = F.coalesce("kept", F.lit(""))
-    before = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0)
-    return both.select(
+    return left.select(
         "doc_id",
-        before.cast("long").alias("n_lines"),
+        "n_lines",
         F.sha2(kept, 256).alias("kept_sha256"),
         F.length(kept).cast("long").alias("n_kept_chars"),
     )
