@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import features, ingest, scale
+from tidemark.operators import features, ingest, models, scale
 from tidemark.plans import jobs
 from tidemark.sources import files, months, sample
 
@@ -207,3 +207,16 @@ def test_ingest_reads_the_vendor_once(spark, path, make_bars, monkeypatch):
     assert got["summary"].first().asDict() == {
         "history_rows": 21, "intraday_rows": 0, "new_rows": 21, "existing_rows": 30, "merged_rows": 51, "deduped_rows": 51,
     }
+
+
+def test_gated_job_groups_feature_rows_by_no_key(spark, path, monkeypatch):
+    """A table that was written whole has one row a key, so only its tickers are counted."""
+    paths = jobs.Paths.under(path("gated"), path("gated_raw"))
+    files.save_raw(ingest.to_raw(sample.bars(spark, SMALL)), paths.raw)
+    counted, seen = months._counted, []
+    monkeypatch.setattr(months, "_counted", lambda rows, once=False: (seen.append(once), counted(rows, once))[1])
+    done = jobs.gated_job(spark, paths, "2024-01-31", lambda rows: models.fit_logistic(rows, 5), "logistic")
+    assert done["forecast"] == "published" and seen == [False, True]
+    again = counted(months.scan(spark, paths.features, schemas.FEATURE_TABLE))
+    known = months.facts(spark, paths.features, schemas.FEATURE_TABLE).select(*again.columns)
+    assert sorted(map(str, again.collect())) == sorted(map(str, known.collect()))
