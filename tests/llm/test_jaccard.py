@@ -157,6 +157,41 @@ def test_likely_sets(spark):
     assert {1, 2} <= {r.sid for r in weights.collect()} and 5 not in {r.sid for r in weights.collect()}
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_rarest(spark, apart):
+    """Sets that share too little with other components go; the rarest shingles are enough for the rest."""
+    sets = [(1, list(range(10))), (2, [*range(9), 20]), (3, [*range(7), 30, 31, 32])]
+    members = [(1, 5, 1), (2, 5, 2 if apart else 1), (3, 5, 3), (3, 5, 3)]
+    got = jaccard._rarest(
+        spark.createDataFrame(members, "sid long, weight long, component long"),
+        spark.createDataFrame(sets, "sid long, tokens array<long>"),
+        jaccard.Threshold(80),
+    )
+    assert sorted((r.key, r.sid) for r in got.collect()) == ([(7, 1), (7, 2), (8, 1), (8, 2)] if apart else [])
+
+
+def test_differences_are_taken_once_a_set(documents, monkeypatch):
+    """Copies and texts that are nearly copies: few sets move their differences, each for few leaders."""
+    rng = random.Random(8)
+    rows = []
+    for group in range(4):
+        base = [f"g{group}x{i}" for i in range(150)]
+        for edits in [1] * 12 + [3, 4, 6, 7, 8, 9, 10, 11] * 2:
+            copy = list(base)
+            for place in rng.sample(range(150), edits):
+                copy[place] = f"n{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(copy)))
+    taken, before = [], jaccard._differences
+
+    def counted(members, *rest):
+        taken.append(members.filter("sid <> lead").select("lead", "sid").distinct().count())
+        return before(members, *rest)
+
+    monkeypatch.setattr(jaccard, "_differences", counted)
+    assert result(documents(rows)) == brute(rows)
+    assert sum(taken) <= len(rows)
+
+
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("most", [0, graph.TASK_EDGES])
 def test_components(spark, seed, most, monkeypatch):

@@ -15,14 +15,14 @@ keys that it got more than once; only those become rows of key and set.
 
 Documents with equal sets form a class, and classes take part once. A block that many
 classes share is not expanded into all pairs: its members are compared with its leader,
-the one with the most shared blocks. Where that leaves several components, members are
-described by their differences from a centre: the leader, with every shingle turned
-round that more than half of the members have otherwise. Two members whose differences
-together stay within the limit link for certain, and so does each of them with the
-member nearest to the centre. All others that link share a difference, so they join
-again on a few differences each, in groups of at most half the size, until all groups
-are in one component or so small that all pairs are compared. No link that matters for
-the components is lost.
+the one with the most shared blocks. Sets that this leaves in several components meet once
+more by their rarest shingles. Where groups are still large, members are described by their
+differences from a centre: the leader, with every shingle turned round that more than half
+of the members have otherwise. Two members whose differences together stay within the limit
+link for certain, and so does each of them with the member nearest to the centre. All others
+that link share differences, so they join again on a few of those that several components
+have, in groups of at most half the size, until all groups are in one component or so small
+that all pairs are compared. No link that matters for the components is lost.
 
 Rows: null, empty and wordless texts have an empty set and link with nothing; equal
 texts link; repeated rows each give a row; an empty table gives an empty table; only
@@ -507,6 +507,36 @@ def _pairs(members: DataFrame, most: int) -> DataFrame:
     )
 
 
+def _across(tokens: DataFrame, *group: str) -> DataFrame:
+    """Tokens that several components of a group have, and how many sets: others decide nothing."""
+    return tokens.groupBy(*group, "token").agg(
+        F.count("*").alias("times"), F.min("component").alias("first"), F.max("component").alias("last")
+    ).filter("first < last").drop("first", "last")
+
+
+def _rarest(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """The sets of all groups once, by their rarest shingles.
+
+    Sets that link share as many shingles as either needs. A set that shares fewer with all
+    other components together goes; of one that stays, the most frequent of these, up to one
+    less than it needs, are left out: two that link still share one in the order that both follow.
+    """
+    ids = common.written(members.select("sid", "weight", "component").distinct(), "rest")
+    own = sets.select("sid", F.explode("tokens").alias("token"), F.size("tokens").alias("n"))
+    own = own.join(common.bounded(ids.select("sid", "component")), "sid")
+    shared = own.drop("component").join(_across(own), "token").groupBy("sid", "n").agg(
+        F.array_sort(F.collect_list(F.struct("times", "token"))).alias("shared")
+    )
+    needs = F.ceil(threshold.percent * F.col("n") / 100)
+    places = (F.size("shared") - needs + 1).cast("int")
+    keys = shared.withColumn("places", places).filter("places > 0")
+    keys = keys.select("sid", F.explode(F.slice("shared", F.lit(1), F.col("places"))).alias("one"))
+    keys = keys.select(F.col("one.token").alias("key"), "sid").join(common.bounded(ids), "sid")
+    found = common.written(keys.select("key", "sid", "weight"), "rarest")
+    common.dropped(ids)
+    return found
+
+
 def _differences(members: DataFrame, sets: DataFrame, cluster: str) -> DataFrame:
     """``cluster``, ``sid``, ``weight``, size ``n`` and differences ``apart`` from the centre.
 
@@ -546,28 +576,42 @@ def _core(rows: DataFrame, threshold: Threshold) -> DataFrame:
     return sure.select(F.col("nearest.sid").alias("a"), F.col("sid").alias("b"))
 
 
-def _regrouped(rows: DataFrame, threshold: Threshold) -> DataFrame:
+def _regrouped(rows: DataFrame, links: _Links) -> DataFrame:
     """Members by their differences from the centre.
 
-    Two that link have sets of differences that differ by at most ``reach``, so the
-    first ``reach`` + 1 in an order that both follow share one. The order starts with
-    the differences that the fewest members have; those that one member has alone only
-    take places.
+    Those that ``_core`` leaves in several components link only if they share differences: with
+    at most ``reach`` between them, half of what both together have beyond that. The partner has
+    no fewer than the fewest in any ``other`` component, nor than its own beyond ``reach``. Of the
+    differences that other components have, all but one less than a member needs are enough, in
+    an order that all follow; it starts with those that the fewest members have.
     """
-    tokens = rows.select("cluster", "sid", F.explode("apart").alias("token"))
-    often = tokens.groupBy("cluster", "token").agg(F.count("*").alias("times")).filter("times > 1")
-    shared = tokens.join(often, ["cluster", "token"]).groupBy("cluster", "sid").agg(
+    percent = links.threshold.percent
+    most = rows.groupBy("cluster").agg(F.max("n").alias("most"))
+    # The other set has at most this many shingles.
+    largest = F.least(F.floor(100 * F.col("n") / percent), "most")
+    reach = F.floor((100 - percent) * (F.col("n") + largest) / (100 + percent))
+    held = links.label(rows).withColumn("all", F.size("apart")).join(most, "cluster").withColumn("reach", reach)
+    held = common.written(held, "held")
+    least = held.groupBy("cluster", "component").agg(F.min("all").alias("least"))
+    first = least.groupBy("cluster").agg(F.min(F.struct("least", "component")).alias("first"))
+    second = least.join(first, "cluster").filter("component <> first.component")
+    # Clusters of one component need nothing more.
+    second = second.groupBy("cluster", "first").agg(F.min("least").alias("second"))
+    tokens = held.select("cluster", "sid", "component", F.explode("apart").alias("token"))
+    shared = tokens.join(_across(tokens, "cluster"), ["cluster", "token"]).groupBy("cluster", "sid").agg(
         F.array_sort(F.collect_list(F.struct("times", "token"))).alias("shared")
     )
-    # The other set has at most this many shingles.
-    largest = F.floor(100 * F.col("n") / threshold.percent)
-    reach = F.floor((100 - threshold.percent) * (F.col("n") + largest) / (100 + threshold.percent))
-    alone = F.size("apart") - F.size("shared")
-    places = F.greatest(F.lit(0), reach + 1 - alone).cast("int")
-    held = rows.join(shared, ["cluster", "sid"])
-    keys = held.select("cluster", "sid", "weight", F.explode(F.slice("shared", F.lit(1), places)).alias("one"))
+    beyond = F.col("all") - F.col("reach")
+    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.least"))
+    needs = F.greatest(F.lit(1), F.ceil((beyond + F.greatest(other, beyond)) / 2))
+    places = (F.size("shared") - needs + 1).cast("int")
+    keys = held.drop("apart").join(shared, ["cluster", "sid"]).join(second, "cluster")
+    keys = keys.withColumn("places", places).filter("places > 0")
+    keys = keys.select("cluster", "sid", "weight", F.explode(F.slice("shared", F.lit(1), F.col("places"))).alias("one"))
     keys = keys.select(F.xxhash64("cluster", "one.token").alias("key"), "sid", "weight")
-    return common.written(keys.distinct(), "regrouped")
+    found = common.written(keys.distinct(), "regrouped")
+    common.dropped(held)
+    return found
 
 
 def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Threshold) -> DataFrame | None:
@@ -582,11 +626,18 @@ def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Thr
     leaders = members.groupBy("key").agg(F.max(F.struct("weight", "sid")).alias("lead"))
     best = members.join(leaders, "key").groupBy("sid").agg(F.max("lead").alias("lead"))
     links.compare(best.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).filter("a <> b"))
-    members, cluster, most = _open(members, links), "lead", SMALL_GROUP
+    members = _open(members, links)
     common.dropped(blocks)
+    links.compare(_pairs(members, SMALL_GROUP))
+    rest = _open(members.filter(F.col("classes") > SMALL_GROUP), links)
+    common.dropped(members)
+    rarest = _rarest(rest, sets, threshold)
+    common.dropped(rest)
+    members, cluster = _open(rarest, links), "lead"
+    common.dropped(rarest)
     while not members.isEmpty():
-        links.compare(_pairs(members, most))
-        still = _open(members.filter(F.col("classes") > most), links)
+        links.compare(_pairs(members, SMALL_REGROUP))
+        still = _open(members.filter(F.col("classes") > SMALL_REGROUP), links)
         common.dropped(members)
         members = still
         if members.isEmpty():
@@ -594,9 +645,9 @@ def find_links(sketched: DataFrame, source: DataFrame, size: int, threshold: Thr
         rows = _differences(members, sets, cluster)
         common.dropped(members)
         links.compare(_core(rows, threshold))
-        regrouped = _regrouped(rows, threshold)
+        regrouped = _regrouped(rows, links)
         common.dropped(rows)
-        members, cluster, most = _open(regrouped, links), "key", SMALL_REGROUP
+        members, cluster = _open(regrouped, links), "key"
         common.dropped(regrouped)
     common.dropped(members, sets, weights)
     return links.components
